@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contraluz.functions import fixed_values as V
 
@@ -149,13 +150,13 @@ def fisher_right_tail(a: int, b: int, c: int, d: int) -> float:
     return float(min(1.0, np.exp(logs).sum()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def binomial_tail_udf(k: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([binomial_half_tail(int(x), int(y)) for x, y in zip(k, n)],
                      dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def fisher_tail_udf(a: pd.Series, b: pd.Series, c: pd.Series,
                     d: pd.Series) -> pd.Series:
     return pd.Series([fisher_right_tail(int(w), int(x), int(y), int(z))
