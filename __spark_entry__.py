@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,11 @@ from contraluz.operators import (ages, bunching, collusion, concentration,
                                  other_buyer, state_layer)
 from contraluz.operators import matching as M
 from contraluz.plans import backtest, ledger, reports, signals
+from contraluz.session import checkpoint_folder, stored
 from contraluz.sources import contracts as contract_source
 from contraluz.sources import driver_tables as D
 from contraluz.sources import gazette, states
+from contraluz.sources.other import last_retrievals
 from contraluz.streaming import rules, seen
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,8 +66,90 @@ def _state_digits(spark: SparkSession, sf: str) -> DataFrame:
                                 C.plausible_amount(), 200)
 
 
-def _flags(spark: SparkSession, sf: str) -> DataFrame:
-    return signals.signal_flags(D.contracts(spark, sf), THRESHOLDS)
+class Run:
+    """Tables that one query reads several times, each stored once."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+        self.efos, self.sfp = D.efos(spark, sf), D.sfp(spark, sf)
+
+    @cached_property
+    def contracts(self) -> DataFrame:
+        return stored(D.contracts(self.spark, self.sf))
+
+    @cached_property
+    def states(self) -> DataFrame:
+        return stored(D.states(self.spark, self.sf))
+
+    @cached_property
+    def flags(self) -> DataFrame:
+        return stored(signals.signal_flags(self.contracts, THRESHOLDS))
+
+    @property
+    def fraud_hits(self) -> DataFrame:
+        return M.fraud_hits(self.contracts, self.efos)
+
+    @cached_property
+    def during(self) -> DataFrame:
+        return stored(debarment.during(
+            M.debarment_hits(self.contracts, self.sfp)))
+
+    @property
+    def ensemble(self) -> DataFrame:
+        return signals.supplier_ensemble(
+            self.contracts, self.flags, self.efos, self.sfp)
+
+    @property
+    def state_debarred(self) -> DataFrame:
+        return state_layer.debarred(self.states, self.sfp)
+
+    @property
+    def state_fraud(self) -> DataFrame:
+        return state_layer.fraud_by_rfc(self.states, self.efos)
+
+    @property
+    def federal_findings(self) -> dict[str, DataFrame]:
+        return {"debarred_federal": self.during,
+                "fraud_federal": fraud_list.detail(self.fraud_hits),
+                "modifications": modifications.over_cap(self.contracts)}
+
+    @property
+    def findings(self) -> dict[str, DataFrame]:
+        return {
+            **self.federal_findings,
+            "debarred_state": self.state_debarred,
+            "fraud_state": self.state_fraud,
+            "rotation": collusion.rotation_candidates(
+                self.contracts, **ROTATION),
+            "risk": self.ensemble,
+            "state_concentration": state_layer.concentration(
+                self.states, min_share=0.02)}
+
+    @cached_property
+    def evidence(self) -> DataFrame:
+        return stored(ledger.evidence(self.findings))
+
+    @cached_property
+    def federal_evidence(self) -> DataFrame:
+        return stored(ledger.evidence(self.federal_findings))
+
+    @property
+    def complaints(self) -> DataFrame:
+        """Two institutions whose debarment cases count as filed."""
+        return self.during.where(
+            F.col("institucion").isin("NATION_1", "NATION_7")).select(
+                "rfc", F.col("proveedor").alias("empresa"), "institucion",
+                F.col("fecha_contrato").alias("fecha"),
+                F.lit(None).cast("string").alias("folio"),
+                F.col("direccion_anuncio").alias("url"))
+
+    def cases(self, rows: DataFrame) -> DataFrame:
+        return ledger.cases(rows, self.complaints)
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """Folded cases are stored, as the score reads them twice."""
+        return ledger.scored(stored(self.cases(rows)),
+                             state_layer.coverage(self.states), TODAY)
 
 
 def _over_cap(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,22 +160,16 @@ def _p_rounded(table: DataFrame) -> DataFrame:
     return table.withColumn("p_value", C.round_sql(F.col("p_value"), 9))
 
 
-def _ensemble(spark: SparkSession, sf: str) -> DataFrame:
-    return signals.supplier_ensemble(
-        D.contracts(spark, sf), _flags(spark, sf), D.efos(spark, sf),
-        D.sfp(spark, sf))
-
-
 def _state_concentration(spark: SparkSession, sf: str) -> DataFrame:
     return state_layer.concentration(D.states(spark, sf), min_share=0.02)
 
 
 def _evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    efos, sfp = D.efos(spark, sf), D.sfp(spark, sf)
+    run = Run(spark, sf)
     return backtest.evaluate(
-        signals.with_composite(_flags(spark, sf)),
-        backtest.supplier_universe(D.contracts(spark, sf)),
-        backtest.sanction_dates(efos, sfp))
+        signals.with_composite(run.flags),
+        backtest.supplier_universe(run.contracts),
+        backtest.sanction_dates(run.efos, run.sfp))
 
 
 def _detector_queries() -> dict[str, Query]:
@@ -147,9 +227,10 @@ def _detector_queries() -> dict[str, Query]:
             lambda s, d: modifications.total_increase(_over_cap(s, d)),
         "d08_other_buyer": lambda s, d: other_buyer.name_screen(
             D.utility(s, d), D.efos(s, d), D.sfp(s, d)),
-        "d09_ensemble": _ensemble,
+        "d09_ensemble": lambda s, d: Run(s, d).ensemble,
         "d09_distribution":
-            lambda s, d: signals.ensemble_distribution(_ensemble(s, d)),
+            lambda s, d: signals.ensemble_distribution(
+                Run(s, d).ensemble),
         "d10_coverage": lambda s, d: state_layer.coverage(D.states(s, d)),
         "d10_list_rfc":
             lambda s, d: state_layer.fraud_by_rfc(D.states(s, d), D.efos(s, d)),
@@ -175,8 +256,8 @@ def _detector_queries() -> dict[str, Query]:
             digits.conformity(_state_digits(s, d), "sujeto_obligado")),
         "d12_worst_digits": lambda s, d: digits.worst_group_digits(
             _state_digits(s, d), "sujeto_obligado"),
-        "bt_signals": _flags,
-        "bt_composite": lambda s, d: signals.composite_flags(_flags(s, d)),
+        "bt_signals": lambda s, d: Run(s, d).flags,
+        "bt_composite": lambda s, d: signals.composite_flags(Run(s, d).flags),
         "bt_sanctions":
             lambda s, d: backtest.sanction_dates(D.efos(s, d), D.sfp(s, d)),
         "bt_universe": lambda s, d: backtest.supplier_universe(con(s, d)),
@@ -184,13 +265,295 @@ def _detector_queries() -> dict[str, Query]:
     }
 
 
+def _raw_keys(spark: SparkSession, sf: str) -> DataFrame:
+    line, rfc = F.col("l_linenumber"), F.col("rfc")
+    dirty = (F.when(line == 1, F.concat(F.lit(" "), F.lower(rfc), F.lit(" ")))
+             .when(line == 2, "").when(line == 3, "NA")
+             .when(line == 4, "XAXX010101000")
+             .when(line == 5, F.concat(F.substring(rfc, 1, 3), F.lit(" "),
+                                       F.substring(rfc, 4, 20))).otherwise(rfc))
+    region = D.table(spark, sf, "region")
+    return D.sales(spark, sf).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+            F.col("r_name").alias("estado"), dirty.alias("raw"))
+
+
+def _canonical(spark: SparkSession, sf: str) -> DataFrame:
+    rows = contract_source.canonical_contracts(D.raw_contracts(spark, sf))
+    return rows.groupBy(
+        "file_year", "tipo_monto", "moneda_efectiva", "estado_comprador").agg(
+            F.count("*").alias("contratos"),
+            F.count("fecha_efectiva").alias("con_fecha"),
+            F.countDistinct("rfc_norm").alias("empresas"),
+            F.min("fecha_efectiva").alias("desde"),
+            F.max("fecha_constitucion_rfc").alias("joven"),
+            C.money_sum("importe").cast("double").alias("importe"))
+
+
+def _name_keys(spark: SparkSession, sf: str) -> DataFrame:
+    key = C.name_norm("text")
+    return D.table(spark, sf, "documents").select(
+        "doc_id", F.md5(key).alias("clave"), F.length(key).alias("largo"))
+
+
+def _circulars(spark: SparkSession, sf: str) -> DataFrame:
+    return gazette.circulars(D.gazette_notes(spark, sf))
+
+
+def _recent(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _circulars(spark, sf).withColumns({
+        "rfc": F.lit(None).cast("string"), "plazo_txt": F.lit(None).cast("string")})
+    return gazette.recent_index(rows, dt.date(1999, 1, 1))
+
+
+def _bodies(spark: SparkSession, sf: str) -> DataFrame:
+    return D.table(spark, sf, "pages").select(
+        "page_id", F.md5(gazette.body_text("html")).alias("cuerpo"),
+        gazette.body_rfc("html").alias("rfc"),
+        gazette.body_term("html").alias("plazo_txt"))
+
+
+def _assessed(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.assess(
+        D.procedures(spark, sf), D.procedure_records(spark, sf),
+        D.awards(spark, sf), D.efos(spark, sf), D.sfp(spark, sf),
+        _recent(spark, sf), big_mxn=5e6)
+
+
+def _scores(spark: SparkSession, sf: str) -> DataFrame:
+    codes = F.array_sort(F.col("flags.code"))
+    return _assessed(spark, sf).select(
+        "uuid", "numero", "score", F.size("flags").alias("n_flags"),
+        F.array_join(codes, ",").alias("codes"))
+
+
+def _alerts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _assessed(spark, sf).withColumn("change", F.lit("new"))
+    return rules.alerts(rows, F.lit("2002-01-01"), threshold=4)
+
+
+def _alert_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _alerts(spark, sf).select(
+        "ts", "uuid", "nombre", "score", F.size("reasons").alias("razones"),
+        F.coalesce(F.size("awards_flagged"), F.lit(0)).alias("senaladas"),
+        "url", "change", "orden_gobierno", "estado_comprador")
+
+
+def _seen_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The stateful monitor run over the event table until it is drained."""
+    for key, value in seen.STATE_STORE.items():
+        spark.conf.set(key, value)
+    home = f"{checkpoint_folder(spark)}/seen-{uuid.uuid4().hex}"
+    schema = D.table(spark, sf, "events").schema
+    events = (spark.readStream.schema(schema)
+              .option("pathGlobFilter", "events.parquet").parquet(sf))
+    feed = events.select(F.col("user_id").cast("string").alias("uuid"),
+                         F.col("event_type").alias("estatus"), "ts", "event_id")
+    query = (seen.stream_changes(feed).writeStream.format("parquet")
+             .option("path", f"{home}/changes")
+             .option("checkpointLocation", f"{home}/checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(f"{home}/changes").select(
+        "uuid", "estatus", F.col("ts").cast("timestamp_ntz").alias("ts"),
+        "event_id", "previous", "change")
+
+
+def _case_table(spark: SparkSession, sf: str) -> DataFrame:
+    run = Run(spark, sf)
+    return run.cases(run.evidence).select(
+        "case_id", "scope", "pattern", "ambito", "estado_geo", "rfc", "sujeto",
+        "institucion", "procedure_uuid", "source_file", "monto", "n_contratos",
+        "fecha", "ventana_ok", "ventanas", "already_filed", "content_hash")
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    run = Run(spark, sf)
+    return run.scored(run.evidence)
+
+
+def _score_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(spark, sf).select(
+        "case_id", "pattern", "tier", "score", "recomendacion", "auto_ok",
+        "already_filed", "corrobora")
+
+
+def _routes(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(spark, sf).groupBy("pattern", "ambito", "autoridad").agg(
+        F.count("*").alias("casos"))
+
+
+def _merged(spark: SparkSession, sf: str) -> DataFrame:
+    """A first scan, human decisions on some of its cases, a second scan."""
+    run = Run(spark, sf)
+    rows = run.federal_evidence
+    first = run.scored(rows.where("fecha < DATE '2000-01-01'"))
+    snapshot = ledger.snapshot_of(
+        ledger.merge(ledger.empty_snapshot(first), first, "t0"))
+    mark = F.substring("case_id", 1, 1)
+    decisions = first.select(
+        "case_id", F.when(mark < "4", "descartado").when(mark < "8", "verificando")
+        .alias("estado"), F.lit(None).cast("string").alias("nota"),
+        F.lit(None).cast("string").alias("folio"), F.lit("t0").alias("decided_at"))
+    decided = ledger.apply_decisions(snapshot, decisions)
+    return ledger.merge(decided, run.scored(rows), "t1")
+
+
+def _footprint(spark: SparkSession, sf: str) -> DataFrame:
+    run = Run(spark, sf)
+    return ledger.footprint({
+        **run.findings, "young_state": state_layer.young(run.states, **YOUNG)})
+
+
+def _alert_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of two polls taken into the case table."""
+    found = _alerts(spark, sf).select("ts", "uuid", "numero", "nombre",
+                                      "dependencia", "estatus", "score")
+    first = found.where("estatus = 'ADJUDICADO'")
+    later = found.where("score >= 6").withColumns({
+        "ts": F.lit("2002-02-01"), "score": F.col("score") + 1})
+    cases = first.where(F.lit(False)).select(
+        "uuid", "numero", "nombre", "dependencia",
+        F.col("score").alias("max_score"), *[
+            F.lit(None).cast("string").alias(c) for c in (
+                "estado", "nota", "first_seen", "last_alert", "updated_at")])
+    log = first.where(F.lit(False))
+    cases = ledger.ingest_alerts(cases, ledger.new_alerts(log, first))
+    cases = ledger.ingest_alerts(cases, ledger.new_alerts(first, later))
+    return cases.select("uuid", "nombre", "max_score", "estado", "first_seen",
+                        "last_alert")
+
+
+def _figures(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    run = Run(spark, sf)
+    return {
+        "fraud_by_status": fraud_list.by_status_year(run.fraud_hits),
+        "archive_by_status": fraud_list.archive_by_status(_archive_hits(spark, sf)),
+        "young_by_year": ages.by_year(ages.with_age(run.contracts)),
+        "debarred_federal": run.during,
+        "modifications": modifications.over_cap(run.contracts),
+        "debarred_state": run.state_debarred,
+        "fraud_state": run.state_fraud,
+        "fraud_federal": fraud_list.detail(run.fraud_hits),
+        "coverage": state_layer.coverage(run.states),
+    }
+
+
+def _inventory(spark: SparkSession, sf: str) -> DataFrame:
+    run = Run(spark, sf)
+    return reports.inventory({
+        "f01_detalle_completo": fraud_list.detail(run.fraud_hits),
+        "f05_durante_inhabilitacion": run.during,
+        "f07_convenios_inflados": modifications.over_cap(run.contracts),
+        "f10_efos_estatal": run.state_fraud,
+        "f06_anillos_constitucion": collusion.rings(run.contracts, **RINGS)})
+
+
+def _freshness(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.col("event_type")
+    name = (F.when(kind == "view", "sat_69b_completo.csv")
+            .when(kind == "click", "sfp_sancionados.json")
+            .when(kind == "error", "dof_circulares.json")
+            .otherwise(F.concat(F.lit("otro_"), kind, F.lit(".csv"))))
+    now = dt.datetime(2024, 2, 20)
+    manifest = D.table(spark, sf, "events").select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("retrieved_at"),
+        F.lit("").alias("sha256"),
+        F.floor("value").cast("string").alias("bytes"), name.alias("file"))
+    return reports.freshness(last_retrievals(manifest),
+                             reports.freshness_limits(spark, now), now)
+
+
+def _pending(spark: SparkSession, sf: str) -> DataFrame:
+    orders = D.table(spark, sf, "orders").withColumn(
+        "clave", F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
+    done = orders.where("o_orderdate < TIMESTAMP_NTZ '1998-01-01'")
+    return reports.pending_deliveries(
+        orders.groupBy("clave").agg(F.count("*").alias("filas")),
+        done.groupBy("clave").agg(
+            F.count("*").alias("filas"),
+            F.count_if(F.col("o_orderstatus") == "P").alias("fallidos")))
+
+
+def _folios(spark: SparkSession, sf: str) -> DataFrame:
+    """Filed drafts by name for one institution, by key alone for another."""
+    during = stored(debarment.during(_barred(spark, sf)))
+    named = reports.case_names(during)
+    nota = F.concat(F.lit("SIDEC folio "),
+                    F.abs(F.hash("nombre_caso")).cast("string"), F.lit("/2001"))
+    exact = named.where("institucion = 'NATION_1'").select(
+        F.col("nombre_caso").alias("numero"), F.col("proveedor").alias("nombre"),
+        F.lit("denunciado").alias("estado"), nota.alias("nota"))
+    by_key = named.where("institucion = 'NATION_7'").select(
+        F.lit("alerta").alias("numero"),
+        F.concat_ws("", F.lit("Caso ("), "rfc", F.lit(")")).alias("nombre"),
+        F.lit("denunciado").alias("estado"), nota.alias("nota"))
+    return reports.complaints_by_company(reports.complaints_with_folios(
+        during, exact.unionByName(by_key)))
+
+
+def _layer_queries() -> dict[str, Query]:
+    merged_columns = ("case_id", "estado", "first_seen", "last_seen",
+                      "last_changed", "is_new", "changed")
+    return {
+        "canon_contracts": _canonical,
+        "name_norm": _name_keys,
+        "rfc_quality":
+            lambda s, d: states.key_quality(_raw_keys(s, d), "raw", ["estado"]),
+        "buyer_states": lambda s, d: D.procedures(s, d).groupBy(
+            C.number_state("numero").alias("estado")).agg(
+                F.count("*").alias("procedimientos")),
+        "dof_parse": _circulars,
+        "dof_recent": lambda s, d: _recent(s, d).select(
+            "nombre_norm", "cod_nota", "fecha_dof", "quien"),
+        "dof_bodies": _bodies,
+        "rt_seen_diff": lambda s, d: seen.status_changes(D.feed(s, d)).select(
+            "uuid", "estatus", "ts", "event_id", "previous", "change"),
+        "rt_stream": _seen_stream,
+        "rt_rules": _scores,
+        "rt_alerts": _alert_table,
+        "lg_cases": _case_table,
+        "lg_scored": _score_table,
+        "lg_routes": _routes,
+        "lg_merge": lambda s, d: _merged(s, d).select(*merged_columns),
+        "lg_emissions": lambda s, d: ledger.emissions(_merged(s, d)),
+        "lg_counters": lambda s, d: ledger.run_counters(_merged(s, d)),
+        "lg_footprint": _footprint,
+        "lg_name_candidates": lambda s, d: M.name_candidates(
+            D.table(s, d, "supplier").withColumnRenamed("s_name", "razon_social"),
+            D.efos(s, d), D.sfp(s, d)).drop("nombre_norm"),
+        "lg_complaint_groups": lambda s, d: ledger.complaint_groups(
+            debarment.during(_barred(s, d))),
+        "lg_alert_cases": _alert_cases,
+        "rp_figures": lambda s, d: reports.headline_figures(_figures(s, d)),
+        "rp_derived_figures": lambda s, d: reports.derived_figures(_figures(s, d)),
+        "rp_unified_debarred": lambda s, d: reports.unified_debarred(
+            debarment.during(_barred(s, d)),
+            state_layer.debarred(D.states(s, d), D.sfp(s, d))),
+        "rp_unified_fraud": lambda s, d: reports.unified_fraud(
+            fraud_list.detail(_hits(s, d)),
+            state_layer.fraud_by_rfc(D.states(s, d), D.efos(s, d))),
+        "rp_offices": lambda s, d: reports.affected_offices(
+            collusion.rotation_candidates(D.contracts(s, d), **ROTATION),
+            collusion.rings(D.contracts(s, d), **RINGS)),
+        "rp_status_distribution": lambda s, d: reports.status_distribution(
+            fraud_list.detail(_hits(s, d))),
+        "rp_by_supplier": lambda s, d: reports.sums_by_supplier(
+            debarment.during(_barred(s, d))),
+        "rp_inventory": _inventory,
+        "rp_freshness": _freshness,
+        "rp_pending": _pending,
+        "rp_folios": _folios,
+    }
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Contracts of listed firms by status and year, on the smallest tables."""
     return fraud_list.by_status_year(_hits(spark, "/root/testdata/sf0.001"))
 
 
 def queries() -> dict[str, Query]:
-    return _detector_queries()
+    return {**_detector_queries(), **_layer_queries()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,6 +9,7 @@ into a broadcast join only when the measured side is below the threshold.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,3 +68,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read back.
+
+    For an intermediate that several branches of a job read: it is computed
+    once, later scans prune its columns, and it outlives any executor.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -78,7 +78,7 @@ def _amount() -> Column:
             * F.col("l_quantity").cast("decimal(5,0)"))
 
 
-def _sales(spark: SparkSession, folder: str) -> DataFrame:
+def sales(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with their order, buyer and supplier."""
     nation = table(spark, folder, "nation")
     buyer = (table(spark, folder, "customer")
@@ -116,7 +116,7 @@ def contracts(spark: SparkSession, folder: str) -> DataFrame:
                       & (F.col("l_suppkey") % 10 == 0), "USD")
                 .when(F.col("l_returnflag") == "R", "MXN"))
     day = F.to_date("l_shipdate")
-    return _sales(spark, folder).select(
+    return sales(spark, folder).select(
         F.year(day).cast("string").alias("file_year"),
         F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber"))
         .alias("codigo_contrato"),
@@ -150,7 +150,7 @@ def raw_contracts(spark: SparkSession, folder: str) -> DataFrame:
     day = F.to_date("l_shipdate")
     amount = F.format_number(_amount(), 2)
     branch = (F.col("n_nationkey") + 55).cast("string")
-    return _sales(spark, folder).select(
+    return sales(spark, folder).select(
         F.concat(F.lit("contratos_"), F.year(day).cast("string"), F.lit(".csv"))
         .alias("filename"),
         F.when(line % 4 == 0, F.date_format(day, "d/M/yyyy"))
@@ -185,9 +185,9 @@ def state_reports(spark: SparkSession, folder: str) -> DataFrame:
                 .when(F.col("l_returnflag") == "R", "PESO MEXICANO"))
     reports = F.when(line % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0)))
-    sales = _sales(spark, folder).join(
+    sold = sales(spark, folder).join(
         region, F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = sales.withColumn("_copy", F.explode(reports)).select(
+    rows = sold.withColumn("_copy", F.explode(reports)).select(
         F.col("r_name").alias("estado_comprador"),
         F.col("r_regionkey").alias("id_entidad"),
         F.concat(F.lit("S"), _text("n_nationkey")).alias("id_sujeto"),
@@ -222,7 +222,7 @@ def archive(spark: SparkSession, folder: str) -> DataFrame:
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     suffix = (F.when(line % 3 == 0, ", S.A. DE C.V.")
               .when(line % 3 == 1, " S. de R.L.").otherwise(""))
-    return _sales(spark, folder).select(
+    return sales(spark, folder).select(
         F.when(order % 97 != 0, F.concat(F.lit("C"), order.cast("string")))
         .alias("codigo_contrato"),
         F.concat_ws("-", order.cast("string"), line.cast("string"))
@@ -239,7 +239,7 @@ def archive(spark: SparkSession, folder: str) -> DataFrame:
 
 def utility(spark: SparkSession, folder: str) -> DataFrame:
     line = F.col("l_linenumber")
-    return _sales(spark, folder).select(
+    return sales(spark, folder).select(
         F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber"))
         .alias("numero"),
         F.concat("s_name", F.when(line % 2 == 0, " SA de CV").otherwise(" S.C."))

@@ -33,6 +33,11 @@ def rnd(x: str, digits: int) -> str:
     return f"round(CAST({x} AS DOUBLE), {digits})"
 
 
+def titled(x: str) -> str:
+    return (f"array_to_string(list_transform(string_split({x}, ' '), "
+            "lambda w: upper(w[1]) || lower(w[2:])), ' ')")
+
+
 def big(x: str) -> str:
     return f"CAST({x} AS BIGINT)"
 
@@ -828,3 +833,502 @@ SQL["d10_dedupe"] = f"""
       FROM (SELECT *, '59729' AS formato FROM states
         UNION ALL SELECT *, '59730' FROM states WHERE l_linenumber % 3 = 0))
     WHERE rn = 1 GROUP BY 1, 2, 3"""
+
+# ------------------------------------------------ canonicalisation, gazette
+SQL["canon_contracts"] = f"""
+    SELECT strftime(dia, '%Y') AS file_year,
+      CASE WHEN l_linenumber % 3 = 0 THEN 'ejercido' ELSE 'techo_maximo' END
+        AS tipo_monto,
+      CASE WHEN l_linenumber % 3 = 0 THEN 'MXN' ELSE 'USD' END AS moneda_efectiva,
+      CASE WHEN l_linenumber % 2 = 0 THEN CASE n_nationkey + 55
+        {' '.join(f"WHEN {k} THEN '{v}'" for k, v in V.BRANCH_STATES.items())} END
+        END AS estado_comprador, count(*) AS contratos, count(dia) AS con_fecha,
+      count(DISTINCT rfc) AS empresas, min(dia) AS desde, max(constituida) AS joven,
+      CAST(sum({_AMOUNT}) AS DOUBLE) AS importe
+    FROM sales GROUP BY 1, 2, 3, 4"""
+SQL["name_norm"] = f"""
+    SELECT doc_id, md5({nn('text')}) AS clave, length({nn('text')}) AS largo
+    FROM documents"""
+CTES["raw_keys"] = """
+    SELECT r_name AS estado, CASE l_linenumber WHEN 1 THEN ' ' || lower(rfc) || ' '
+        WHEN 2 THEN '' WHEN 3 THEN 'NA' WHEN 4 THEN 'XAXX010101000'
+        WHEN 5 THEN substr(rfc, 1, 3) || ' ' || substr(rfc, 4) ELSE rfc END AS raw
+    FROM sales JOIN region ON n_regionkey = r_regionkey"""
+_BARE = "upper(replace(trim(raw), ' ', ''))"
+SQL["rfc_quality"] = f"""
+    SELECT estado, count(*) AS n,
+      count(*) FILTER (WHERE regexp_matches({_BARE}, '{_RFC}')) AS valido,
+      count(*) FILTER (WHERE {_BARE} = '') AS vacio,
+      count(*) FILTER (WHERE {_BARE} <> ''
+        AND NOT regexp_matches({_BARE}, '{_RFC}')) AS basura,
+      count(*) FILTER (WHERE {_BARE} IN ('XAXX010101000', 'XEXX010101000'))
+        AS genericos
+    FROM raw_keys GROUP BY 1"""
+_STATE_OF = (f"CASE WHEN o_orderkey % 40 + 52 BETWEEN 60 AND 91 THEN CASE "
+             "o_orderkey % 40 + 52 "
+             + ' '.join(f"WHEN {k} THEN '{v}'" for k, v in V.BRANCH_STATES.items())
+             + " END END")
+SQL["buyer_states"] = f"""
+    SELECT {_STATE_OF} AS estado, count(*) AS procedimientos FROM orders GROUP BY 1"""
+CTES["circulars"] = """
+    SELECT k AS cod_nota, strftime(f, '%Y-%m-%d') AS fecha_dof, titulo, quien,
+      'https://dof.gob.mx/nota_detalle.php?codigo=' || k || '&fecha='
+        || strftime(f, '%d/%m/%Y') AS url, f AS fecha
+    FROM (SELECT s_suppkey AS k, DATE '1996-01-01'
+          + CAST((s_suppkey * 29) % 1800 AS INTEGER) AS f,
+        'CIRCULAR por la que se comunica que deberán abstenerse de aceptar '
+          || 'propuestas y/o celebrar contratos con ' || CASE s_suppkey % 4
+            WHEN 0 THEN 'la empresa ' || s_name || ', S.A. de C.V.'
+            WHEN 1 THEN 'las empresas ' || s_name || ', S.A. de C.V. y Filial '
+              || s_name || ', S. de R.L.'
+            ELSE 'la persona moral denominada ' || s_name || ', S.A. de C.V.' END
+          AS titulo,
+        unnest(CASE s_suppkey % 4 WHEN 1
+          THEN [s_name || ', S.A. de C.V.', 'Filial ' || s_name || ', S. de R.L']
+          ELSE [s_name || ', S.A. de C.V'] END) AS quien
+      FROM supplier WHERE s_suppkey % 4 <> 3)"""
+SQL["dof_parse"] = "SELECT cod_nota, fecha_dof, titulo, quien, url FROM circulars"
+CTES["dof_recent"] = f"""
+    SELECT * FROM (SELECT *, {nn('quien')} AS clave, row_number() OVER (
+        PARTITION BY {nn('quien')} ORDER BY fecha DESC, cod_nota DESC) AS rn
+      FROM circulars WHERE DATE '1999-01-01' - fecha <= 180) WHERE rn = 1"""
+SQL["dof_recent"] = "SELECT clave AS nombre_norm, cod_nota, fecha_dof, quien FROM dof_recent"
+_BODY = r"regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')"
+SQL["dof_bodies"] = rf"""
+    SELECT page_id, md5({_BODY}) AS cuerpo,
+      nullif(regexp_extract({_BODY}, '{V.GAZETTE_RFC}', 1), '') AS rfc,
+      nullif(trim(regexp_extract({_BODY}, '{V.GAZETTE_TERM}', 1)), '') AS plazo_txt
+    FROM pages"""
+
+# ---------------------------------------------------------------- live layer
+CTES["changes"] = """
+    SELECT *, CASE WHEN previous IS NULL THEN 'new' ELSE 'status_change' END AS change
+    FROM (SELECT CAST(user_id AS VARCHAR) AS uuid, event_type AS estatus, ts, event_id,
+        lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous
+      FROM events) WHERE previous IS NULL OR previous <> estatus"""
+SQL["rt_seen_diff"] = "SELECT uuid, estatus, ts, event_id, previous, change FROM changes"
+SQL["rt_stream"] = SQL["rt_seen_diff"]
+
+_DIRECTA = "(kind LIKE '%ADJUDICACI%' AND kind LIKE '%DIRECTA%')"
+CTES["award_hits"] = f"""
+    SELECT md5(CAST(l_orderkey AS VARCHAR)) AS uuid, e.situacion,
+      s.rfc_norm IS NOT NULL AS s_hit,
+      coalesce(list_bool_or(list_transform(s.w, lambda x:
+        coalesce(a.fecha BETWEEN x.inicio AND x.fin, FALSE))), FALSE) AS during,
+      d.fecha AS d_fecha, a.fecha,
+      CASE WHEN l_tax > 0 THEN CAST({_AMOUNT} * 2 AS DOUBLE)
+        ELSE CAST({_AMOUNT} AS DOUBLE) END AS amount, l_returnflag <> 'R' AS pesos
+    FROM (SELECT *, CAST(l_shipdate AS DATE) AS fecha FROM lineitem) a
+    JOIN (SELECT *, {nn('s_name')} AS clave FROM sup) p ON l_suppkey = s_suppkey
+    LEFT JOIN (SELECT *, {nn('nombre')} AS clave FROM efos) e USING (clave)
+    LEFT JOIN (SELECT rfc_norm, {nn('nombre')} AS clave,
+        list({{'inicio': inicio, 'fin': fin}}) AS w FROM sfp GROUP BY 1, 2) s
+      USING (clave)
+    LEFT JOIN dof_recent d USING (clave)"""
+CTES["fired"] = f"""
+    SELECT uuid, 'EFOS_69B' AS code,
+      CASE WHEN situacion = 'Definitivo' THEN 6 ELSE 2 END AS weight
+      FROM award_hits WHERE situacion IS NOT NULL
+    UNION ALL SELECT uuid, 'SFP_SANCION', CASE WHEN during THEN 8 ELSE 3 END
+      FROM award_hits WHERE s_hit
+    UNION ALL SELECT uuid, 'DOF_INHABILITACION',
+      CASE WHEN fecha >= d_fecha THEN 8 ELSE 3 END
+      FROM award_hits WHERE d_fecha IS NOT NULL AND NOT s_hit
+    UNION ALL SELECT uuid, 'MONTO_ALTO', 1 FROM award_hits
+      WHERE pesos AND amount >= 5e6
+    UNION ALL SELECT uuid, unnest(list_filter([
+        CASE WHEN {_DIRECTA} THEN 'DIRECTA' END,
+        CASE WHEN rec AND o_orderstatus = 'P' THEN 'PLAZO_RECORTADO' END,
+        CASE WHEN rec AND kind LIKE 'LICITACI%' AND o_custkey % 25 < 10
+          THEN 'PLAZO_COMPRIMIDO' END,
+        CASE WHEN rec AND o_custkey % 7 = 0 THEN 'EMERGENCIA' END,
+        CASE WHEN rec AND {_DIRECTA} AND o_custkey % 3 = 0 THEN 'EXCEPCION' END,
+        CASE WHEN rec AND o_custkey % 5 = 0 THEN 'ANTICIPO' END],
+        lambda x: x IS NOT NULL)) AS code, NULL
+      FROM (SELECT *, md5(CAST(o_orderkey AS VARCHAR)) AS uuid,
+          o_orderkey % 11 <> 0 AS rec, coalesce({_KIND}, '') AS kind FROM orders)"""
+CTES["assessed"] = f"""
+    SELECT o.*, coalesce(f.score, 0) AS score, coalesce(n_flags, 0) AS n_flags,
+      coalesce(codes, '') AS codes, coalesce(listed, 0) AS listed
+    FROM (SELECT *, md5(CAST(o_orderkey AS VARCHAR)) AS uuid FROM orders) o
+    LEFT JOIN (SELECT uuid, CAST(sum(coalesce(weight, CASE
+          WHEN code IN ('EXCEPCION', 'ANTICIPO') THEN 1 ELSE 2 END)) AS INTEGER)
+          AS score,
+        CAST(count(*) AS INTEGER) AS n_flags,
+        string_agg(code, ',' ORDER BY code) AS codes,
+        CAST(count(*) FILTER (WHERE code IN ('EFOS_69B', 'SFP_SANCION',
+          'DOF_INHABILITACION')) AS INTEGER) AS listed
+      FROM fired GROUP BY 1) f USING (uuid)"""
+SQL["rt_rules"] = """
+    SELECT uuid, 'LA-' || (o_orderkey % 40 + 52) || '-' || o_orderkey AS numero,
+      score, n_flags, codes FROM assessed"""
+SQL["rt_alerts"] = f"""
+    SELECT '2002-01-01' AS ts, uuid, 'Procedimiento ' || o_orderkey AS nombre,
+      score, n_flags AS razones, listed AS senaladas,
+      replace('{V.PROCEDURE_URL}', '{{}}', uuid) AS url, 'new' AS change,
+      CASE WHEN {_STATE_OF} IS NOT NULL THEN 'GEM' END AS orden_gobierno,
+      {_STATE_OF} AS estado_comprador
+    FROM assessed WHERE score >= 4"""
+
+# -------------------------------------------------------------------- ledger
+_LINKED = "nullif(regexp_extract(direccion_anuncio, 'detalle/([0-9a-f]{32})', 1), '')"
+_PORTAL = f"coalesce(replace('{V.PROCEDURE_URL}', '{{}}', {_LINKED}), '')"
+_SCOPE = ("CASE WHEN orden_gobierno LIKE '%ENTIDAD FEDERATIVA%' THEN 'estatal' "
+          "ELSE 'federal' END")
+
+
+def evidence(source: str, where: str = "TRUE", **values: str) -> str:
+    kinds = {
+        "case_id": "VARCHAR", "pattern": "VARCHAR", "scope": "VARCHAR",
+        "ambito": "VARCHAR", "estado_geo": "VARCHAR", "rfc": "VARCHAR",
+        "sujeto": "VARCHAR", "institucion": "VARCHAR", "source_file": "VARCHAR",
+        "fecha": "DATE", "importe": "DOUBLE", "n": "BIGINT", "uuid": "VARCHAR",
+        "url": "VARCHAR", "en_ventana": "BOOLEAN", "ventana": "VARCHAR",
+        "rfc_valido": "BOOLEAN", "definitivo_dof": "VARCHAR",
+        "pct_incremento": "DOUBLE", "tope_legal_pct": "DOUBLE",
+        "n_senales": "INTEGER"}
+    cells = ", ".join(f"CAST({values.get(k, 'NULL')} AS {t}) AS {k}"
+                      for k, t in kinds.items())
+    return f"SELECT {cells} FROM {source} WHERE {where}"
+
+
+def q(x: str) -> str:
+    return f"'{x}'"
+
+
+_E05 = evidence(
+    "f05", case_id=f"CASE WHEN {_SCOPE} = 'federal' THEN "
+    + case_id(q("fed"), q("inhabilitado"), "rfc", "institucion") + " ELSE "
+    + case_id(q("est"), q("inhabilitado"), "estado_comprador", "institucion", "rfc")
+    + " END", pattern=q("inhabilitado"),
+    scope=f"CASE WHEN {_SCOPE} = 'federal' THEN 'contrato' ELSE 'estatal' END",
+    ambito=_SCOPE, estado_geo=f"CASE WHEN {_SCOPE} = 'estatal' THEN estado_comprador END",
+    rfc="rfc", sujeto="proveedor", institucion="institucion",
+    source_file=q("f05_durante_inhabilitacion"), fecha="fecha_contrato",
+    importe="importe", n="1", uuid=_LINKED, url=_PORTAL, en_ventana="TRUE",
+    ventana="inhabilitado_desde || '/' || hasta")
+_E01 = evidence(
+    "f01d", "situacion = 'Definitivo' AND firmado_despues_definitivo",
+    case_id=case_id(q("fed"), q("efos"), "rfc"), pattern=q("efos"),
+    scope=q("proveedor"), ambito=q("federal"), rfc="rfc", sujeto="proveedor",
+    institucion="institucion", source_file=q("f01_detalle_completo"),
+    fecha="fecha_contrato", importe="importe", n="1", uuid=_LINKED, url=_PORTAL,
+    definitivo_dof="definitivo_dof")
+_E07 = evidence(
+    f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rfc, codigo_contrato
+        ORDER BY monto_ultimo_convenio DESC, pct_incremento DESC, fecha_contrato,
+          institucion, direccion_anuncio) AS rn FROM f07) WHERE rn = 1)""",
+    case_id=case_id(q("fed"), q("convenio"), "rfc", "codigo_contrato"),
+    pattern=q("convenio"), scope=q("contrato"), ambito=q("federal"), rfc="rfc",
+    sujeto="proveedor", institucion="institucion",
+    source_file=q("f07_convenios_inflados"), fecha="fecha_contrato",
+    importe="monto_ultimo_convenio", n="1", uuid=_LINKED, url=_PORTAL,
+    pct_incremento="pct_incremento", tope_legal_pct="tope_legal_pct")
+_E10I = evidence(
+    "state_sfp", "durante_inhabilitacion",
+    case_id=case_id(q("est"), q("inhabilitado"), "estado_comprador",
+                    "sujeto_obligado", "rfc_norm"),
+    pattern=q("inhabilitado"), scope=q("estatal"), ambito=q("estatal"),
+    estado_geo="estado_comprador", rfc="rfc_norm", sujeto="proveedor",
+    institucion="sujeto_obligado", source_file=q("f10_inhabilitados_estatal"),
+    fecha="fecha_efectiva", importe="importe", n="1", url="direccion_anuncio",
+    en_ventana="TRUE", ventana=f"{iso('inicio')} || '/' || {iso('fin')}",
+    rfc_valido="TRUE")
+_E10E = evidence(
+    "f10e", "firmado_despues_definitivo AND importe_plausible",
+    case_id=case_id(q("est"), q("efos"), "estado_comprador", "sujeto_obligado", "rfc"),
+    pattern=q("efos"), scope=q("estatal"), ambito=q("estatal"),
+    estado_geo="estado_comprador", rfc="rfc", sujeto="proveedor",
+    institucion="sujeto_obligado", source_file=q("f10_efos_estatal"),
+    fecha="fecha_contrato", importe="importe", n="1", url="direccion_anuncio",
+    definitivo_dof="definitivo_dof")
+_E06 = evidence(
+    "rot", case_id=case_id(q("fed"), q("rotacion"), "institucion", "nombre_uc"),
+    pattern=q("rotacion"), scope=q("institucion"), ambito=q("federal"),
+    sujeto="nombre_uc", institucion="institucion",
+    source_file=q("f06_rotacion_licitaciones"),
+    importe=f"coalesce({mill('monto', 1)}, 0.0) * 1e6", n="contratos")
+_E12 = evidence(
+    "ensemble", "n_senales >= 4", case_id=case_id(q("fed"), q("riesgo"), "rfc"),
+    pattern=q("riesgo"), scope=q("proveedor"), ambito=q("federal"), rfc="rfc",
+    sujeto="proveedor", source_file=q("f12_riesgo_proveedor"),
+    importe="monto_mxn_millones * 1e6", n="contratos", n_senales="n_senales")
+_E10C = evidence(
+    "f10conc", case_id=case_id(q("est"), q("concentracion"), "estado_comprador",
+                               "sujeto_obligado", "proveedor"),
+    pattern=q("concentracion"), scope=q("estatal"), ambito=q("estatal"),
+    estado_geo="estado_comprador", sujeto="proveedor", institucion="sujeto_obligado",
+    source_file=q("f10_concentracion_estatal"),
+    importe="monto_mxn_millones * 1e6", n="contratos")
+CTES["evid"] = "\n    UNION ALL ".join((_E05, _E10I, _E01, _E10E, _E07, _E06, _E12, _E10C))
+CTES["evid3"] = "\n    UNION ALL ".join((_E05, _E01, _E07))
+CTES["complaints"] = """
+    SELECT rfc, institucion, regexp_extract(direccion_anuncio,
+      'detalle/([0-9a-f]{32})', 1) AS uuid
+    FROM f05 WHERE institucion IN ('NATION_1', 'NATION_7')"""
+
+
+def cases_sql(source: str) -> str:
+    return f"""
+    SELECT c.*, coalesce(
+        first_uuid IN (SELECT uuid FROM complaints), FALSE)
+        OR coalesce(institucion IS NOT NULL AND (rfc, {nn('institucion')}) IN (
+          SELECT (rfc, {nn('institucion')}) FROM complaints), FALSE)
+        OR (n_ids > 0 AND n_open = 0) AS already_filed,
+      sha1(concat_ws('|', scope, pattern, coalesce(rfc, ''),
+        coalesce({nn('institucion')}, ''),
+        CAST(CAST(monto AS DECIMAL(24,2)) AS VARCHAR),
+        CAST(n_contratos AS VARCHAR), CAST(ids AS VARCHAR), ventanas))
+        AS content_hash
+    FROM (SELECT case_id, min(scope) AS scope, min(pattern) AS pattern,
+        min(ambito) AS ambito, min(estado_geo) AS estado_geo, min(rfc) AS rfc,
+        min(sujeto) AS sujeto, min(institucion) AS institucion,
+        min(uuid) AS first_uuid, min(source_file) AS source_file,
+        CAST(sum({dec('importe')}) AS DOUBLE) AS monto, {big('sum(n)')} AS n_contratos,
+        max(fecha) AS fecha, bool_and(en_ventana) AS ventana_ok,
+        coalesce(string_agg(DISTINCT ventana, ';' ORDER BY ventana), '') AS ventanas,
+        bool_or(rfc_valido) AS rfc_given, min(definitivo_dof) AS definitivo_dof,
+        max(pct_incremento) AS pct, max(tope_legal_pct) AS cap,
+        max(n_senales) AS n_senales,
+        bool_or(coalesce(url, '') <> '') AS cited, count(uuid) AS n_ids,
+        count(uuid) FILTER (WHERE uuid NOT IN (SELECT uuid FROM complaints)) AS n_open,
+        CAST(coalesce(sum(CAST(CAST('0x' || substr(md5(uuid), 1, 15) AS BIGINT)
+          AS DECIMAL(38,0))), 0) AS DECIMAL(38,0)) AS ids
+      FROM {source} GROUP BY 1) c"""
+
+
+def scored_sql(source: str) -> str:
+    valid = (f"CASE WHEN ambito = 'federal' THEN regexp_matches(coalesce(rfc, ''), "
+             f"'{_RFC}') ELSE coalesce(rfc_given, regexp_matches(coalesce(rfc, ''), "
+             f"'{_RFC}')) END")
+    return f"""
+    SELECT *, CASE pattern WHEN 'inhabilitado' THEN 'T1' WHEN 'efos' THEN 'T2'
+        WHEN 'convenio' THEN 'T2' ELSE 'T3' END AS tier,
+      CAST(round_even(least(100.0::DOUBLE, CASE WHEN already_filed THEN 0
+        WHEN quarantined THEN raw * 0.4::DOUBLE ELSE raw END), 0) AS INTEGER) AS score,
+      CASE WHEN already_filed THEN 'suppress' WHEN quarantined THEN 'cuarentena'
+        ELSE 'revisar' END AS recomendacion,
+      NOT quarantined AND v AND s AS auto_ok
+    FROM (SELECT *, quality * support * CASE
+          WHEN pattern IN ('rotacion', 'riesgo', 'concentracion') THEN
+            30 + 50 * size + CASE WHEN pattern = 'riesgo'
+              THEN 5 * least(n_senales - 3, 4) ELSE 0 END
+          ELSE CASE WHEN pattern = 'inhabilitado' THEN 100 ELSE 80 END
+            * CASE WHEN pattern = 'convenio' THEN docs
+                ELSE (docs + CASE WHEN quarantined THEN 0 ELSE 1 END) / 2 END
+            * (0.6::DOUBLE + 0.4::DOUBLE * size)
+            * (0.7::DOUBLE + 0.3::DOUBLE * recency) END AS raw
+      FROM (SELECT *, (CAST(v AS INTEGER) + CAST(s AS INTEGER)) / 2.0::DOUBLE AS docs,
+          least(1.0::DOUBLE, log10(greatest(monto, 1.0::DOUBLE)) / 7) AS size,
+          CASE WHEN fecha IS NULL OR DATE '2002-01-01' - fecha <= 365 THEN 1.0::DOUBLE
+            ELSE greatest(0.3::DOUBLE,
+              1 - (DATE '2002-01-01' - fecha - 365) / 1825.0::DOUBLE) END AS recency,
+          CASE WHEN ambito = 'estatal' THEN 0.7::DOUBLE + 0.3::DOUBLE
+            * coalesce(quality_of, 0.6::DOUBLE) ELSE 1.0::DOUBLE END AS quality,
+          1 + 0.05::DOUBLE * least(corrobora, 3) AS support,
+          CASE pattern
+            WHEN 'inhabilitado' THEN fecha IS NULL OR fecha > DATE '2002-01-01'
+              OR monto <= 0 OR NOT coalesce(ventana_ok, FALSE)
+            WHEN 'efos' THEN fecha IS NULL OR fecha > DATE '2002-01-01'
+              OR monto <= 0 OR NOT coalesce(fecha > CAST(definitivo_dof AS DATE), FALSE)
+            WHEN 'convenio' THEN monto <= 0 OR NOT coalesce(pct > cap, FALSE)
+            ELSE FALSE END AS quarantined
+        FROM (SELECT c.*, {valid} AS v, first_uuid IS NOT NULL OR cited AS s,
+            CASE WHEN rfc IS NULL THEN 0
+              ELSE count(*) OVER (PARTITION BY rfc) - 1 END AS corrobora
+          FROM {source} c)
+        LEFT JOIN (SELECT {nn('estado_comprador')} AS st,
+            max(pct_rfc_valido) / 100 AS quality_of FROM f10cov GROUP BY 1)
+          ON st = {nn('estado_geo')}))"""
+
+
+CTES["cases8"] = cases_sql("evid")
+CTES["scored8"] = scored_sql("cases8")
+CTES["cases3"] = cases_sql("evid3")
+CTES["scored3"] = scored_sql("cases3")
+CTES["evid_before"] = "SELECT * FROM evid3 WHERE fecha < DATE '2000-01-01'"
+CTES["cases_before"] = cases_sql("evid_before")
+SQL["lg_cases"] = """
+    SELECT case_id, scope, pattern, ambito, estado_geo, rfc, sujeto, institucion,
+      first_uuid AS procedure_uuid, source_file, monto, n_contratos, fecha,
+      ventana_ok, ventanas, already_filed, content_hash FROM cases8"""
+SQL["lg_scored"] = """
+    SELECT case_id, pattern, tier, score, recomendacion, auto_ok, already_filed,
+      corrobora FROM scored8"""
+_AUTH = " ".join(f"WHEN pattern = '{p}' AND ambito = '{a}' THEN '{w}'"
+                 for p, a, w, _ in V.LEGAL_ROUTES)
+SQL["lg_routes"] = f"""
+    SELECT pattern, ambito, CASE {_AUTH} ELSE '{V.DEFAULT_ROUTE[0]}' END AS autoridad,
+      count(*) AS casos FROM scored8 GROUP BY 1, 2, 3"""
+CTES["snap"] = """
+    SELECT case_id, content_hash, CASE WHEN substr(case_id, 1, 1) < '4'
+        THEN 'descartado' WHEN substr(case_id, 1, 1) < '8' THEN 'verificando'
+        ELSE 'nuevo' END AS estado FROM cases_before"""
+CTES["merged"] = """
+    SELECT case_id, coalesce(s.estado, 'nuevo') AS estado,
+      CASE WHEN s.case_id IS NULL THEN 't1' ELSE 't0' END AS first_seen,
+      CASE WHEN n.case_id IS NULL THEN 't0' ELSE 't1' END AS last_seen,
+      CASE WHEN s.case_id IS NULL OR s.content_hash <> n.content_hash THEN 't1'
+        ELSE 't0' END AS last_changed,
+      s.case_id IS NULL AS is_new,
+      coalesce(s.content_hash <> n.content_hash, FALSE) AS changed,
+      n.already_filed, n.score
+    FROM snap s FULL JOIN scored3 n USING (case_id)"""
+SQL["lg_merge"] = """
+    SELECT case_id, estado, first_seen, last_seen, last_changed, is_new, changed
+    FROM merged"""
+SQL["lg_emissions"] = """
+    SELECT case_id, CASE WHEN is_new THEN 'nuevo' ELSE 'cambiado' END AS reason, score
+    FROM merged WHERE NOT already_filed
+      AND (is_new OR (changed AND estado IN ('nuevo', 'verificando')))"""
+SQL["lg_counters"] = """
+    SELECT count(*) AS scanned, count(*) FILTER (WHERE is_new AND NOT already_filed)
+        AS nuevos,
+      count(*) FILTER (WHERE changed AND NOT already_filed) AS cambiados,
+      count(*) FILTER (WHERE already_filed) AS suprimidos
+    FROM merged WHERE already_filed IS NOT NULL"""
+_FOOT = [
+    ("f05_durante_inhabilitacion", "federal", "f05", "NULL", "institucion", "rfc",
+     "fecha_contrato", "importe"),
+    ("f01_detalle_completo", "federal", "f01d", "NULL", "institucion", "rfc",
+     "fecha_contrato", "importe"),
+    ("f07_convenios_inflados", "federal", "f07", "NULL", "institucion", "rfc",
+     "fecha_contrato", "monto_ultimo_convenio"),
+    ("f12_riesgo_proveedor", "federal", "ensemble", "NULL", "NULL", "rfc", "NULL",
+     "monto_mxn_millones * 1e6"),
+    ("f10_inhabilitados_estatal", "estatal", "state_sfp", "estado_comprador",
+     "sujeto_obligado", "rfc_norm", "CAST(fecha_efectiva AS VARCHAR)", "importe"),
+    ("f10_efos_estatal", "estatal", "f10e", "estado_comprador", "sujeto_obligado",
+     "rfc", "fecha_contrato", "importe"),
+    ("f10_jovenes_estatal", "estatal", "f10y", "estado_comprador", "sujeto_obligado",
+     "rfc", "fecha_contrato", "importe"),
+    ("f10_concentracion_estatal", "estatal", "f10conc", "estado_comprador",
+     "sujeto_obligado", "NULL", "NULL", "monto_mxn_millones * 1e6"),
+]
+SQL["lg_footprint"] = " UNION ALL ".join(
+    f"SELECT '{o}' AS origen, '{a}' AS ambito, CAST({e} AS VARCHAR) AS estado, "
+    f"CAST({i} AS VARCHAR) AS institucion, proveedor, CAST({r} AS VARCHAR) AS rfc, "
+    f"CAST({d} AS VARCHAR) AS fecha, CAST({m} AS DOUBLE) AS importe, "
+    f"{nn('proveedor')} AS nombre_norm FROM {t}"
+    for o, a, t, e, i, r, d, m in _FOOT)
+SQL["lg_name_candidates"] = f"""
+    SELECT s_name AS razon_social, rfc_norm AS rfc, fuente, situacion, inicio, fin,
+      nombre
+    FROM supplier JOIN (
+      SELECT {nn('nombre')} AS clave, rfc_norm, '69-B (EFOS)' AS fuente, situacion,
+        NULL AS inicio, NULL AS fin, nombre FROM efos
+      UNION ALL SELECT {nn('nombre')}, rfc_norm, 'SFP sancionados', plazo_txt,
+        {iso('inicio')}, {iso('fin')}, nombre FROM sfp)
+      ON clave = upper(replace(s_name, '#', ' '))"""
+SQL["lg_complaint_groups"] = f"""
+    SELECT rfc, institucion, min(proveedor) AS proveedor,
+      min(inhabilitado_desde) AS inhabilitado_desde, max(hasta) AS hasta,
+      count(*) AS contratos, CAST(sum({dec('importe')}) AS DOUBLE) AS total_mxn
+    FROM f05 GROUP BY 1, 2"""
+CTES["two_alerts"] = """
+    SELECT uuid, '2002-01-01' AS ts, 'Procedimiento ' || o_orderkey AS nombre, score
+      FROM assessed WHERE score >= 4 AND o_orderstatus = 'F'
+    UNION ALL SELECT uuid, '2002-02-01', 'Procedimiento ' || o_orderkey, score + 1
+      FROM assessed WHERE score >= 6"""
+SQL["lg_alert_cases"] = """
+    SELECT uuid, min(nombre) AS nombre, max(score) AS max_score, 'nuevo' AS estado,
+      min(ts) AS first_seen, max(ts) AS last_alert FROM two_alerts GROUP BY 1"""
+
+# ------------------------------------------------------------------- reports
+SQL["rp_figures"] = f"""
+    SELECT
+      (SELECT CAST(round(sum(CAST(m AS DECIMAL(24,6))), 1) AS DOUBLE) FROM (
+        SELECT {mill(f"sum({dec('importe')}) FILTER (WHERE {MXN})", 1)} AS m FROM hits
+        WHERE situacion = 'Definitivo' GROUP BY file_year)) AS d01_monto,
+      (SELECT {mill(f"sum({dec('importe_num')}) FILTER (WHERE moneda = 'MXN')", 1)}
+        FROM archive_hits WHERE situacion = 'Definitivo') AS d01h_monto,
+      (SELECT CAST(count(*) AS DOUBLE) FROM archive_hits
+        WHERE situacion = 'Definitivo') AS d01h_contratos,
+      (SELECT CAST(count(DISTINCT nombre_norm) AS DOUBLE) FROM archive_hits
+        WHERE situacion = 'Definitivo') AS d01h_empresas,
+      (SELECT CAST(round(sum(CAST(m AS DECIMAL(24,6))), 1) AS DOUBLE) FROM (
+        SELECT {mill(f"sum({dec('importe')}) FILTER (WHERE edad_dias < 365 AND {MXN})", 1)}
+          AS m FROM aged GROUP BY file_year)) AS d04_monto,
+      (SELECT CAST(count(*) AS DOUBLE) FROM f05) AS d05_gun,
+      0.0::DOUBLE AS d03_noconf, 0.0::DOUBLE AS d03_total,
+      (SELECT CAST(count(*) AS DOUBLE) FROM f07) AS d07_n, 0.0::DOUBLE AS best_lift"""
+SQL["rp_derived_figures"] = f"""
+    SELECT
+      CAST((SELECT count(*) FROM f05) + (SELECT count(*) FROM state_sfp
+        WHERE durante_inhabilitacion) AS DOUBLE) AS inhabilitadas_n,
+      {rnd(f'''(SELECT CAST(sum(CAST(m AS DECIMAL(24,6))) AS DOUBLE) FROM (
+        SELECT {mill(f"sum({dec('importe')}) FILTER (WHERE {MXN})", 1)} AS m FROM hits
+        WHERE situacion = 'Definitivo' GROUP BY file_year))
+        + (SELECT {mill(f"sum({dec('importe')})", 6)} FROM f10e
+           WHERE situacion = 'Definitivo' AND importe_plausible)''', 1)}
+        AS facturera_rfc_monto,
+      CAST((SELECT count(*) FROM f01d WHERE situacion = 'Definitivo')
+        + (SELECT count(*) FROM f10e WHERE situacion = 'Definitivo'
+           AND importe_plausible) AS DOUBLE) AS facturera_rfc_contratos,
+      (SELECT CAST(count(*) AS DOUBLE) FROM state_sfp WHERE durante_inhabilitacion)
+        AS estatal_durante_n,
+      (SELECT CAST(count(*) AS DOUBLE) FROM f10e WHERE situacion = 'Definitivo'
+        AND importe_plausible) AS estatal_facturera_n,
+      (SELECT CAST(count(*) AS DOUBLE) FROM archive_hits
+        WHERE situacion = 'Definitivo') AS facturera_hist_contratos,
+      (SELECT CAST(count(*) AS DOUBLE) FROM f07) AS sobrecostos_n,
+      (SELECT CAST(round(sum(CAST(m AS DECIMAL(24,6))), 1) AS DOUBLE) FROM (
+        SELECT {mill(f"sum({dec('importe')}) FILTER (WHERE edad_dias < 365 AND {MXN})", 1)}
+          AS m FROM aged GROUP BY file_year)) AS jovenes_monto,
+      (SELECT CAST(count(DISTINCT estado_comprador) AS DOUBLE) FROM states)
+        AS estatal_estados_n"""
+SQL["rp_unified_debarred"] = f"""
+    SELECT proveedor, rfc, 'federal' AS ambito, inhabilitado_desde AS desde, hasta,
+      fecha_contrato, institucion AS comprador, monto_mxn_millones, direccion_anuncio
+    FROM f05
+    UNION ALL SELECT proveedor, rfc_norm, {titled('estado_comprador')}, {iso('inicio')}, {iso('fin')},
+      {iso('fecha_efectiva')}, sujeto_obligado, {rnd('importe / 1e6', 2)},
+      direccion_anuncio
+    FROM state_sfp WHERE durante_inhabilitacion"""
+SQL["rp_unified_fraud"] = f"""
+    SELECT proveedor, rfc, 'federal' AS ambito, definitivo_dof, fecha_contrato,
+      institucion AS comprador, {rnd('importe / 1e6', 2)} AS monto_mxn_millones,
+      direccion_anuncio
+    FROM f01d WHERE situacion = 'Definitivo'
+    UNION ALL SELECT proveedor, rfc, {titled('estado_comprador')}, definitivo_dof, fecha_contrato,
+      sujeto_obligado, monto_mxn_millones, direccion_anuncio
+    FROM f10e WHERE situacion = 'Definitivo' AND importe_plausible"""
+SQL["rp_offices"] = """
+    SELECT count(*) AS oficinas_total FROM (
+      SELECT institucion, nombre_uc FROM rot
+      UNION SELECT institucion, nombre_uc FROM ring_sum)"""
+SQL["rp_status_distribution"] = "SELECT situacion, count(*) AS contratos FROM f01d GROUP BY 1"
+SQL["rp_by_supplier"] = f"""
+    SELECT rfc, min(proveedor) AS proveedor, count(*) AS contratos,
+      CAST(sum({dec('importe')}) AS DOUBLE) AS total_mxn FROM f05 GROUP BY 1"""
+SQL["rp_inventory"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS nombre, count(*) AS filas FROM {t}" for n, t in (
+        ("f01_detalle_completo", "f01d"), ("f05_durante_inhabilitacion", "f05"),
+        ("f07_convenios_inflados", "f07"), ("f10_efos_estatal", "f10e"),
+        ("f06_anillos_constitucion", "ring_sum")))
+_FILE = """CASE event_type WHEN 'view' THEN 'sat_69b_completo.csv'
+    WHEN 'click' THEN 'sfp_sancionados.json' WHEN 'error' THEN 'dof_circulares.json'
+    ELSE 'otro_' || event_type || '.csv' END"""
+SQL["rp_freshness"] = f"""
+    SELECT archivo, strftime(descargado, '%Y-%m-%dT%H:%M:%S') AS descargado,
+      CAST(floor(epoch(TIMESTAMP '2024-02-20 00:00:00'
+        - date_trunc('second', descargado)) / 86400) AS INTEGER) AS edad_dias,
+      limite_dias, descargado IS NOT NULL AND coalesce(floor(epoch(
+        TIMESTAMP '2024-02-20 00:00:00' - date_trunc('second', descargado)) / 86400)
+          <= limite_dias, TRUE) AS vigente,
+      CASE WHEN descargado IS NULL THEN 'fuente esperada sin descarga registrada' END
+        AS nota
+    FROM (SELECT {_FILE} AS archivo, max(ts) AS descargado FROM events
+      WHERE value >= 1 GROUP BY 1)
+    FULL JOIN (VALUES {', '.join(f"('{k.format(year=2024)}', {v})"
+                                 for k, v in V.FRESHNESS_LIMITS.items())})
+      t(archivo, limite_dias) USING (archivo)"""
+SQL["rp_pending"] = """
+    SELECT clave, filas, CASE WHEN done IS NULL THEN 'nueva'
+      WHEN filas > done THEN 'creció' ELSE 'partes fallidas' END AS motivo
+    FROM (SELECT 'C' || o_custkey AS clave, count(*) AS filas,
+        count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS d,
+        nullif(d, 0) AS done, count(*) FILTER (WHERE o_orderstatus = 'P'
+          AND o_orderdate < TIMESTAMP '1998-01-01') AS failed
+      FROM orders GROUP BY 1)
+    WHERE done IS NULL OR filas > done OR failed > 0"""
