@@ -292,7 +292,7 @@ def _canonical(spark: SparkSession, sf: str) -> DataFrame:
 
 def _name_keys(spark: SparkSession, sf: str) -> DataFrame:
     key = C.name_norm("text")
-    return D.table(spark, sf, "documents").select(
+    return D.facts(spark, sf, "documents").select(
         "doc_id", F.md5(key).alias("clave"), F.length(key).alias("largo"))
 
 
@@ -307,7 +307,7 @@ def _recent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _bodies(spark: SparkSession, sf: str) -> DataFrame:
-    return D.table(spark, sf, "pages").select(
+    return D.facts(spark, sf, "pages").select(
         "page_id", F.md5(gazette.body_text("html")).alias("cuerpo"),
         gazette.body_rfc("html").alias("rfc"),
         gazette.body_term("html").alias("plazo_txt"))
@@ -456,7 +456,7 @@ def _freshness(spark: SparkSession, sf: str) -> DataFrame:
             .when(kind == "error", "dof_circulares.json")
             .otherwise(F.concat(F.lit("otro_"), kind, F.lit(".csv"))))
     now = dt.datetime(2024, 2, 20)
-    manifest = D.table(spark, sf, "events").select(
+    manifest = D.facts(spark, sf, "events").select(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("retrieved_at"),
         F.lit("").alias("sha256"),
         F.floor("value").cast("string").alias("bytes"), name.alias("file"))

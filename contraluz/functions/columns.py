@@ -29,8 +29,10 @@ def as_col(value: Column | str) -> Column:
 
 def number(text: Column | str, strip: str = ",") -> Column:
     """Text to double after removing the characters in `strip`; junk is NULL."""
-    bare = F.trim(F.translate(as_col(text), strip, ""))
-    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
+    bare = as_col(text)
+    for mark in strip:
+        bare = F.replace(bare, F.lit(mark), F.lit(""))
+    return F.regexp_extract(F.trim(bare), _NUMBER, 0).try_cast("double")
 
 
 def whole(text: Column | str) -> Column:
@@ -73,23 +75,29 @@ def share_pct(part: Column, base: Column, digits: int) -> Column:
 
 # -------------------------------------------------------------------- dates
 
-def parse_day(text: Column | str, *formats: str) -> Column:
-    """First of the day formats that fits; accepts one-digit days and months."""
+_SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
+_SLASHED_TIME = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: \d{1,2}:\d{1,2}.*)?$"
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_ISO_TIME = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ]\d.*|Z)?$"
+
+
+def parse_day(text: Column | str, iso: bool = True) -> Column:
+    """dd/mm/yyyy, or ISO unless switched off; one-digit parts are accepted.
+
+    The text is brought to ISO form and cast: a misfit yields NULL without
+    the exception that a formatter would raise for every such row.
+    """
     bare = F.trim(as_col(text))
-    return F.coalesce(*[F.try_to_date(bare, f)
-                        for f in formats or ("d/M/yyyy", "yyyy-M-d")])
+    if not iso:
+        bare = F.regexp_extract(bare, _SLASHED, 0)
+    turned = F.regexp_replace(bare, _SLASHED, "$3-$2-$1")
+    return F.regexp_extract(turned, _ISO, 0).try_cast("date")
 
 
 def parse_moment(text: Column | str) -> Column:
     """Date of ISO text (time and Z allowed) or dd/mm/yyyy[ HH:MM]; else NULL."""
-    bare = F.trim(as_col(text))
-    iso = F.when(
-        bare.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}){0,2}.*|Z)?$"),
-        F.try_to_date(F.substring(bare, 1, 10), "yyyy-MM-dd"))
-    slashed = F.when(
-        bare.rlike(r"^\d{1,2}/\d{1,2}/\d{4}( \d{1,2}:\d{1,2}.*)?$"),
-        F.try_to_date(F.regexp_extract(bare, r"^\S+", 0), "d/M/yyyy"))
-    return F.coalesce(iso, slashed)
+    turned = F.regexp_replace(F.trim(as_col(text)), _SLASHED_TIME, "$3-$2-$1")
+    return F.regexp_extract(turned, _ISO_TIME, 1).try_cast("date")
 
 
 def iso_text(day: Column | str) -> Column:
@@ -133,7 +141,9 @@ def name_norm(name: Column | str) -> Column:
     Accents removed, upper case, anything but letters and digits to one blank,
     legal-form suffixes cut from the end.
     """
-    plain = F.translate(as_col(name), _ACCENTED, _PLAIN)
+    raw = as_col(name)
+    plain = F.when(F.length(raw) == F.octet_length(raw), raw).otherwise(
+        F.translate(raw, _ACCENTED, _PLAIN))
     words = F.trim(F.upper(F.regexp_replace(plain, "[^A-Za-z0-9]+", " ")))
     return F.regexp_replace(words, _SUFFIX_TAIL, "")
 
@@ -179,14 +189,18 @@ def legal_person(rfc: Column | str) -> Column:
 def incorporation_day(rfc: Column | str, today: dt.date | None = None) -> Column:
     """Incorporation date in characters 4-9 of a legal person's key.
 
-    A two-digit year up to the clock's own belongs to this century.
+    A two-digit year up to the clock's own belongs to this century.  The key is
+    rewritten step by step, so the expression refers to it only once and stays
+    small where the optimizer copies it into a filter.
     """
+    tens, ones = divmod(clock_year(today) % 100, 10)
+    recent = f"{tens}[0-{ones}]" + (f"|[0-{tens - 1}][0-9]" if tens else "")
     key = F.trim(as_col(rfc))
-    short_year = F.substring(key, 4, 2).try_cast("int")
-    century = F.when(short_year <= clock_year(today) % 100, "20").otherwise("19")
-    digits = F.concat(century, F.substring(key, 4, 6))
-    return F.when((F.length(key) == 12) & digits.rlike(r"^\d{8}$"),
-                  F.try_to_date(digits, "yyyyMMdd"))
+    dated = F.regexp_replace(
+        key, rf"^.{{3}}({recent})(\d\d)(\d\d).{{3}}$", "20$1-$2-$3")
+    dated = F.regexp_replace(
+        dated, r"^.{3}(\d\d)(\d\d)(\d\d).{3}$", "19$1-$2-$3")
+    return F.regexp_extract(dated, r"^\d{4}-\d\d-\d\d$", 0).try_cast("date")
 
 
 def age_days(born: Column | str, day: Column | str) -> Column:

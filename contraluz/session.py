@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # a side is broadcast only when its measured size is below this
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # the federal files are windows-1252, which needs the JVM's own charsets
     "spark.sql.legacy.javaCharsets": "true",
@@ -79,3 +81,13 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows spread over all cores where a scan has fewer splits than cores.
+
+    A large table has more splits than the cluster has cores and is returned
+    as it is, without a shuffle; only a compact file is dealt out.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -51,16 +51,18 @@ def year_of_file(name: Column | str) -> Column:
 
 def canonical_contracts(raw: DataFrame, today: dt.date | None = None) -> DataFrame:
     """Adds the derived columns; all of them are codegen expressions."""
-    used = C.number("importe_drc")
-    ceiling, last = C.number("monto_max_con_imp"), C.number("monto_max_con_imp_uc")
-    spent = used.isNotNull()
+    parsed = raw.withColumns({
+        "_used": C.number("importe_drc"),
+        "monto_original": C.number("monto_max_con_imp"),
+        "monto_ultimo_convenio": C.number("monto_max_con_imp_uc")})
+    spent = F.col("_used").isNotNull()
     dates = [C.parse_day(c) for c in (
         "fecha_firma_contrato", "fecha_firma2", "fecha_inicio_contrato",
         "fecha_fallo")]
-    return raw.withColumns({
+    return parsed.withColumns({
         "file_year": year_of_file("filename"),
         "fecha_efectiva": F.coalesce(*dates),
-        "importe": F.coalesce(used, ceiling, last),
+        "importe": F.coalesce("_used", "monto_original", "monto_ultimo_convenio"),
         "tipo_monto": F.when(spent, "ejercido").otherwise("techo_maximo"),
         "moneda_efectiva": F.when(spent, F.col("moneda_drc"))
         .otherwise(F.col("moneda")),
@@ -68,6 +70,4 @@ def canonical_contracts(raw: DataFrame, today: dt.date | None = None) -> DataFra
         "rfc_norm": C.rfc_norm("rfc"),
         "es_persona_moral": C.legal_person("rfc"),
         "fecha_constitucion_rfc": C.incorporation_day("rfc", today),
-        "monto_original": ceiling,
-        "monto_ultimo_convenio": last,
-    })
+    }).drop("_used")

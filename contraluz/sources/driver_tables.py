@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contraluz.functions import columns as C
+from contraluz.session import spread
 from contraluz.sources.states import with_key_traits
 
 
@@ -19,6 +20,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def facts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A large table; a compact single file is dealt out to all cores."""
+    return spread(table(spark, folder, name))
+
+
 def _day(start: str, days: Column) -> Column:
     return F.date_add(F.lit(start).cast("date"), days.cast("int"))
 
@@ -85,7 +91,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
              .select("c_custkey", "c_mktsegment", "n_nationkey", "n_name",
                      "n_regionkey"))
-    return (table(spark, folder, "lineitem")
+    return (facts(spark, folder, "lineitem")
             .join(table(spark, folder, "orders"),
                   F.col("l_orderkey") == F.col("o_orderkey"))
             .join(buyer, F.col("o_custkey") == F.col("c_custkey"))
@@ -270,7 +276,7 @@ def gazette_notes(spark: SparkSession, folder: str) -> DataFrame:
 
 def feed(spark: SparkSession, folder: str) -> DataFrame:
     """Listing snapshots: the event type is the status of a procedure."""
-    return table(spark, folder, "events").select(
+    return facts(spark, folder, "events").select(
         _text("user_id").alias("uuid"), F.col("event_type").alias("estatus"),
         "ts", "event_id")
 
@@ -310,7 +316,7 @@ def procedure_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def awards(spark: SparkSession, folder: str) -> DataFrame:
-    return (table(spark, folder, "lineitem")
+    return (facts(spark, folder, "lineitem")
             .join(suppliers(spark, folder),
                   F.col("l_suppkey") == F.col("s_suppkey"))
             .select(

@@ -28,11 +28,11 @@ def canonical_efos(raw: DataFrame) -> DataFrame:
     """One row per key, the latest definitive date first."""
     typed = raw.where(F.length(F.trim("rfc")) >= 12).select(
         C.rfc_norm("rfc").alias("rfc_norm"), "nombre", "situacion",
-        F.coalesce(C.parse_day("pub_dof_definitivos", "d/M/yyyy"),
-                   C.parse_day("pub_sat_definitivos", "d/M/yyyy"))
+        F.coalesce(C.parse_day("pub_dof_definitivos", iso=False),
+                   C.parse_day("pub_sat_definitivos", iso=False))
         .alias("fecha_definitivo"),
-        F.coalesce(C.parse_day("pub_dof_presuntos", "d/M/yyyy"),
-                   C.parse_day("pub_sat_presuntos", "d/M/yyyy"))
+        F.coalesce(C.parse_day("pub_dof_presuntos", iso=False),
+                   C.parse_day("pub_sat_presuntos", iso=False))
         .alias("fecha_presunto"))
     return latest_per_key(
         typed, ["rfc_norm"],
