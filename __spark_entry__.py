@@ -313,29 +313,32 @@ def _bodies(spark: SparkSession, sf: str) -> DataFrame:
         gazette.body_term("html").alias("plazo_txt"))
 
 
-def _assessed(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.assess(
+def _fired(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.fired_rules(
         D.procedures(spark, sf), D.procedure_records(spark, sf),
         D.awards(spark, sf), D.efos(spark, sf), D.sfp(spark, sf),
         _recent(spark, sf), big_mxn=5e6)
 
 
 def _scores(spark: SparkSession, sf: str) -> DataFrame:
-    codes = F.array_sort(F.col("flags.code"))
-    return _assessed(spark, sf).select(
-        "uuid", "numero", "score", F.size("flags").alias("n_flags"),
-        F.array_join(codes, ",").alias("codes"))
+    codes = F.transform("codes", lambda c: F.format_string(
+        "%s:%d", c["code"], c["n"]))
+    return rules.assess(D.procedures(spark, sf), _fired(spark, sf)).select(
+        "uuid", "numero", "score", "n_flags",
+        F.coalesce(F.array_join(codes, ","), F.lit("")).alias("codes"))
 
 
 def _alerts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _assessed(spark, sf).withColumn("change", F.lit("new"))
-    return rules.alerts(rows, F.lit("2002-01-01"), threshold=4)
+    fired = stored(_fired(spark, sf))
+    rows = rules.assess(D.procedures(spark, sf), fired).withColumn(
+        "change", F.lit("new"))
+    return rules.alerts(rows, fired, F.lit("2002-01-01"), threshold=4)
 
 
 def _alert_table(spark: SparkSession, sf: str) -> DataFrame:
     return _alerts(spark, sf).select(
         "ts", "uuid", "nombre", "score", F.size("reasons").alias("razones"),
-        F.coalesce(F.size("awards_flagged"), F.lit(0)).alias("senaladas"),
+        F.size("awards_flagged").alias("senaladas"),
         "url", "change", "orden_gobierno", "estado_comprador")
 
 

@@ -234,9 +234,12 @@ def complaints_with_folios(during: DataFrame, filed: DataFrame) -> DataFrame:
         "rfc", "_turn", F.col("folio").alias("_next"))
     free = (first.where(F.col("_folio").isNull())
             .join(queued.select("rfc").dropDuplicates(), "rfc", "left_semi"))
+    # complaints are filed by hand: their longest queue bounds the rows ranked
+    longest = queued.agg(F.max("_turn")).first()[0] or 0
     place = Window.partitionBy("rfc").orderBy("nombre_caso")
     taken = (free.select("rfc", "nombre_caso")
              .withColumn("_turn", F.row_number().over(place))
+             .where(F.col("_turn") <= longest)
              .join(queued, ["rfc", "_turn"]).select("nombre_caso", "_next"))
     second = first.join(taken, "nombre_caso", "left").withColumn(
         "_own", F.coalesce("_folio", "_next"))

@@ -951,20 +951,20 @@ CTES["assessed"] = f"""
     SELECT o.*, coalesce(f.score, 0) AS score, coalesce(n_flags, 0) AS n_flags,
       coalesce(codes, '') AS codes, coalesce(listed, 0) AS listed
     FROM (SELECT *, md5(CAST(o_orderkey AS VARCHAR)) AS uuid FROM orders) o
-    LEFT JOIN (SELECT uuid, CAST(sum(coalesce(weight, CASE
-          WHEN code IN ('EXCEPCION', 'ANTICIPO') THEN 1 ELSE 2 END)) AS INTEGER)
-          AS score,
-        CAST(count(*) AS INTEGER) AS n_flags,
-        string_agg(code, ',' ORDER BY code) AS codes,
-        CAST(count(*) FILTER (WHERE code IN ('EFOS_69B', 'SFP_SANCION',
-          'DOF_INHABILITACION')) AS INTEGER) AS listed
-      FROM fired GROUP BY 1) f USING (uuid)"""
+    LEFT JOIN (SELECT uuid, CAST(sum(w) AS INTEGER) AS score, {big('sum(n)')} AS n_flags,
+        string_agg(code || ':' || n, ',' ORDER BY code) AS codes,
+        CAST(coalesce(sum(n) FILTER (WHERE code IN ('EFOS_69B', 'SFP_SANCION',
+          'DOF_INHABILITACION')), 0) AS INTEGER) AS listed
+      FROM (SELECT uuid, code, count(*) AS n, sum(coalesce(weight, CASE
+            WHEN code IN ('EXCEPCION', 'ANTICIPO') THEN 1 ELSE 2 END)) AS w
+          FROM fired GROUP BY 1, 2)
+      GROUP BY 1) f USING (uuid)"""
 SQL["rt_rules"] = """
     SELECT uuid, 'LA-' || (o_orderkey % 40 + 52) || '-' || o_orderkey AS numero,
       score, n_flags, codes FROM assessed"""
 SQL["rt_alerts"] = f"""
     SELECT '2002-01-01' AS ts, uuid, 'Procedimiento ' || o_orderkey AS nombre,
-      score, n_flags AS razones, listed AS senaladas,
+      score, CAST(n_flags AS INTEGER) AS razones, listed AS senaladas,
       replace('{V.PROCEDURE_URL}', '{{}}', uuid) AS url, 'new' AS change,
       CASE WHEN {_STATE_OF} IS NOT NULL THEN 'GEM' END AS orden_gobierno,
       {_STATE_OF} AS estado_comprador

@@ -23,12 +23,20 @@ GAZETTE = ("nombre_norm string, cod_nota long, quien string, rfc string, fecha d
            "fecha_dof string, plazo_txt string, url string")
 
 
-def assessed(spark, procedures, records=(), awards=(), fraud=(), barred=(), recent=()):
-    return rules.assess(
-        spark.createDataFrame(procedures, PROCEDURE),
-        spark.createDataFrame(list(records), RECORD),
+def judged(spark, procedures, records=(), awards=(), fraud=(), barred=(), recent=()):
+    listed = spark.createDataFrame(procedures, PROCEDURE)
+    fired = rules.fired_rules(
+        listed, spark.createDataFrame(list(records), RECORD),
         spark.createDataFrame(list(awards), AWARD), efos(spark, *fraud),
         sfp(spark, *barred), spark.createDataFrame(list(recent), GAZETTE))
+    rows = rules.assess(listed, fired).withColumn("change", F.lit("new"))
+    return rows, fired
+
+
+def assessed(spark, *args, **kwargs):
+    """Every procedure as an alert record, whatever its score."""
+    rows, fired = judged(spark, *args, **kwargs)
+    return rules.alerts(rows, fired, F.lit("t"), threshold=0)
 
 
 def procedure(uuid="u", kind="LICITACIÓN PÚBLICA", number="LA-66-1", opened=None):
@@ -40,8 +48,14 @@ def record(uuid="u", **cells):
     return (uuid, *[cells.get(n) for n in names])
 
 
+def fired_weights(row):
+    """code -> weight of a record's reasons 'CODE (+2): …'."""
+    return {r.split(" ")[0]: int(r.split("(+")[1].split(")")[0])
+            for r in row["reasons"] or []}
+
+
 def codes(df):
-    return {r["uuid"]: sorted(f["code"] for f in r["flags"]) for r in df.collect()}
+    return {r["uuid"]: sorted(fired_weights(r)) for r in df.collect()}
 
 
 def test_tender_window(spark):
@@ -61,7 +75,7 @@ def test_additive_procedure_rules(spark):
         plazo_proc_contratacion="Plazo RECORTADO", contratacion_emergencia="si",
         excepcion_fraccion="III", anticipo="1", porcentaje_anticipo="30")]).first()
     assert row["score"] == 2 + 2 + 2 + 1 + 1
-    assert [f["detail"] for f in row["flags"]][-1] == "anticipo 30%"
+    assert row["reasons"][-1] == "ANTICIPO (+1): anticipo 30%"
 
 
 def award(name, when="2026-06-10", amount=1.0, code="X", currency="MXN", most=None):
@@ -79,7 +93,7 @@ def test_award_rules_and_evidence(spark):
         recent=[("RECIENTE SUR", 1, "x", None, D(2026, 6, 1), "2026-06-01", None, "x"),
                 ("BARRIDA NORTE", 2, "x", None, D(2026, 6, 1), "2026-06-01", None, "x")])
     row = df.first()
-    assert {f["code"]: f["weight"] for f in row["flags"]} == {
+    assert fired_weights(row) == {
         "EFOS_69B": 6, "SFP_SANCION": 8, "DOF_INHABILITACION": 3, "MONTO_ALTO": 1}
     assert row["score"] == 18
     assert {a["lista"] for a in row["awards_flagged"]} == {"69-B", "SFP", "DOF"}
@@ -91,19 +105,21 @@ def test_directory_hides_the_gazette(spark):
         barred=[("BAR101010AB1", "BARRIDA NORTE", D(2026, 1, 1), D(2026, 12, 31))],
         recent=[("BARRIDA NORTE", 2, "x", None, D(2020, 6, 1), "2020-06-01", None, "x")]
     ).first()
-    assert [(f["code"], f["weight"]) for f in row["flags"]] == [("SFP_SANCION", 3)]
+    assert fired_weights(row) == {"SFP_SANCION": 3}
     assert row["awards_flagged"][0]["durante_inhabilitacion"] is False
 
 
 def test_alert_record(spark):
-    df = assessed(spark, [procedure(kind="ADJUDICACIÓN DIRECTA"), procedure("low")])
-    rows = rules.alerts(df.withColumn("change", F.lit("new")), F.lit("t")).collect()
+    pair = judged(spark, [procedure(kind="ADJUDICACIÓN DIRECTA"), procedure("low")])
+    rows = rules.alerts(*pair, F.lit("t")).collect()
     assert len(rows) == 1
     alert = rows[0]
     assert alert["reasons"] == [
         "DIRECTA (+2): adjudicación directa (ADJUDICACIÓN DIRECTA)"]
     assert (alert["orden_gobierno"], alert["estado_comprador"]) == ("GEM", "CHIAPAS")
     assert alert["url"].endswith("detalle/u/procedimiento")
+    assert [(c["code"], c["n"]) for c in pair[0].where("uuid = 'u'").first()["codes"]] \
+        == [("DIRECTA", 1)]
     log = spark.createDataFrame(
         [("u", "t1", 2), ("u", "t2", 5), ("u", "t3", 5)], "uuid string, ts string, score int")
     assert [tuple(r) for r in rules.best_alerts(log).select("ts", "score").collect()] == [
@@ -169,6 +185,16 @@ def test_stream_forgets_after_the_age_limit(spark, tmp_path):
         (3, "new", T(2024, 7, 1))]
 
 
+def test_very_long_records_stay_in_the_rule_rows(spark, monkeypatch):
+    monkeypatch.setattr(rules, "INLINE_REASONS", 3)
+    big = [award("FANTASMA SA DE CV", code=f"X{i}") for i in range(5)]
+    rows, fired = judged(spark, [procedure()], awards=big, fraud=[
+        ("FAN101010AB1", "Fantasma", "Presunto", None, None)])
+    alert = rules.alerts(rows, fired, F.lit("t")).first()
+    assert alert["score"] == 10 and alert["n_flags"] == 5 and alert["reasons"] is None
+    assert fired.where("evidence.rfc = 'FAN101010AB1'").count() == 5
+
+
 def test_prune(spark):
     table = spark.createDataFrame(
         [("old", "2026-01-01T00:00:00"), ("new", "2026-06-01T00:00:00"), ("none", None),
@@ -194,7 +220,7 @@ def test_monitor_end_to_end(spark, tmp_path):
             lambda s: (efos(s), sfp(s), s.createDataFrame([], GAZETTE)),
             interval=None).awaitTermination()
         return sorted(r["change"] for r in spark.read.json(
-            str(tmp_path / "alerts")).collect())
+            str(tmp_path / "alerts" / "alerts")).collect())
 
     land("p1")
     assert poll() == ["new"]
