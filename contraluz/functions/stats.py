@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,3 +197,7 @@ def flag_discoveries(tests: DataFrame, p: str, flag: str,
            .agg(F.max("_p").alias("cut")))
     return tests.withColumn(
         flag, F.coalesce(value <= cut.scalar(), F.lit(False)))
+
+
+# tasks receive the helpers themselves, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,10 +5,12 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import io
+import sys
 from collections import defaultdict
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -169,3 +171,7 @@ def key_quality(raw: DataFrame, rfc: str = "rfc",
         F.count_if(kind == "vacio").alias("vacio"),
         F.count_if(kind == "basura").alias("basura"),
         F.count_if(C.rfc_generic(rfc)).alias("genericos"))
+
+
+# tasks receive the helpers themselves, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -116,3 +118,7 @@ def prune(seen: DataFrame, now, max_age_days: int = V.SEEN_MAX_AGE_DAYS) -> Data
     cutoff = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {max_age_days} DAYS")
     last = F.try_to_timestamp(F.col("last_seen").cast("string"))
     return seen.where(F.coalesce(last >= cutoff, F.lit(True)))
+
+
+# tasks receive the helpers themselves, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
