@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contraluz.functions import fixed_values as V
+from contraluz.session import stored
 
 
 def normal_quantile(confidence: float) -> float:
@@ -171,11 +172,14 @@ def flag_discoveries(tests: DataFrame, p: str, flag: str,
                      q: float = 0.05) -> DataFrame:
     """Benjamini-Hochberg flag at rate q without sorting all tests in one task.
 
+    The tests are stored first: they are few aggregated rows, and all branches
+    below would otherwise repeat the scan behind them.
     The rank of a p-value is the count of tests with a p no larger.  Distinct
     p-values are counted first, then grouped by order of magnitude; only the
     magnitude table (at most about 33,000 rows, as doubles end near 1e-308) is
     summed up in order, and ranks inside a magnitude are local to it.
     """
+    tests = stored(tests)
     value = F.col(p)
     magnitude = (F.when(value.isNull(), F.lit(None))
                  .when(value <= 0, F.lit(-40_000))

@@ -1,4 +1,8 @@
-"""Structural marks of collusion: rotation, incorporation rings, splitting."""
+"""Structural marks of collusion: rotation, incorporation rings, splitting.
+
+Rotation and rings read their per-office totals in several branches, so the
+totals are stored once and the contracts behind them are scanned once.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contraluz.functions import columns as C
+from contraluz.session import stored
 
 OFFICE = ["institucion", "nombre_uc"]
 
@@ -60,7 +65,7 @@ def _rotating_offices(wins: DataFrame, keys: list[str], min_contracts: int,
 def rotation_candidates(contracts: DataFrame, min_contracts: int = 12,
                         max_suppliers: int = 5, min_evenness: float = 0.75,
                         keys: list[str] = OFFICE) -> DataFrame:
-    wins = tender_wins(contracts, keys)
+    wins = stored(tender_wins(contracts, keys))
     offices = _rotating_offices(wins, keys, min_contracts, max_suppliers,
                                 min_evenness)
     # at most max_suppliers rows per office reach this list
@@ -78,7 +83,7 @@ def rotation_candidates(contracts: DataFrame, min_contracts: int = 12,
 def rotation_members(contracts: DataFrame, min_contracts: int = 12,
                      max_suppliers: int = 5, min_evenness: float = 0.75,
                      keys: list[str] = OFFICE) -> DataFrame:
-    wins = tender_wins(contracts, keys)
+    wins = stored(tender_wins(contracts, keys))
     offices = _rotating_offices(wins, keys, min_contracts, max_suppliers,
                                 min_evenness)
     return wins.join(offices.select(*keys), keys, "left_semi").select(
@@ -128,7 +133,7 @@ def ring_firms(contracts: DataFrame, keys: list[str],
 
 def ring_members(contracts: DataFrame, window_days: int = 30,
                  min_companies: int = 3, keys: list[str] = OFFICE) -> DataFrame:
-    firms = ring_firms(contracts, keys, C.mxn_ok())
+    firms = stored(ring_firms(contracts, keys, C.mxn_ok()))
     return widest_incorporation_run(firms, keys, window_days, min_companies)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from contraluz.functions import columns as C
 from contraluz.operators import ages, collusion
 from contraluz.operators import matching as M
+from contraluz.session import stored
 
 BUYER = ["estado_comprador", "sujeto_obligado"]
 
@@ -115,8 +116,8 @@ def concentration(state: DataFrame, min_total: float = 10e6,
 def rings(state: DataFrame, window_days: int = 30, min_companies: int = 3,
           min_share: float = 0.25) -> DataFrame:
     """Rings that are a real part of the buyer's dated legal-person suppliers."""
-    firms = collusion.ring_firms(
-        state.where("rfc_valido"), BUYER, C.plausible_amount())
+    firms = stored(collusion.ring_firms(
+        state.where("rfc_valido"), BUYER, C.plausible_amount()))
     suppliers = firms.groupBy("sujeto_obligado").agg(
         F.countDistinct("rfc_norm").alias("proveedores_del_sujeto"))
     members = collusion.widest_incorporation_run(

@@ -35,7 +35,11 @@ def _order(*columns: str) -> tuple[Column, ...]:
 
 def build(tables: Tables, thresholds: Mapping[str, Mapping] | None = None
           ) -> dict[str, tuple[DataFrame, tuple[Column, ...]]]:
-    """Every finding as (lazy table, presentation order)."""
+    """Every finding as (table, presentation order).
+
+    Tables are lazy but for small totals that several branches read, which are
+    stored while the catalogue is built.
+    """
     options = {**signals.DEFAULTS, **(thresholds or {})}
     contracts, efos, sfp = tables.contracts, tables.efos, tables.sfp
     hits = M.fraud_hits(contracts, efos)
