@@ -712,7 +712,6 @@ def _window(t: int, width: float = 0.05) -> str:
 
 
 _SCANS = " UNION ALL ".join(_window(t) for t in V.CUT_POINTS)
-_LC = "lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)"
 SQL["d11_bunching"] = with_core(f"""
     scans AS ({_SCANS}),
     bt AS (SELECT *, bajo + sobre AS n FROM scans WHERE bajo + sobre >= 30),
