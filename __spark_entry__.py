@@ -24,6 +24,12 @@ from contraluz.sources import gazette, states
 from contraluz.sources.other import last_retrievals
 from contraluz.streaming import rules, seen
 
+try:  # the training-data operators can be left out
+    import corpus_pipeline
+    from contraluz.llm import queries as training
+except ModuleNotFoundError:
+    training = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # thresholds that leave rows on the driver's tables
@@ -556,9 +562,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {**_detector_queries(), **_layer_queries()}
+    own = {**_detector_queries(), **_layer_queries()}
+    if training is None:
+        return own
+    return {**own, **training.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracle.statement(body) if not body.startswith("WITH ") else body
-            for name, body in oracle.SQL.items()}
+    own = {name: oracle.statement(body) if not body.startswith("WITH ") else body
+           for name, body in oracle.SQL.items()}
+    return own if training is None else {**own, **training.SQL}
