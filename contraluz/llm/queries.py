@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contraluz.llm import byte_bpe, token_counts
+from contraluz.llm import byte_bpe, repeated_windows, token_counts
 from contraluz.llm.common import documents
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,11 @@ def op1_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "n_reencoded", F.sha2("edited", 256).alias("edited_sha256"))
 
 
+def op2_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_windows.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = byte_bpe.Codec(byte_bpe.read_ranks(RANK_FILE), public_tokenizers.PATTERN)
     encoded = byte_bpe.encode(documents(spark, sf_dir), "text", codec)
@@ -37,6 +42,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_token_counts": op1_edit_token_counts,
+    "op2_repeated_windows": op2_repeated_windows,
     "op4_byte_bpe": op4_byte_bpe,
 }
 SQL: dict[str, str] = {}
