@@ -23,13 +23,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from contraluz.llm.common import map_column, pieces_of, ship
+from contraluz.llm.common import map_column, ship
 
 NONE = np.int32(2**31 - 1)
 BUCKETS = (4, 8, 16, 32, 64, 256)
-CELLS = 1 << 20
-CHARS = 4 << 20
-REMEMBERED = 300_000
+CELLS = 1 << 19
+REMEMBERED = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -257,14 +256,10 @@ def encode(df: DataFrame, text: str, codec: Codec, out: str = "ids") -> DataFram
 
         def work(column: pa.Array) -> list[pa.Array]:
             texts = [t or "" for t in column.to_pylist()]
-            ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-            for a, b in pieces_of([len(t) for t in texts], CHARS):
-                found = encoder.encode(texts[a:b])
-                ids.append(found[0])
-                sizes.append(found[1])
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+            ids, sizes = encoder.encode(texts)
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
             return [pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)))]
+                pa.array(offsets, pa.int32()), pa.array(ids))]
         return work
 
     return map_column(df, text, f"`{out}` array<int>", start)

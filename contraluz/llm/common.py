@@ -6,7 +6,9 @@ import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,11 @@ from pyspark.sql.types import StructType
 
 from contraluz.session import stored
 
-__all__ = ["documents", "held_out", "map_column", "pieces_of", "ship", "stored",
+__all__ = ["documents", "held_out", "map_column", "ship", "slices", "stored",
            "table", "without"]
 
+SLICE = 1 << 20
+
 
 def ship(module: str) -> None:
     """Functions of the module travel by value, so workers need no copy of it."""
@@ -61,8 +65,8 @@ def map_column(df: DataFrame, column: str, added: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            if batch.num_rows:
-                columns = batch.columns
+            for part in slices(batch, batch.num_columns - 1):
+                columns = part.columns
                 yield pa.RecordBatch.from_arrays(
                     [*columns[:-1], *work(columns[-1])], names=names)
 
@@ -70,16 +74,21 @@ def map_column(df: DataFrame, column: str, added: str,
     return df.select(*chosen, F.col(f"`{column}`").alias(source)).mapInArrow(run, schema)
 
 
-def pieces_of(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of rows whose lengths sum to about `most` at most."""
-    begin, total = 0, 0
-    for i, n in enumerate(lengths):
-        if total and total + n > most:
-            yield begin, i
-            begin, total = i, 0
-        total += n
-    if begin < len(lengths):
-        yield begin, len(lengths)
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batch in consecutive parts of about `most` bytes or items of a column.
+
+    Spark bounds a batch by rows alone; whatever a task derives from the rows
+    stays small this way, also where texts are long.
+    """
+    values = batch.column(column)
+    size = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    ends = np.cumsum(size(values).fill_null(0).to_numpy(zero_copy_only=False) + 1)
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
 
 
 ship(__name__)

@@ -22,10 +22,10 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contraluz.llm.common import ship, without
+from contraluz.llm.common import ship, slices, without
 
 BLOCK = 64
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 BOUNDARY = 2  # characters before an edit whose pre-tokens it can still change
 EDIT = "array<struct<start:int,removed:int,inserted:string>>"
 
@@ -174,23 +174,25 @@ def count_with_edits(df: DataFrame, text: str, edits: str, ranks: dict[bytes, in
     for part in added.split(", "):
         schema = schema.add(*part.split())
 
+    def one(part, counter):
+        columns, rows = part.columns, []
+        for body, changes in zip(columns[-2], columns[-1]):
+            body, changes = body.as_py() or "", changes.as_py() or []
+            tree = SegmentTree(*cut(body, counter))
+            n, pieces, again = tree.total, sum(map(len, tree.lengths)), 0
+            for c in changes:
+                body, some = edit(body, tree, counter, c["start"] or 0,
+                                  c["removed"] or 0, c["inserted"] or "")
+                again += some
+            rows.append((n, tree.total, pieces, again, body))
+        out = [pa.array(x, t) for x, t in zip(zip(*rows), [pa.int64()] * 4 + [pa.string()])]
+        return pa.RecordBatch.from_arrays([*columns[:-2], *out], names=schema.names)
+
     def run(batches):
         counter = Counter(*shared.value)
         for batch in batches:
-            columns, rows = batch.columns, []
-            for body, changes in zip(columns[-2], columns[-1]):
-                body, changes = body.as_py() or "", changes.as_py() or []
-                tree = SegmentTree(*cut(body, counter))
-                n, pieces, again = tree.total, sum(map(len, tree.lengths)), 0
-                for c in changes:
-                    body, some = edit(body, tree, counter, c["start"] or 0,
-                                      c["removed"] or 0, c["inserted"] or "")
-                    again += some
-                rows.append((n, tree.total, pieces, again, body))
-            if rows:
-                out = [pa.array(x, t) for x, t in zip(
-                    zip(*rows), [pa.int64()] * 4 + [pa.string()])]
-                yield pa.RecordBatch.from_arrays([*columns[:-2], *out], names=schema.names)
+            for part in slices(batch, batch.num_columns - 2):
+                yield one(part, counter)
 
     return chosen.mapInArrow(run, schema)
 
