@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contraluz.llm import byte_bpe, repeated_windows, token_counts
+from contraluz.llm import byte_bpe, near_duplicates, repeated_windows, token_counts
 from contraluz.llm.common import documents
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -40,9 +40,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_token_counts": op1_edit_token_counts,
     "op2_repeated_windows": op2_repeated_windows,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_dart_minhash": op7_dart_minhash,
 }
 SQL: dict[str, str] = {}
