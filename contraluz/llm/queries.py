@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contraluz.llm import byte_bpe, near_duplicates, repeated_windows, token_counts
-from contraluz.llm.common import documents
+from contraluz.llm import byte_bpe, language_crf, near_duplicates, repeated_windows, token_counts
+from contraluz.llm.common import documents, held_out, table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -44,10 +44,19 @@ def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(documents(spark, sf_dir))
 
 
+def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = held_out("doc_id", 3, 1)
+    model = language_crf.train(docs.where(language_crf.learnable("doc_id", held)))
+    return language_crf.predict(docs.select("doc_id", "text"), "text", model).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_token_counts": op1_edit_token_counts,
     "op2_repeated_windows": op2_repeated_windows,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_dart_minhash": op7_dart_minhash,
+    "op8_language_crf": op8_language_crf,
 }
 SQL: dict[str, str] = {}
