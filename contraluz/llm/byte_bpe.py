@@ -230,7 +230,8 @@ class Encoder:
         pieces = [p for c in cut for p in c]
         if len(self.index) > REMEMBERED:
             self.forget()
-        if new := list(set(pieces) - self.index.keys()):
+        known = self.index
+        if new := [p for p in set(pieces) if p not in known]:
             self.learn(new)
         codes = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
         sizes = self.sizes[codes]

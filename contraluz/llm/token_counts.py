@@ -30,6 +30,17 @@ BOUNDARY = 2  # characters before an edit whose pre-tokens it can still change
 EDIT = "array<struct<start:int,removed:int,inserted:string>>"
 
 
+class Known(dict):
+    """Token counts of pre-tokens, encoded when first asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> int:
+        found = self[piece] = len(self.encode(piece.encode()))
+        return found
+
+
 class Counter:
     """Pre-tokens and their token counts, with a bounded memory of them."""
 
@@ -37,16 +48,12 @@ class Counter:
         self.pattern = regex.compile(pattern)
         self.encoding = tiktoken.Encoding(
             "counts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, int] = {}
-        self.encoded = 0
+        self.known = Known(self.encoding._encode_single_piece)
 
     def counts(self, pieces: list[str]) -> np.ndarray:
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known, one = self.known, self.encoding._encode_single_piece
-        for p in set(pieces) - known.keys():
-            known[p] = len(one(p.encode()))
-        return np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces))
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int32, len(pieces))
 
 
 class SegmentTree:
@@ -62,8 +69,10 @@ class SegmentTree:
         self.chars = np.zeros(2 * self.width, np.int64)
         self.tokens = np.zeros(2 * self.width, np.int64)
         n = len(self.lengths)
-        self.chars[self.width:self.width + n] = [x.sum() for x in self.lengths]
-        self.tokens[self.width:self.width + n] = [x.sum() for x in self.counts]
+        if len(lengths):
+            starts = np.arange(0, len(lengths), BLOCK)
+            self.chars[self.width:self.width + n] = np.add.reduceat(lengths, starts)
+            self.tokens[self.width:self.width + n] = np.add.reduceat(counts, starts)
         level = self.width
         while level > 1:
             for sums in (self.chars, self.tokens):
