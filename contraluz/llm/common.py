@@ -16,10 +16,11 @@ from pyspark.sql.types import StructType
 
 from contraluz.session import stored
 
-__all__ = ["documents", "held_out", "map_column", "ship", "slices", "stored",
+__all__ = ["documents", "few", "held_out", "map_column", "ship", "slices", "stored",
            "table", "without"]
 
 SLICE = 1 << 20
+BROADCAST_ROWS = 1_000_000
 
 
 def ship(module: str) -> None:
@@ -74,6 +75,15 @@ def map_column(df: DataFrame, column: str, added: str,
     return df.select(*chosen, F.col(f"`{column}`").alias(source)).mapInArrow(run, schema)
 
 
+def few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows, marked for broadcast if they are counted to be few.
+
+    For stored tables of a few narrow columns: `most` rows of them are some
+    tens of megabytes.  Beyond that the join that uses them shuffles.
+    """
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batch in consecutive parts of about `most` bytes or items of a column.
 

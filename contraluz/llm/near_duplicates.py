@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contraluz.llm.common import ship, slices, stored
+from contraluz.llm.common import few, ship, slices, stored
 from contraluz.llm.hashing import Hasher, U, mix, scaled
 
 SHINGLE = 5
@@ -39,7 +39,6 @@ SIMILARITY = 0.8
 R, BANDS = 6, 42
 LEADERS = 8  # members of a bucket that lead a later round
 DOCS = 400  # documents whose darts are thrown at once
-BROADCAST_IDS = 4_000_000  # ids of 8 bytes; beyond it the join shuffles
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 
 
@@ -163,9 +162,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """
     pairs = stored(pairs)
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.join(ids, "doc_id", "left_semi")
+    texts = docs.join(few(ids), "doc_id", "left_semi")
     texts = stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")))
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contraluz.llm import byte_bpe, language_crf, near_duplicates, repeated_windows, token_counts
+from contraluz.llm import (benchmark_containment, byte_bpe, language_crf, near_duplicates,
+                           repeated_windows, token_counts, toxicity_grammar)
 from contraluz.llm.common import documents, held_out, table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,6 +29,14 @@ def op2_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = documents(spark, sf_dir), held_out("doc_id", 5, 0)
+    model = toxicity_grammar.train(
+        docs.where(~held), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity_grammar.score(docs, "text", model).select(
+        "doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = byte_bpe.Codec(byte_bpe.read_ranks(RANK_FILE), public_tokenizers.PATTERN)
     encoded = byte_bpe.encode(documents(spark, sf_dir), "text", codec)
@@ -40,6 +49,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_containment.contained(
+        documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(documents(spark, sf_dir))
 
@@ -55,8 +69,12 @@ def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_token_counts": op1_edit_token_counts,
     "op2_repeated_windows": op2_repeated_windows,
+    "op3_toxicity_grammar": op3_toxicity_grammar,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_benchmark_containment": op6_benchmark_containment,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_language_crf": op8_language_crf,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_benchmark_containment": benchmark_containment.oracle(),
+}
