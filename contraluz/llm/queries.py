@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contraluz.llm import (benchmark_containment, byte_bpe, language_crf, near_duplicates,
-                           repeated_windows, token_counts, toxicity_grammar)
+                           one_bit_codes, repeated_windows, token_counts,
+                           toxicity_grammar)
 from contraluz.llm.common import documents, held_out, table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -66,6 +67,11 @@ def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op9_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return one_bit_codes.neighbours(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_token_counts": op1_edit_token_counts,
     "op2_repeated_windows": op2_repeated_windows,
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_benchmark_containment": op6_benchmark_containment,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_language_crf": op8_language_crf,
+    "op9_one_bit_codes": op9_one_bit_codes,
 }
 SQL: dict[str, str] = {
     "op6_benchmark_containment": benchmark_containment.oracle(),
