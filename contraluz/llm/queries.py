@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from contraluz.llm import (benchmark_containment, byte_bpe, language_crf, near_duplicates,
                            one_bit_codes, repeated_windows, token_counts,
-                           toxicity_grammar)
+                           toxicity_grammar, url_templates)
 from contraluz.llm.common import documents, held_out, table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -72,6 +72,18 @@ def op9_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_bit_codes.neighbours(vectors, F.col("vec_id") % 20 == 0, 20)
 
 
+#: the fixed rules of the query: verdict, host, path
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"),
+             ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
+             ("block", "com", "/de/")]
+
+
+def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_templates.judge(pages, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_token_counts": op1_edit_token_counts,
     "op2_repeated_windows": op2_repeated_windows,
@@ -81,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_dart_minhash": op7_dart_minhash,
     "op8_language_crf": op8_language_crf,
     "op9_one_bit_codes": op9_one_bit_codes,
+    "op10_url_templates": op10_url_templates,
 }
 SQL: dict[str, str] = {
     "op6_benchmark_containment": benchmark_containment.oracle(),
