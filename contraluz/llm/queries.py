@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contraluz.llm import (benchmark_containment, byte_bpe, language_crf, near_duplicates,
-                           one_bit_codes, repeated_windows, token_counts,
+                           one_bit_codes, repeated_windows, surrogates, token_counts,
                            toxicity_grammar, url_templates)
 from contraluz.llm.common import documents, held_out, table
 
@@ -50,6 +50,16 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+#: a deployment names a secret key of its own
+SURROGATE_KEY = "surrogates of the registered query"
+
+
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replace(documents(spark, sf_dir), SURROGATE_KEY)
+    return replaced.select("doc_id", "text", F.size("entities").alias("n_replaced"),
+                           F.to_json("entities").alias("replaced"))
+
+
 def op6_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_containment.contained(
         documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -89,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repeated_windows": op2_repeated_windows,
     "op3_toxicity_grammar": op3_toxicity_grammar,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_surrogates": op5_surrogates,
     "op6_benchmark_containment": op6_benchmark_containment,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_language_crf": op8_language_crf,

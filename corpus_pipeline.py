@@ -14,14 +14,64 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contraluz.llm import byte_bpe
+from contraluz.llm import (benchmark_containment, byte_bpe, language_crf,
+                           near_duplicates, surrogates)
+from contraluz.llm.common import few, held_out, stored, table
 from contraluz.session import checkpoint_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+LEAST_SCORE = 0.3  # mean posterior of the likeliest language
+SURROGATE_KEY = "surrogates of the corpus pipeline"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language; those without a letter, or in which no language
+    reaches the least score, go.  The CRF learns from rows that name a language."""
+    known = docs.where(language_crf.learnable("doc_id", held_out("doc_id", 3, 1)))
+    model = language_crf.train(known)
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    judged = language_crf.predict(rows, "text", model)
+    return judged.where((F.col("lang_pred") != language_crf.UNKNOWN)
+                        & (F.col("score") >= LEAST_SCORE)).select("__row.*")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, that of the least id.
+
+    Of rows that share an id one stays, whichever comes first by its text; rows
+    without an id cannot be named and stay.
+    """
+    classes = stored(near_duplicates.classes(docs))
+    removed = stored(classes.where("doc_id <> class_id").select("doc_id").distinct())
+    kept = docs.join(few(removed), "doc_id", "left_anti").select(*docs.columns)
+    twice = stored(classes.where("doc_id IS NOT NULL").groupBy("doc_id").count()
+                   .where("count > 1").select("doc_id"))
+    if not twice.head(1):
+        return kept
+    several = kept.join(few(twice), "doc_id", "left_semi").select(*docs.columns)
+    row = F.struct("text", *[F.col(f"`{c}`") for c in docs.columns])
+    one = several.groupBy("doc_id").agg(F.min(row).alias("__row")).select(
+        *[F.col(f"__row.`{c}`") for c in docs.columns])
+    return kept.join(few(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not contain a benchmark item."""
+    return benchmark_containment.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with surrogates for personal data; n_chars follows the text."""
+    replaced = surrogates.replace(docs, SURROGATE_KEY, entities="__entities").drop("__entities")
+    if "n_chars" not in docs.columns:
+        return replaced
+    return replaced.withColumn("n_chars", F.coalesce(
+        F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
+
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, checked by decoding them again."""
+    """Token ids of every text by the byte-level BPE vocabulary, and their number."""
     codec = byte_bpe.Codec(byte_bpe.read_ranks(
         public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     return byte_bpe.encode(docs, "text", codec, out="token_ids").withColumn(
@@ -29,7 +79,11 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("byte_bpe", encode_tokens),
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("private_data", private_data),
+    ("encode_tokens", encode_tokens),
 ]
 
 #: The stages learn, detect and hash beyond what SQL expresses.
