@@ -14,11 +14,15 @@ Bands of R coordinates are hashed to buckets.  With R = 6 and 42 bands a pair of
 similarity 0.8 misses all buckets with probability 3e-6.
 
 Nobody emits all pairs of a bucket.  Copies of a text are one representative.
-Every member of a bucket is paired with the bucket's least member, candidate
-pairs are verified on the texts, and verified links give components.  Only
-buckets that still hold several components go on: in rounds, their next members
-in order are paired with later members of other components, until no pair is
-left that shares a bucket and is neither verified nor in one component.
+The members of a bucket are put in order, those that share most buckets with
+others first, as they stand in the middle of their group.  The first of each
+bucket is paired with all its other members; pairs pass an estimate from
+one-byte signatures, whose margin a pair of similarity 0.8 misses in less than
+one case of a million, and are then verified on the texts.  Verified links give
+components.  Only buckets that still hold several components go on: in rounds,
+their next members in order are paired with later members of other components,
+until no pair is left that shares a bucket and is neither judged nor in one
+component.
 """
 
 from __future__ import annotations
@@ -37,7 +41,8 @@ from contraluz.llm.hashing import Hasher, U, mix, scaled
 SHINGLE = 5
 SIMILARITY = 0.8
 R, BANDS = 6, 42
-LEADERS = 8  # members of a bucket that lead a later round
+LEADERS = 8  # members of a bucket that lead its second round; doubled in each round
+MARGIN = 5.0  # standard errors of the estimate that a candidate may fall short
 DOCS = 400  # documents whose darts are thrown at once
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 
@@ -113,30 +118,36 @@ def darts(regions: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def bands(regions: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def bands(signature: np.ndarray) -> np.ndarray:
     """A bucket for every band of every text's signature."""
-    signature = darts(regions, sizes, R * BANDS).reshape(len(sizes), BANDS, R)
-    value = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(sizes), BANDS))
+    signature = signature.reshape(len(signature), BANDS, R)
+    value = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), signature.shape[:2])
     for i in range(R):
         value = mix(value * U(0x9FB21C651E98DF25) + signature[:, :, i], 26)
     return value.view(np.int64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, bands) of rows with an id and a word."""
-    schema = "doc_id long, digest binary, bands array<long>"
+    """(doc_id, digest, bands, sketch) of rows with an id and a word.
+
+    The sketch is a byte of every coordinate of the signature.
+    """
+    schema = "doc_id long, digest binary, bands array<long>, sketch binary"
 
     def one(part, hasher):
         texts = part.column(1).cast(pa.binary()).to_pylist()
         regions, sizes = shingles(texts, hasher)
         has = np.flatnonzero(sizes)
+        signature = darts(regions, sizes, R * BANDS)[has]
         lists = pa.ListArray.from_arrays(
             pa.array(np.arange(len(has) + 1) * BANDS, pa.int32()),
-            pa.array(bands(regions, sizes)[has].ravel()))
+            pa.array(bands(signature).ravel()))
+        sketches = (mix(signature, 27) >> U(56)).astype(np.uint8)
         digests = [hashlib.md5(texts[i]).digest() for i in has]
         return pa.RecordBatch.from_arrays(
-            [part.column(0).take(pa.array(has)), pa.array(digests, pa.binary()), lists],
-            names=["doc_id", "digest", "bands"])
+            [part.column(0).take(pa.array(has)), pa.array(digests, pa.binary()), lists,
+             pa.array([x.tobytes() for x in sketches], pa.binary())],
+            names=["doc_id", "digest", "bands", "sketch"])
 
     def run(batches):
         hasher = Hasher()
@@ -154,6 +165,24 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 0.0
 
 
+def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose sketches do not speak against that similarity."""
+    k = R * BANDS
+    chance = least + (1 - least) / 256
+    enough = k * chance - MARGIN * math.sqrt(k * chance * (1 - chance))
+
+    def run(batches):
+        for batch in batches:
+            a, b, one, two = batch.columns
+            left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, k)
+                           for x in (one, two))
+            found = pa.array((left == right).sum(axis=1) >= enough)
+            yield pa.RecordBatch.from_arrays([a.filter(found), b.filter(found)], names=["a", "b"])
+
+    return pairs.join(sketches.toDF("a", "one"), "a").join(sketches.toDF("b", "two"), "b").select(
+        "a", "b", "one", "two").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """The candidate pairs (a, b) whose texts are at least that similar.
 
@@ -220,36 +249,51 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        F.col(f"`{text}`").alias("text"))
     signed = stored(signatures(docs))
     texts = stored(signed.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")))
+        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"),
+        F.any_value("sketch").alias("sketch")))
     rows = texts.select("rep", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("leader"))
-    buckets = stored(rows.join(shared.where("n > 1").select("key", "leader"), "key"))
-    pairs = stored(buckets.where("leader <> rep").select(
-        F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
-    found = components(verified(pairs, docs, least))
-
-    def open_buckets(members: DataFrame) -> DataFrame:
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = stored(rows.join(shared, "key"))
+    degrees = buckets.groupBy("rep").agg(F.sum("n").alias("degree"))
+    # the order of a bucket's members: most shared buckets first, then the id
+    buckets = stored(buckets.join(degrees, "rep").select(
+        "key", "rep", F.struct((-F.col("degree")).alias("degree"), "rep").alias("place")))
+    sketches = texts.select("rep", "sketch").join(
+        few(stored(degrees.select("rep"))), "rep", "left_semi")
+    sketches = stored(sketches)
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        return verified(likely(pairs, sketches, least), docs, least)
+
+    first = buckets.groupBy("key").agg(F.min("place").alias("first"))
+    members = stored(buckets.join(first, "key"))
+    pairs = stored(members.where("first <> place").select(
+        F.col("first.rep").alias("a"), F.col("rep").alias("b")).distinct())
+    found = components(judged(pairs))
+
+    def open_buckets(rows: DataFrame) -> DataFrame:
         """Members of buckets in which several components meet."""
-        labelled = members.select("key", "rep").join(
+        labelled = rows.select("key", "rep", "place").join(
             found.withColumnRenamed("node", "rep"), "rep", "left").select(
-                "key", "rep", F.coalesce("label", "rep").alias("label"))
+                "key", "rep", "place", F.coalesce("label", "rep").alias("label"))
         mixed = labelled.groupBy("key").agg(
             F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         return stored(labelled.join(mixed.select("key"), "key"))
 
-    members = open_buckets(buckets.where("leader <> rep"))  # leaders have had their turn
+    members, n_leaders = open_buckets(members.where("first <> place")), LEADERS
     while members.head(1):
-        turn = Window.partitionBy("key").orderBy("rep")
+        turn = Window.partitionBy("key").orderBy("place")
         leaders = stored(members.withColumn("n", F.row_number().over(turn)).where(
-            F.col("n") <= LEADERS).select("key", F.col("rep").alias("a"),
-                                          F.col("label").alias("own")))
-        fresh = members.join(leaders, "key").where("own <> label AND a < rep").select(
-            "a", F.col("rep").alias("b")).distinct()
+            F.col("n") <= n_leaders).select(
+                "key", F.col("place").alias("lead"), F.col("label").alias("own")))
+        fresh = members.join(leaders, "key").where("own <> label AND lead < place").select(
+            F.col("lead.rep").alias("a"), F.col("rep").alias("b")).distinct()
         fresh = stored(fresh.join(pairs, ["a", "b"], "left_anti"))
         pairs = stored(pairs.unionByName(fresh))
-        found = components(verified(fresh, docs, least), found)
-        last = leaders.groupBy("key").agg(F.max("a").alias("last"))
-        members = open_buckets(members.join(last, "key").where("rep > last"))
+        found = components(judged(fresh), found)
+        last = leaders.groupBy("key").agg(F.max("lead").alias("last"))
+        members = open_buckets(members.join(last, "key").where("place > last"))
+        n_leaders *= 2
 
     named = texts.select("digest", "rep").join(
         found.withColumnRenamed("node", "rep"), "rep", "left").select(
