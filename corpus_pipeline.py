@@ -50,7 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not twice.head(1):
         return kept
     several = kept.join(few(twice), "doc_id", "left_semi").select(*docs.columns)
-    row = F.struct("text", *[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(F.col("text").alias("__first"), *[F.col(f"`{c}`") for c in docs.columns])
     one = several.groupBy("doc_id").agg(F.min(row).alias("__row")).select(
         *[F.col(f"__row.`{c}`") for c in docs.columns])
     return kept.join(few(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(one)
