@@ -319,11 +319,11 @@ def _bodies(spark: SparkSession, sf: str) -> DataFrame:
         gazette.body_term("html").alias("plazo_txt"))
 
 
-def _fired(spark: SparkSession, sf: str) -> DataFrame:
+def _fired(spark: SparkSession, sf: str, full: bool = False) -> DataFrame:
     return rules.fired_rules(
         D.procedures(spark, sf), D.procedure_records(spark, sf),
         D.awards(spark, sf), D.efos(spark, sf), D.sfp(spark, sf),
-        _recent(spark, sf), big_mxn=5e6)
+        _recent(spark, sf), big_mxn=5e6, full=full)
 
 
 def _scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -335,16 +335,15 @@ def _scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _alerts(spark: SparkSession, sf: str) -> DataFrame:
-    fired = stored(_fired(spark, sf))
-    rows = rules.assess(D.procedures(spark, sf), fired).withColumn(
+    rows = rules.assess(D.procedures(spark, sf), _fired(spark, sf)).withColumn(
         "change", F.lit("new"))
-    return rules.alerts(rows, fired, F.lit("2002-01-01"), threshold=4)
+    return rules.alerts(rows, F.lit("2002-01-01"), threshold=4)
 
 
 def _alert_table(spark: SparkSession, sf: str) -> DataFrame:
     return _alerts(spark, sf).select(
-        "ts", "uuid", "nombre", "score", F.size("reasons").alias("razones"),
-        F.size("awards_flagged").alias("senaladas"),
+        "ts", "uuid", "nombre", "score", F.col("n_flags").alias("razones"),
+        F.col("n_evidence").alias("senaladas"),
         "url", "change", "orden_gobierno", "estado_comprador")
 
 

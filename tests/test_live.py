@@ -36,7 +36,12 @@ def judged(spark, procedures, records=(), awards=(), fraud=(), barred=(), recent
 def assessed(spark, *args, **kwargs):
     """Every procedure as an alert record, whatever its score."""
     rows, fired = judged(spark, *args, **kwargs)
-    return rules.alerts(rows, fired, F.lit("t"), threshold=0)
+    found = rules.alerts(rows, F.lit("t"), threshold=0)
+    lists = rules.alert_rules(found, fired).groupBy("uuid").agg(F.sort_array(F.collect_list(
+        F.struct("place", "reason", "evidence"))).alias("f"))
+    return found.join(lists, "uuid", "left").withColumns({
+        "reasons": F.col("f.reason"),
+        "awards_flagged": F.array_compact("f.evidence")}).drop("f")
 
 
 def procedure(uuid="u", kind="LICITACIÓN PÚBLICA", number="LA-66-1", opened=None):
@@ -111,10 +116,11 @@ def test_directory_hides_the_gazette(spark):
 
 def test_alert_record(spark):
     pair = judged(spark, [procedure(kind="ADJUDICACIÓN DIRECTA"), procedure("low")])
-    rows = rules.alerts(*pair, F.lit("t")).collect()
+    rows = rules.alerts(pair[0], F.lit("t")).collect()
     assert len(rows) == 1
     alert = rows[0]
-    assert alert["reasons"] == [
+    assert [r["reason"] for r in rules.alert_rules(
+        rules.alerts(pair[0], F.lit("t")), pair[1]).collect()] == [
         "DIRECTA (+2): adjudicación directa (ADJUDICACIÓN DIRECTA)"]
     assert (alert["orden_gobierno"], alert["estado_comprador"]) == ("GEM", "CHIAPAS")
     assert alert["url"].endswith("detalle/u/procedimiento")
@@ -185,14 +191,29 @@ def test_stream_forgets_after_the_age_limit(spark, tmp_path):
         (3, "new", T(2024, 7, 1))]
 
 
-def test_very_long_records_stay_in_the_rule_rows(spark, monkeypatch):
-    monkeypatch.setattr(rules, "INLINE_REASONS", 3)
-    big = [award("FANTASMA SA DE CV", code=f"X{i}") for i in range(5)]
-    rows, fired = judged(spark, [procedure()], awards=big, fraud=[
+def test_alerts_have_all_their_rules_in_long_form(spark):
+    many = [award("FANTASMA SA DE CV", code=f"X{i}") for i in range(1200)]
+    rows, fired = judged(spark, [procedure()], awards=many, fraud=[
         ("FAN101010AB1", "Fantasma", "Presunto", None, None)])
-    alert = rules.alerts(rows, fired, F.lit("t")).first()
-    assert alert["score"] == 10 and alert["n_flags"] == 5 and alert["reasons"] is None
-    assert fired.where("evidence.rfc = 'FAN101010AB1'").count() == 5
+    found = rules.alerts(rows, F.lit("t"))
+    alert = found.first()
+    assert (alert["score"], alert["n_flags"], alert["n_evidence"]) == (2400, 1200, 1200)
+    assert rules.alert_rules(found, fired).where("evidence.rfc = 'FAN101010AB1'").count() == 1200
+
+
+def test_two_changes_of_a_procedure_are_judged_apart(spark):
+    columns = f"{PROCEDURE}, event_id long"
+    kind = "ADJUDICACIÓN DIRECTA"
+    listed = spark.createDataFrame(
+        [(*procedure("u", kind), 1), (*procedure("u", kind), 2), (*procedure("v", kind), 3)], columns)
+    sources = (spark.createDataFrame([], RECORD), spark.createDataFrame(
+        [award("FANTASMA SA DE CV")], AWARD), efos(
+            spark, ("FAN101010AB1", "Fantasma", "Definitivo", D(2020, 1, 1), None)), sfp(spark),
+        spark.createDataFrame([], GAZETTE))
+    for full in (True, False):
+        rows = rules.assess(listed, rules.fired_rules(listed, *sources, full=full)).collect()
+        assert sorted((r["uuid"], r["event_id"], r["score"], r["n_flags"]) for r in rows) == [
+            ("u", 1, 8, 2), ("u", 2, 8, 2), ("v", 3, 2, 1)]
 
 
 def test_prune(spark):
@@ -219,13 +240,19 @@ def test_monitor_end_to_end(spark, tmp_path):
             lambda s: (s.createDataFrame([], RECORD), s.createDataFrame([], AWARD)),
             lambda s: (efos(s), sfp(s), s.createDataFrame([], GAZETTE)),
             interval=None).awaitTermination()
-        return sorted(r["change"] for r in spark.read.json(
+        return sorted((r["change"], r["score"]) for r in spark.read.parquet(
             str(tmp_path / "alerts" / "alerts")).collect())
 
     land("p1")
-    assert poll() == ["new"]
+    assert poll() == [("new", 2)]
     land("p2")
     time.sleep(0.1)
     land("p3", estatus="ADJUDICADO")
-    assert poll() == ["new", "status_change"]
+    time.sleep(0.1)
+    land("p4", estatus="CANCELADO")
+    land("p5", uuid_procedimiento=None, numero_procedimiento="LA-60-2")
+    # two changes in one batch do not add up; the row without an id is kept
+    assert poll() == [("new", 2), ("new", 2), ("status_change", 2), ("status_change", 2)]
+    fired = spark.read.parquet(str(tmp_path / "alerts" / "rules"))
+    assert fired.count() == 4 and {r["code"] for r in fired.collect()} == {"DIRECTA"}
     assert P.LISTING_SCHEMA
