@@ -317,12 +317,6 @@ def after(day: Column | str, limit: Column | str) -> Column:
     return F.coalesce(as_col(day) > as_col(limit), F.lit(False))
 
 
-def concluded(status: Column | str) -> Column:
-    upper = F.upper(as_col(status))
-    return (upper.contains("ADJUDIC") | upper.contains("CONCLU")
-            | upper.contains("FALLO"))
-
-
 # ------------------------------------------------------------- identity, text
 
 def procedure_id(link: Column | str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -106,17 +107,27 @@ def band(value: Column, bands: tuple[tuple[float, str], ...]) -> Column:
 
 # ------------------------------------------- exact tails on aggregated rows
 
-def _log_choose(n: int, k: np.ndarray) -> np.ndarray:
-    lg = np.frompyfunc(math.lgamma, 1, 1)
-    return (math.lgamma(n + 1) - lg(k + 1).astype(float)
-            - lg(n - k + 1).astype(float))
+def _log_choose(n: int, k: int) -> float:
+    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+
+def _falling_sum(first: float, ratio: Callable[[int], float], terms: int) -> float:
+    """first + first * ratio(0) + first * ratio(0) * ratio(1) + …, while it grows."""
+    total, term = first, first
+    for i in range(terms):
+        term *= ratio(i)
+        if term <= total * 1e-18:
+            break
+        total += term
+    return total
 
 
 def binomial_half_tail(k: int, n: int) -> float:
     """P(X >= k) for n fair coin tosses.
 
     The shorter tail is summed by the ratio of neighbouring terms, so the work
-    stays near sqrt(n) terms however large the window count is.
+    stays near sqrt(n) terms however large the window count is; a first term
+    too small for a float ends it at once.
     """
     if k < 0 or n < 0:
         raise ValueError("negative counts")
@@ -126,31 +137,38 @@ def binomial_half_tail(k: int, n: int) -> float:
         return 0.0
     if 2 * k <= n:
         return max(0.0, 1.0 - binomial_half_tail(n - k + 1, n))
-    term = math.exp(math.lgamma(n + 1) - math.lgamma(k + 1)
-                    - math.lgamma(n - k + 1) - n * math.log(2))
-    total = 0.0
-    for i in range(k, n + 1):
-        total += term
-        term *= (n - i) / (i + 1)
-        if term < total * 1e-18:
-            break
-    return min(1.0, total)
+    first = math.exp(_log_choose(n, k) - n * math.log(2))
+    return min(1.0, _falling_sum(first, lambda i: (n - k - i) / (k + i + 1), n - k))
 
 
 def fisher_right_tail(a: int, b: int, c: int, d: int) -> float:
-    """P(table at least as extreme as [[a, b], [c, d]]), hypergeometric."""
+    """P(table at least as extreme as [[a, b], [c, d]]), hypergeometric.
+
+    Terms follow from each other by their ratio.  From the observed cell they
+    are summed away from the mode, so that they fall and the sum ends early: to
+    the right, or to the left for the complement.
+    """
     if min(a, b, c, d) < 0:
         raise ValueError("negative counts")
-    n = a + b + c + d
+    n, row, column = a + b + c + d, a + b, a + c
     if n == 0:
         return 1.0
-    row, column = a + b, a + c
-    cells = np.arange(max(a, column - (c + d)), min(row, column) + 1)
-    if not len(cells):
-        return 0.0
-    logs = (_log_choose(row, cells) + _log_choose(n - row, column - cells)
-            - _log_choose(n, np.array([column]))[0])
-    return float(min(1.0, np.exp(logs).sum()))
+    top, bottom, rest = min(row, column), max(0, column + row - n), n - row - column
+
+    def first(x: int) -> float:
+        return math.exp(_log_choose(row, x) + _log_choose(n - row, column - x)
+                        - _log_choose(n, column))
+
+    if a * n >= row * column:
+        return min(1.0, _falling_sum(
+            first(a), lambda i: (row - a - i) * (column - a - i) / (
+                (a + i + 1) * (rest + a + i + 1)), top - a))
+    if a <= bottom:
+        return 1.0
+    x = a - 1
+    left = _falling_sum(first(x), lambda i: (x - i) * (rest + x - i) / (
+        (row - x + i + 1) * (column - x + i + 1)), x - bottom)
+    return max(0.0, 1.0 - left)
 
 
 @F.pandas_udf(T.DoubleType())

@@ -59,10 +59,6 @@ def conformity(profile: DataFrame, group: str, q: float = 0.05) -> DataFrame:
     return S.flag_discoveries(table, "p_value", "no_conforme_fdr05", q)
 
 
-def band_distribution(table: DataFrame, column: str = "banda_nigrini") -> DataFrame:
-    return table.groupBy(column).agg(F.count("*").alias("grupos"))
-
-
 def worst_group_digits(profile: DataFrame, group: str) -> DataFrame:
     """Digit table of the group with the largest first-digit deviation."""
     n = F.col("n_contratos")

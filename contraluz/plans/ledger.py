@@ -329,7 +329,7 @@ def scored(case_rows: DataFrame, coverage: DataFrame, today: dt.date,
            coverage_scale: float = 100.0) -> DataFrame:
     """Tier, corroboration, score 0..100 and legal route of gated cases."""
     gated_rows = gated(case_rows, today)
-    repeats = gated_rows.where(F.col("rfc").isNotNull()).groupBy("rfc").agg(
+    repeats = gated_rows.where(F.col("rfc") != "").groupBy("rfc").agg(
         (F.count("*") - 1).alias("corrobora"))
     rows = (gated_rows.join(repeats, "rfc", "left")
             .withColumn("_state", C.name_norm("estado_geo"))
@@ -469,18 +469,19 @@ def rejected_decisions(decisions: DataFrame, table: DataFrame,
 
 def apply_decisions(table: DataFrame, decisions: DataFrame,
                     key: str = "case_id") -> DataFrame:
-    """Latest valid decision per case; note and folio stay where not given."""
-    latest = F.max_by(F.struct("estado", "nota", "folio", "decided_at"),
-                      "decided_at")
-    valid = decisions.where(valid_decision()).groupBy(key).agg(latest.alias("_d"))
+    """State of the latest valid decision per case; note and folio of the latest
+    one that gives them, else as they stand.  Decisions of one time are ordered
+    by their values, so the result does not depend on the order of rows."""
+    def latest(name: str) -> Column:
+        order = F.when(F.col(name).isNotNull(), F.struct("decided_at", name))
+        return F.max(order)[name].alias(f"_{name}")
+    valid = decisions.where(valid_decision()).groupBy(key).agg(
+        *[latest(name) for name in ("estado", "nota", "folio")],
+        F.max("decided_at").alias("_decided_at"))
     joined = table.join(valid, key, "left")
-    values = {"estado": F.coalesce("_d.estado", "estado"),
-              "nota": F.coalesce("_d.nota", "nota")}
-    if "folio" in table.columns:
-        values["folio"] = F.coalesce("_d.folio", "folio")
-    if "decided_at" in table.columns:
-        values["decided_at"] = F.coalesce("_d.decided_at", "decided_at")
-    return joined.withColumns(values).select(*table.columns)
+    names = [c for c in ("estado", "nota", "folio", "decided_at") if c in table.columns]
+    return joined.withColumns({c: F.coalesce(f"_{c}", c) for c in names}).select(
+        *table.columns)
 
 
 def case_list(table: DataFrame, with_filed: bool = False,

@@ -27,11 +27,19 @@ RUNTIME_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
+    """Sets what the session and its context leave open."""
+    context = spark.sparkContext.getConf()
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if not context.contains(key) and spark.conf.get(key, None) in (None, _default(spark, key)):
+            spark.conf.set(key, value)
     return spark
 
 
+def _default(spark: SparkSession, key: str) -> str | None:
+    """The value of a setting in a session that nobody has changed."""
+    return spark.newSession().conf.get(key, None)
+
+
 def local_session(cores: int | str = "*", app: str = "contraluz",
                   memory: str = "8g", **settings: str) -> SparkSession:
     """A local session for tests and the benchmark."""
@@ -64,14 +72,6 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="contraluz-checkpoint-")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the shared folder, read back.
 

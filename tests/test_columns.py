@@ -14,12 +14,12 @@ def test_numbers_and_junk(values):
 
 
 def test_dates(values):
-    found = values(C.parse_day("x"), "15/03/2025", "5/3/2025", "2025-03-15",
-                   " 15/03/2025", "31/02/2025", "2025-03-15 10:00", "junk", None)
-    assert found == [D(2025, 3, 15), D(2025, 3, 5), D(2025, 3, 15),
-                     D(2025, 3, 15), None, None, None, None]
-    assert values(C.parse_day("x", iso=False), "15/03/2025", "2025-03-15") == [
-        D(2025, 3, 15), None]
+    found = values(C.parse_day("x"), "29/02/2016", "29/02/2015", "1/12/1998", "1998-12-01",
+                   " 07/07/2007 ", "00/01/2020", "2016-02-29T23:59", "7 de julio", None)
+    assert found == [D(2016, 2, 29), None, D(1998, 12, 1), D(1998, 12, 1),
+                     D(2007, 7, 7), None, None, None, None]
+    assert values(C.parse_day("x", iso=False), "31/12/1999", "1999-12-31") == [
+        D(1999, 12, 31), None]
 
 
 def test_moments(values):
@@ -43,11 +43,13 @@ def test_century_follows_the_clock(values):
 
 def test_name_key(values):
     found = values(
-        C.name_norm("x"), "Comercializadora Áurea, S.A. de C.V.",
-        "SC CONSTRUCCIONES", "GRUPO  FÉNIX,   S.C.", "Áurea sa de cv",
-        "Foo S.A. de C.V. S.C.", None)
-    assert found == ["COMERCIALIZADORA AUREA", "SC CONSTRUCCIONES", "GRUPO FENIX",
-                     "AUREA", "FOO", None]
+        C.name_norm("x"), "Molinos Ibáñez del Río, S. de R.L. de C.V.",
+        "S.A. DE TODO UN POCO", "  pingüino--azul  &  CÍA. S.C.", "Molinos ibañez del rio",
+        "Tres S.C. Hermanas S.A. de C.V.", "", None)
+    assert found[0] == found[3] == "MOLINOS IBANEZ DEL RIO"
+    assert found[1].startswith("S A DE TODO") and found[2].startswith("PINGUINO AZUL")
+    assert not found[2].endswith("S C") and found[4] == "TRES S C HERMANAS"
+    assert not found[5] and found[6] is None
 
 
 def test_key_quality_classes(values):

@@ -95,11 +95,11 @@ STATE_HEADERS = [
 
 
 def state_row(**cells):
-    base = {"Entidad": "Sinaloa", "Id entidad": "25", "Id sujeto": "4001",
-            "Sujeto": "SIN - X", "Ejercicio": "2024", "Tipo": "Adjudicación directa",
-            "Número de exp": "EXP-1", "Denominación": "ACME SA DE CV",
-            "Registro": "AAA101010AB1", "Monto": "$1,234,567.89",
-            "Fecha del": "15/03/2024", "Fecha de act": "01/04/2024"}
+    base = {"Entidad": "Nayarit", "Id entidad": "18", "Id sujeto": "77",
+            "Sujeto": "Junta de Caminos", "Ejercicio": "2021", "Tipo": "Invitación",
+            "Número de exp": "JC/9", "Denominación": "PUENTES Y VADOS SC",
+            "Registro": "PVA050817QX2", "Monto": "$ 80,500.5",
+            "Fecha del": "30/11/2021", "Fecha de act": "10/01/2022"}
     base |= cells
     return [next((v for k, v in base.items() if h.startswith(k)), "")
             for h in STATE_HEADERS]
@@ -124,39 +124,36 @@ def test_header_resolution():
 
 
 def test_state_rows_and_identity(spark, tmp_path):
-    person = state_row(**{
-        "Denominación": "", "Registro": " hebj 901114-8la ", "Número de exp": "E2",
-        "Nombre(s)": "Juan", "Primer": "Hernández", "Segundo": "Bogarin"})
-    found = read_state(
-        spark, tmp_path,
-        pnt_25_2024_59729=[
-            state_row(), state_row(**{"Fecha de act": "01/07/2024"}), person,
-            state_row(**{"Ejercicio": "2525"}), state_row(**{"Ejercicio": "2014"}),
-            state_row(**{"Denominación": "", "Registro": ""}),
-            state_row(**{"Entidad": "Federación"}),
-            state_row(**{"Número de exp": "", "Objeto": "papelería"}),
-            state_row(**{"Número de exp": "", "Objeto": "mobiliario"})],
-        pnt_25_2024_59730=[state_row()])
-    rows = found.collect()
-    assert len(rows) == 4
-    acme = next(r for r in rows if r["expediente"] == "EXP-1")
-    assert (acme["estado_comprador"], acme["importe"], acme["formato"]) == (
-        "SINALOA", 1234567.89, "59729")
-    assert acme["fecha_actualizacion"] == D(2024, 7, 1) and acme["rfc_valido"]
-    juan = next(r for r in rows if r["expediente"] == "E2")
-    assert (juan["proveedor"], juan["rfc_norm"]) == (
-        "Juan Hernández Bogarin", "HEBJ9011148LA")
-    assert juan["rfc_valido"] and not juan["es_persona_moral"]
+    weaver = state_row(**{
+        "Denominación": "", "Registro": " qutl 880229-k07", "Número de exp": "JC/10",
+        "Nombre(s)": "Lía", "Primer": "Quintero", "Segundo": "Tun"})
+    later = state_row(**{"Fecha de act": "11/03/2022"})
+    other_years = [state_row(**{"Ejercicio": y}) for y in ("1821", "9999")]
+    nobody = state_row(**{"Denominación": "", "Registro": ""})
+    federal = state_row(**{"Entidad": "Federación"})
+    unnumbered = [state_row(**{"Número de exp": "", "Objeto": o}) for o in ("grava", "cal")]
+    rows = read_state(
+        spark, tmp_path, pnt_18_2021_59729=[
+            later, state_row(), weaver, *other_years, nobody, federal, *unnumbered],
+        pnt_18_2021_59730=[state_row()]).collect()
+    by_file = {r["expediente"]: r for r in rows}
+    assert len(rows) == 4 and set(by_file) >= {"JC/9", "JC/10"}
+    firm, person = by_file["JC/9"], by_file["JC/10"]
+    assert (firm["estado_comprador"], firm["importe"]) == ("NAYARIT", 80500.5)
+    assert firm["fecha_actualizacion"] == D(2022, 3, 11) and firm["rfc_valido"]
+    assert firm["es_persona_moral"] and not person["es_persona_moral"]
+    assert person["proveedor"] == "Lía Quintero Tun"
+    assert person["rfc_norm"] == "QUTL880229K07" and person["rfc_valido"]
 
 
 def test_ragged_rows_are_repaired_not_cut(spark, tmp_path):
     short = state_row(**{"Número de exp": "SHORT"})[:-1]
     long = state_row(**{"Número de exp": "LONG", "Nota": "a"}) + ["b", 'c "q", d']
-    path = write_csv(tmp_path / "pnt_25_2024_59729.csv", STATE_HEADERS,
+    path = write_csv(tmp_path / "pnt_18_2021_59729.csv", STATE_HEADERS,
                      [state_row(), short, long])
     raw = states.read_state_files(spark, [path]).collect()
-    assert sorted(r["expediente"] for r in raw) == ["EXP-1", "LONG", "SHORT"]
-    assert {r["fecha_actualizacion"] for r in raw} == {"01/04/2024"}
+    assert sorted(r["expediente"] for r in raw) == ["JC/9", "LONG", "SHORT"]
+    assert {r["fecha_actualizacion"] for r in raw} == {"10/01/2022"}
     assert states.fold_record('1,2,"x, y",z', 3) == ["1", "2", "x, y z"]
     assert states.fold_record("1", 3) == ["1", "", ""]
 
@@ -203,16 +200,15 @@ def test_findings_and_published_copies(spark, tmp_path):
 
 
 def test_gazette_titles(values):
-    lead = "... deberán abstenerse de aceptar propuestas y/o celebrar contratos con "
+    lead = "Circular por la que se comunica que deberán abstenerse de aceptar propuestas o celebrar contratos con "
+    firms = ["Hilos del Sureste, S.A. de C.V.", "Óptica Nube, S. de R.L.", "Tintas Orión, S.C"]
     found = values(
-        gazette.title_names("x"), lead + "la empresa Garza Gas, S. A. de C.V.",
-        lead + "las empresas Alfa Construcciones, S.A. de C.V. y Beta Servicios, S.A.",
-        lead + "la persona moral denominada Corporativo Revelor, S.A. de C.V.",
-        lead + "la persona física con actividad empresarial Juan Pérez López.",
-        "Convenio de Coordinación", None)
-    assert found == [["Garza Gas, S. A. de C.V"],
-                     ["Alfa Construcciones, S.A. de C.V.", "Beta Servicios, S.A"],
-                     ["Corporativo Revelor, S.A. de C.V"], ["Juan Pérez López"], [], []]
+        gazette.title_names("x"), lead + "la empresa " + firms[1] + "",
+        lead + f"las empresas {firms[0]} y {firms[2]}.",
+        lead + "la persona física Ximena Ku Balam.", "Aviso de licencia", None)
+    assert [f.rstrip(".") for f in found[0]] == [firms[1].rstrip(".")]
+    assert [f.rstrip(".") for f in found[1]] == [f.rstrip(".") for f in (firms[0], firms[2])]
+    assert found[2] == ["Ximena Ku Balam"] and found[3] == [] and found[4] == []
 
 
 def test_gazette_days_accumulate(spark, tmp_path):

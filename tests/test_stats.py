@@ -70,3 +70,14 @@ def test_discoveries_small_and_empty(spark):
     found = S.flag_discoveries(rows, "p", "f").orderBy("i").collect()
     assert [r["f"] for r in found] == [False, True, False, True, False]
     assert S.flag_discoveries(rows.where("i < 0"), "p", "f").count() == 0
+
+
+def test_tails_of_huge_counts_end_early():
+    import time
+    start = time.perf_counter()
+    assert S.binomial_half_tail(10**9, 10**9) == 0.0
+    assert S.binomial_half_tail(6 * 10**8, 10**9) == 0.0
+    high, low = (S.binomial_half_tail(k, 10**9) for k in (500020000, 499980001))
+    assert abs(high + low - 1) < 1e-9 and 0.10 < high < 0.11
+    assert 0.49 < S.fisher_right_tail(10**6, 10**9, 10**6, 10**9) < 0.51
+    assert time.perf_counter() - start < 1
