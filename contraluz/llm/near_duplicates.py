@@ -22,7 +22,7 @@ one case of a million, and are then verified on the texts.  Verified links give
 components.  Only buckets that still hold several components go on: in rounds,
 their next members in order are paired with later members of other components,
 until no pair is left that shares a bucket and is neither judged nor in one
-component.
+component.  Pairs whose lengths alone rule the similarity out are not formed.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contraluz.llm.common import few, ship, slices, stored
@@ -41,7 +41,7 @@ from contraluz.llm.hashing import Hasher, U, mix, scaled
 SHINGLE = 5
 SIMILARITY = 0.8
 R, BANDS = 6, 42
-LEADERS = 8  # members of a bucket that lead its second round; doubled in each round
+LEADERS = 64  # members of a bucket that lead its second round; four times as many in each next
 MARGIN = 5.0  # standard errors of the estimate that a candidate may fall short
 DOCS = 400  # documents whose darts are thrown at once
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
@@ -128,11 +128,12 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, bands, sketch) of rows with an id and a word.
+    """(doc_id, digest, size, bands, sketch) of rows with an id and a word.
 
-    The sketch is a byte of every coordinate of the signature.
+    The size is the total weight, the sketch a byte of every coordinate of the
+    signature.
     """
-    schema = "doc_id long, digest binary, bands array<long>, sketch binary"
+    schema = "doc_id long, digest binary, size int, bands array<long>, sketch binary"
 
     def one(part, hasher):
         texts = part.column(1).cast(pa.binary()).to_pylist()
@@ -145,9 +146,10 @@ def signatures(docs: DataFrame) -> DataFrame:
         sketches = (mix(signature, 27) >> U(56)).astype(np.uint8)
         digests = [hashlib.md5(texts[i]).digest() for i in has]
         return pa.RecordBatch.from_arrays(
-            [part.column(0).take(pa.array(has)), pa.array(digests, pa.binary()), lists,
+            [part.column(0).take(pa.array(has)), pa.array(digests, pa.binary()),
+             pa.array(sizes[has], pa.int32()), lists,
              pa.array([x.tobytes() for x in sketches], pa.binary())],
-            names=["doc_id", "digest", "bands", "sketch"])
+            names=["doc_id", "digest", "size", "bands", "sketch"])
 
     def run(batches):
         hasher = Hasher()
@@ -249,15 +251,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        F.col(f"`{text}`").alias("text"))
     signed = stored(signatures(docs))
     texts = stored(signed.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"),
+        F.min("doc_id").alias("rep"), F.any_value("size").alias("size"),
+        F.any_value("bands").alias("bands"),
         F.any_value("sketch").alias("sketch")))
-    rows = texts.select("rep", F.explode("bands").alias("key"))
+    rows = texts.select("rep", "size", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(rows.join(shared, "key"))
     degrees = buckets.groupBy("rep").agg(F.sum("n").alias("degree"))
     # the order of a bucket's members: most shared buckets first, then the id
     buckets = stored(buckets.join(degrees, "rep").select(
-        "key", "rep", F.struct((-F.col("degree")).alias("degree"), "rep").alias("place")))
+        "key", "rep", F.struct((-F.col("degree")).alias("degree"), "rep", "size").alias("place")))
+
+    def near_sizes(one: str, two: str) -> Column:
+        return F.least(one, two) >= least * F.greatest(one, two)
+
     sketches = texts.select("rep", "sketch").join(
         few(stored(degrees.select("rep"))), "rep", "left_semi")
     sketches = stored(sketches)
@@ -267,7 +274,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     first = buckets.groupBy("key").agg(F.min("place").alias("first"))
     members = stored(buckets.join(first, "key"))
-    pairs = stored(members.where("first <> place").select(
+    pairs = stored(members.where("first <> place").where(
+        near_sizes("first.size", "place.size")).select(
         F.col("first.rep").alias("a"), F.col("rep").alias("b")).distinct())
     found = components(judged(pairs))
 
@@ -286,14 +294,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         leaders = stored(members.withColumn("n", F.row_number().over(turn)).where(
             F.col("n") <= n_leaders).select(
                 "key", F.col("place").alias("lead"), F.col("label").alias("own")))
-        fresh = members.join(leaders, "key").where("own <> label AND lead < place").select(
+        fresh = members.join(leaders, "key").where("own <> label AND lead < place").where(
+            near_sizes("lead.size", "place.size")).select(
             F.col("lead.rep").alias("a"), F.col("rep").alias("b")).distinct()
         fresh = stored(fresh.join(pairs, ["a", "b"], "left_anti"))
         pairs = stored(pairs.unionByName(fresh))
         found = components(judged(fresh), found)
         last = leaders.groupBy("key").agg(F.max("lead").alias("last"))
         members = open_buckets(members.join(last, "key").where("place > last"))
-        n_leaders *= 2
+        n_leaders *= 4
 
     named = texts.select("digest", "rep").join(
         found.withColumnRenamed("node", "rep"), "rep", "left").select(
