@@ -16,10 +16,10 @@ similarity 0.8 misses all buckets with probability 3e-6.
 Nobody emits all pairs of a bucket.  Copies of a text are one representative.
 The members of a bucket are put in order, those that share most buckets with
 others first, as they stand in the middle of their group.  The first of each
-bucket is paired with all its other members; pairs pass an estimate from
-one-byte signatures, whose margin a pair of similarity 0.8 misses in less than
-one case of a million, and are then verified on the texts.  Verified links give
-components.  Only buckets that still hold several components go on: in rounds,
+bucket is paired with its other members, where the two bits kept of each
+coordinate do not speak against the similarity (a pair of 0.8 is lost to their
+margin in less than one case of a million).  Pairs are verified on the texts,
+and verified links give components.  Only buckets that still hold several components go on: in rounds,
 their next members in order are paired with later members of other components,
 until no pair is left that shares a bucket and is neither judged nor in one
 component.  Pairs whose lengths alone rule the similarity out are not formed.
@@ -41,6 +41,7 @@ from contraluz.llm.hashing import Hasher, U, mix, scaled
 SHINGLE = 5
 SIMILARITY = 0.8
 R, BANDS = 6, 42
+LONGS = -(-R * BANDS // 32)
 LEADERS = 64  # members of a bucket that lead its second round; four times as many in each next
 MARGIN = 5.0  # standard errors of the estimate that a candidate may fall short
 DOCS = 400  # documents whose darts are thrown at once
@@ -130,10 +131,10 @@ def bands(signature: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, size, bands, sketch) of rows with an id and a word.
 
-    The size is the total weight, the sketch a byte of every coordinate of the
-    signature.
+    The size is the total weight, the sketch two bits of every coordinate of the
+    signature, 32 coordinates in a number.
     """
-    schema = "doc_id long, digest binary, size int, bands array<long>, sketch binary"
+    schema = "doc_id long, digest binary, size int, bands array<long>, sketch array<long>"
 
     def one(part, hasher):
         texts = part.column(1).cast(pa.binary()).to_pylist()
@@ -143,12 +144,17 @@ def signatures(docs: DataFrame) -> DataFrame:
         lists = pa.ListArray.from_arrays(
             pa.array(np.arange(len(has) + 1) * BANDS, pa.int32()),
             pa.array(bands(signature).ravel()))
-        sketches = (mix(signature, 27) >> U(56)).astype(np.uint8)
+        two = np.zeros((len(has), 32 * LONGS), np.uint64)
+        two[:, :R * BANDS] = mix(signature, 27) >> U(62)
+        packed = (two.reshape(len(has), LONGS, 32) << (U(2) * np.arange(32, dtype=np.uint64))).sum(
+            axis=2, dtype=np.uint64).view(np.int64)
+        sketches = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(has) + 1) * LONGS, pa.int32()), pa.array(packed.ravel()))
         digests = [hashlib.md5(texts[i]).digest() for i in has]
         return pa.RecordBatch.from_arrays(
             [part.column(0).take(pa.array(has)), pa.array(digests, pa.binary()),
              pa.array(sizes[has], pa.int32()), lists,
-             pa.array([x.tobytes() for x in sketches], pa.binary())],
+             sketches],
             names=["doc_id", "digest", "size", "bands", "sketch"])
 
     def run(batches):
@@ -167,22 +173,17 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 0.0
 
 
-def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose sketches do not speak against that similarity."""
-    k = R * BANDS
-    chance = least + (1 - least) / 256
-    enough = k * chance - MARGIN * math.sqrt(k * chance * (1 - chance))
-
-    def run(batches):
-        for batch in batches:
-            a, b, one, two = batch.columns
-            left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, k)
-                           for x in (one, two))
-            found = pa.array((left == right).sum(axis=1) >= enough)
-            yield pa.RecordBatch.from_arrays([a.filter(found), b.filter(found)], names=["a", "b"])
-
-    return pairs.join(sketches.toDF("a", "one"), "a").join(sketches.toDF("b", "two"), "b").select(
-        "a", "b", "one", "two").mapInArrow(run, "a long, b long")
+def alike(one: str, two: str, least: float) -> Column:
+    """Whether two sketches differ in no more coordinates than that similarity
+    lets expect, with the margin."""
+    k, chance = R * BANDS, least + (1 - least) / 4
+    most = k * (1 - chance) + MARGIN * math.sqrt(k * chance * (1 - chance))
+    different = F.lit(0)
+    for i in range(LONGS):
+        x = F.get(one, F.lit(i)).bitwiseXOR(F.get(two, F.lit(i)))
+        either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        different = different + F.bit_count(either)
+    return different <= most
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -254,36 +255,32 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min("doc_id").alias("rep"), F.any_value("size").alias("size"),
         F.any_value("bands").alias("bands"),
         F.any_value("sketch").alias("sketch")))
-    rows = texts.select("rep", "size", F.explode("bands").alias("key"))
+    rows = texts.select("rep", "size", "sketch", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(rows.join(shared, "key"))
     degrees = buckets.groupBy("rep").agg(F.sum("n").alias("degree"))
     # the order of a bucket's members: most shared buckets first, then the id
     buckets = stored(buckets.join(degrees, "rep").select(
-        "key", "rep", F.struct((-F.col("degree")).alias("degree"), "rep", "size").alias("place")))
-
-    def near_sizes(one: str, two: str) -> Column:
-        return F.least(one, two) >= least * F.greatest(one, two)
-
-    sketches = texts.select("rep", "sketch").join(
-        few(stored(degrees.select("rep"))), "rep", "left_semi")
-    sketches = stored(sketches)
+        "key", "rep", "sketch",
+        F.struct((-F.col("degree")).alias("degree"), "rep", "size").alias("place")))
 
-    def judged(pairs: DataFrame) -> DataFrame:
-        return verified(likely(pairs, sketches, least), docs, least)
+    def worth(lead: str, sketch: str) -> Column:
+        """Neither lengths nor sketches rule the similarity out."""
+        sizes = [F.col(f"{lead}.size"), F.col("place.size")]
+        return (F.least(*sizes) >= least * F.greatest(*sizes)) & alike(sketch, "sketch", least)
 
-    first = buckets.groupBy("key").agg(F.min("place").alias("first"))
+    first = buckets.groupBy("key").agg(F.min(F.struct("place", "sketch")).alias("f")).select(
+        "key", F.col("f.place").alias("first"), F.col("f.sketch").alias("first_sketch"))
     members = stored(buckets.join(first, "key"))
-    pairs = stored(members.where("first <> place").where(
-        near_sizes("first.size", "place.size")).select(
+    pairs = stored(members.where("first <> place").where(worth("first", "first_sketch")).select(
         F.col("first.rep").alias("a"), F.col("rep").alias("b")).distinct())
-    found = components(judged(pairs))
+    found = components(verified(pairs, docs, least))
 
     def open_buckets(rows: DataFrame) -> DataFrame:
         """Members of buckets in which several components meet."""
-        labelled = rows.select("key", "rep", "place").join(
+        labelled = rows.select("key", "rep", "sketch", "place").join(
             found.withColumnRenamed("node", "rep"), "rep", "left").select(
-                "key", "rep", "place", F.coalesce("label", "rep").alias("label"))
+                "key", "rep", "sketch", "place", F.coalesce("label", "rep").alias("label"))
         mixed = labelled.groupBy("key").agg(
             F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         return stored(labelled.join(mixed.select("key"), "key"))
@@ -293,13 +290,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         turn = Window.partitionBy("key").orderBy("place")
         leaders = stored(members.withColumn("n", F.row_number().over(turn)).where(
             F.col("n") <= n_leaders).select(
-                "key", F.col("place").alias("lead"), F.col("label").alias("own")))
+                "key", F.col("place").alias("lead"), F.col("sketch").alias("lead_sketch"),
+                F.col("label").alias("own")))
         fresh = members.join(leaders, "key").where("own <> label AND lead < place").where(
-            near_sizes("lead.size", "place.size")).select(
+            worth("lead", "lead_sketch")).select(
             F.col("lead.rep").alias("a"), F.col("rep").alias("b")).distinct()
         fresh = stored(fresh.join(pairs, ["a", "b"], "left_anti"))
         pairs = stored(pairs.unionByName(fresh))
-        found = components(judged(fresh), found)
+        found = components(verified(fresh, docs, least), found)
         last = leaders.groupBy("key").agg(F.max("lead").alias("last"))
         members = open_buckets(members.join(last, "key").where("place > last"))
         n_leaders *= 4
