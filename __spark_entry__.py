@@ -533,7 +533,9 @@ def _layer_queries() -> dict[str, Query]:
         "lg_complaint_groups": lambda s, d: ledger.complaint_groups(
             debarment.during(_barred(s, d))),
         "lg_alert_cases": _alert_cases,
-        "rp_figures": lambda s, d: reports.headline_figures(_figures(s, d)),
+        "rp_figures": lambda s, d: reports.headline_figures({
+            **_figures(s, d), "backtest": _evaluate(s, d),
+            "digits": digits.conformity(_digits(s, d), "institucion")}),
         "rp_derived_figures": lambda s, d: reports.derived_figures(_figures(s, d)),
         "rp_unified_debarred": lambda s, d: reports.unified_debarred(
             debarment.during(_barred(s, d)),
@@ -543,7 +545,8 @@ def _layer_queries() -> dict[str, Query]:
             state_layer.fraud_by_rfc(D.states(s, d), D.efos(s, d))),
         "rp_offices": lambda s, d: reports.affected_offices(
             collusion.rotation_candidates(D.contracts(s, d), **ROTATION),
-            collusion.rings(D.contracts(s, d), **RINGS)),
+            collusion.rings(D.contracts(s, d), **RINGS),
+            collusion.same_day_splits(D.contracts(s, d), 2, 1e6)),
         "rp_status_distribution": lambda s, d: reports.status_distribution(
             fraud_list.detail(_hits(s, d))),
         "rp_by_supplier": lambda s, d: reports.sums_by_supplier(

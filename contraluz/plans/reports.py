@@ -71,6 +71,7 @@ def derived_figures(findings: Mapping[str, DataFrame]) -> DataFrame:
     plausible = definitive & F.col("importe_plausible")
     during = F.col("durante_inhabilitacion")
     state_money = C.millions(C.money_sum("importe", plausible), 6)
+    year = F.year(C.parse_moment("fecha_contrato"))
     parts = {
         "_fed_debarred": (get("debarred_federal"), F.count("*")),
         "estatal_durante_n": (get("debarred_state"), F.count_if(during)),
@@ -81,6 +82,12 @@ def derived_figures(findings: Mapping[str, DataFrame]) -> DataFrame:
         "estatal_facturera_n": (get("fraud_state"), F.count_if(plausible)),
         "facturera_hist_contratos": (get("archive_by_status"), F.sum(
             F.when(definitive, F.col("contratos")))),
+        "facturera_hist_monto": (get("archive_by_status"),
+                                 _exact_sum("monto_mxn_millones", where=definitive)),
+        "facturera_hist_empresas": (get("archive_by_status"), F.sum(
+            F.when(definitive, F.col("empresas")))),
+        "_first_year": (get("fraud_federal"), F.min(F.when(definitive, year))),
+        "_last_year": (get("fraud_federal"), F.max(F.when(definitive, year))),
         "sobrecostos_n": (get("modifications"), F.count("*")),
         "jovenes_monto": (get("young_by_year"),
                           _exact_sum("monto_a_menores_1a_mxn_m")),
@@ -95,16 +102,21 @@ def derived_figures(findings: Mapping[str, DataFrame]) -> DataFrame:
         .alias("facturera_rfc_monto"),
         (F.col("_fed_fraud_n") + F.col("estatal_facturera_n"))
         .alias("facturera_rfc_contratos"),
+        _years(F.col("_first_year"), F.col("_last_year")).alias("facturera_rfc_rango"),
         *[n for n in parts if not n.startswith("_")])
 
 
+def _years(low: Column, high: Column) -> Column:
+    """'2010–2023'; a dash where no year is known (NULL or 0)."""
+    low, high = (c.cast("int").cast("string") for c in (low, high))
+    return F.when(low.isNull() | (low == "0"), "—").when(low == high, low).otherwise(
+        F.concat_ws("–", low, high))
+
+
 def year_range(rows: DataFrame, day: str) -> DataFrame:
-    """'2010–2023' of an ISO date column; a dash where no date is known."""
+    """The range of years of an ISO date column."""
     year = F.year(C.parse_moment(day))
-    low, high = F.min(year), F.max(year)
-    return rows.agg(F.when(low.isNull(), "—").when(
-        low == high, low.cast("string")).otherwise(F.concat_ws(
-            "–", low.cast("string"), high.cast("string"))).alias("rango"))
+    return rows.agg(_years(F.min(year), F.max(year)).alias("rango"))
 
 
 def affected_offices(*tables: DataFrame) -> DataFrame:

@@ -1249,8 +1249,11 @@ SQL["rp_figures"] = f"""
         SELECT {mill(f"sum({dec('importe')}) FILTER (WHERE edad_dias < 365 AND {MXN})", 1)}
           AS m FROM aged GROUP BY file_year)) AS d04_monto,
       (SELECT CAST(count(*) AS DOUBLE) FROM f05) AS d05_gun,
-      0.0::DOUBLE AS d03_noconf, 0.0::DOUBLE AS d03_total,
-      (SELECT CAST(count(*) AS DOUBLE) FROM f07) AS d07_n, 0.0::DOUBLE AS best_lift"""
+      (SELECT CAST(count(*) FILTER (WHERE banda_nigrini = 'NO CONFORME') AS DOUBLE)
+        FROM ({SQL["d03_benford"]})) AS d03_noconf,
+      (SELECT CAST(count(*) AS DOUBLE) FROM ({SQL["d03_benford"]})) AS d03_total,
+      (SELECT CAST(count(*) AS DOUBLE) FROM f07) AS d07_n,
+      (SELECT coalesce(max(lift), 0.0) FROM ({SQL["bt_evaluate"]})) AS best_lift"""
 SQL["rp_derived_figures"] = f"""
     SELECT
       CAST((SELECT count(*) FROM f05) + (SELECT count(*) FROM state_sfp
@@ -1270,6 +1273,14 @@ SQL["rp_derived_figures"] = f"""
         AND importe_plausible) AS estatal_facturera_n,
       (SELECT CAST(count(*) AS DOUBLE) FROM archive_hits
         WHERE situacion = 'Definitivo') AS facturera_hist_contratos,
+      (SELECT {mill(f"sum({dec('importe_num')}) FILTER (WHERE moneda = 'MXN')", 1)}
+        FROM archive_hits WHERE situacion = 'Definitivo') AS facturera_hist_monto,
+      (SELECT CAST(count(DISTINCT nombre_norm) AS DOUBLE) FROM archive_hits
+        WHERE situacion = 'Definitivo') AS facturera_hist_empresas,
+      (SELECT CASE WHEN min(y) IS NULL THEN '—' WHEN min(y) = max(y) THEN min(y)
+          ELSE min(y) || '–' || max(y) END
+        FROM (SELECT left(CAST(fecha_contrato AS VARCHAR), 4) AS y FROM f01d
+          WHERE situacion = 'Definitivo')) AS facturera_rfc_rango,
       (SELECT CAST(count(*) AS DOUBLE) FROM f07) AS sobrecostos_n,
       (SELECT CAST(round(sum(CAST(m AS DECIMAL(24,6))), 1) AS DOUBLE) FROM (
         SELECT {mill(f"sum({dec('importe')}) FILTER (WHERE edad_dias < 365 AND {MXN})", 1)}
@@ -1292,10 +1303,14 @@ SQL["rp_unified_fraud"] = f"""
     UNION ALL SELECT proveedor, rfc, {titled('estado_comprador')}, definitivo_dof, fecha_contrato,
       sujeto_obligado, monto_mxn_millones, direccion_anuncio
     FROM f10e WHERE situacion = 'Definitivo' AND importe_plausible"""
-SQL["rp_offices"] = """
+SQL["rp_offices"] = f"""
     SELECT count(*) AS oficinas_total FROM (
       SELECT institucion, nombre_uc FROM rot
-      UNION SELECT institucion, nombre_uc FROM ring_sum)"""
+      UNION SELECT institucion, nombre_uc FROM ring_sum
+      UNION SELECT institucion, nombre_uc FROM (
+        SELECT institucion, nombre_uc FROM contracts WHERE {DIRECT} AND {MXN}
+        GROUP BY institucion, nombre_uc, proveedor, rfc_norm, fecha_efectiva
+        HAVING count(*) >= 2 AND sum({dec('importe')}) >= 1000000))"""
 SQL["rp_status_distribution"] = "SELECT situacion, count(*) AS contratos FROM f01d GROUP BY 1"
 SQL["rp_by_supplier"] = f"""
     SELECT rfc, min(proveedor) AS proveedor, count(*) AS contratos,
