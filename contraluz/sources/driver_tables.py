@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contraluz.functions import columns as C
+from contraluz.operators.state_layer import dedupe
 from contraluz.session import spread
 from contraluz.sources.states import with_key_traits
 
@@ -219,8 +220,8 @@ def state_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def states(spark: SparkSession, folder: str) -> DataFrame:
-    """The state layer with one report per contract."""
-    return state_reports(spark, folder).where(F.col("formato") == "59729")
+    """The state layer with one report per contract, mirrors and repeats folded."""
+    return dedupe(state_reports(spark, folder))
 
 
 def archive(spark: SparkSession, folder: str) -> DataFrame:
