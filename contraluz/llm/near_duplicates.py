@@ -239,7 +239,9 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id) for every row: the least id of its near-duplicate class.
+    """(doc_id, class_id, digest) for every row: the least id of its near-duplicate
+    class, and the MD5 of its text (null without words), which tells apart
+    several texts of one id.
 
     A class is a component of texts linked by a weighted Jaccard similarity of
     at least `least` over five-word shingles, words as they stand between blanks;
@@ -306,9 +308,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         found.withColumnRenamed("node", "rep"), "rep", "left").select(
             "digest", F.coalesce("label", "rep").alias("class_id"))
     grouped = signed.select("doc_id", "digest").join(named, "digest").select(
-        "doc_id", "class_id")
+        "doc_id", "class_id", "digest")
     wordless = docs.where(F.col("text").isNull() | F.col("doc_id").isNull() | ~F.col(
-        "text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", F.col("doc_id").alias("class_id"))
+        "text").rlike(r"[^\x20\x09-\x0D]")).select(
+            "doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("binary").alias("digest"))
     return grouped.unionByName(wordless)
 
 

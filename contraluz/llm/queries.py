@@ -66,7 +66,7 @@ def op6_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.classes(documents(spark, sf_dir))
+    return near_duplicates.classes(documents(spark, sf_dir)).select("doc_id", "class_id")
 
 
 def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,21 +39,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class, that of the least id.
 
-    Of rows that share an id one stays, whichever comes first by its text; rows
-    without an id cannot be named and stay.
+    Where rows of one id are in one class, that with the least text stays; a
+    text without words is a class of its own; rows without an id cannot be
+    named and stay.
     """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     classes = stored(near_duplicates.classes(docs))
-    removed = stored(classes.where("doc_id <> class_id").select("doc_id").distinct())
-    kept = docs.join(few(removed), "doc_id", "left_anti").select(*docs.columns)
-    twice = stored(classes.where("doc_id IS NOT NULL").groupBy("doc_id").count()
-                   .where("count > 1").select("doc_id"))
+    removed = stored(classes.where("doc_id <> class_id").select(
+        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct())
+    same = (F.col("doc_id") == F.col("__id")) & (F.unhex(F.md5("text")) == F.col("__digest"))
+    kept = docs.join(few(removed), same, "left_anti")
+    twice = stored(classes.where("doc_id = class_id").groupBy("doc_id").count()
+                   .where("count > 1").select(F.col("doc_id").alias("__id")))
     if not twice.head(1):
         return kept
-    several = kept.join(few(twice), "doc_id", "left_semi").select(*docs.columns)
-    row = F.struct(F.col("text").alias("__first"), *[F.col(f"`{c}`") for c in docs.columns])
-    one = several.groupBy("doc_id").agg(F.min(row).alias("__row")).select(
-        *[F.col(f"__row.`{c}`") for c in docs.columns])
-    return kept.join(few(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+    named = F.col("doc_id") == F.col("__id")
+    row = F.struct(F.col("text").alias("__first"), *columns)
+    one = kept.join(few(twice), named, "left_semi").groupBy("doc_id").agg(
+        F.min(row).alias("__row")).select(*[F.col(f"__row.`{c}`") for c in docs.columns])
+    return kept.join(few(twice), named, "left_anti").unionByName(one)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
