@@ -29,7 +29,8 @@ from contraluz.llm.common import ship, stored
 EPSILON = 3.0
 SEED = 20240229
 INDEX_BLOCK, QUERY_BLOCK = 8_192, 4_096
-PART = 256  # queries whose estimates are held at once
+PART = 64  # queries whose estimates are held at once
+CELLS = 1 << 20  # numbers of the vectors that are reranked at once
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -79,7 +80,11 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarra
         else:
             least = np.full((len(lower), 1), -np.inf, np.float32)
         row, column = np.nonzero((estimate + error >= least) & ~own)
-        scores = np.einsum("ij,ij->i", queries[a + row], vectors[column])
+        scores = np.empty(len(row))
+        step = max(1, CELLS // vectors.shape[1])
+        for b in range(0, len(row), step):
+            part = slice(b, b + step)
+            scores[part] = np.einsum("ij,ij->i", queries[a + row[part]], vectors[column[part]])
         order = np.lexsort((ids[column], -scores, row))
         row, column, scores = row[order], column[order], scores[order]
         begin = np.searchsorted(row, np.arange(len(lower)))
