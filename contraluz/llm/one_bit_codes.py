@@ -10,8 +10,9 @@ sqrt((1 - o * o) / o * o / (d - 1)) times both norms, o being that inner product
 
 The index rows are dealt into blocks, the stated queries likewise, and every
 block of queries meets every block of the index in one task: the estimates of
-all pairs come from one multiplication of unpacked signs.  A query's threshold is
-the k-th largest lower bound; vectors whose upper bound reaches it are reranked
+all pairs come from one multiplication of unpacked signs.  The k likeliest vectors
+of a query are reranked first, and the least of their exact scores is its
+threshold; vectors whose upper bound reaches it are reranked
 with their exact inner product in double precision, and the block's k best leave
 the task.  The k best over blocks are the result.  No pair of rows is ever a row
 of a table.
@@ -72,13 +73,15 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarra
     out_q, out_v, out_s = [], [], []
     for a in range(0, len(queries), PART):
         estimate, error = bounds(bits, norms, overlap, rotated[a:a + PART])
-        lower = estimate - error
         own = query_ids[a:a + PART, None] == ids[None, :]
-        lower[own] = -np.inf
-        if k < len(ids):
-            least = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k, None]
+        estimate[own] = -np.inf
+        if k < len(ids):  # the k likeliest, reranked first, set the threshold
+            top = np.argpartition(estimate, len(ids) - k, axis=1)[:, len(ids) - k:]
+            exact = np.einsum("ij,ikj->ik", queries[a:a + PART], vectors[top])
+            exact[np.take_along_axis(own, top, axis=1)] = -np.inf
+            least = exact.min(axis=1, keepdims=True)
         else:
-            least = np.full((len(lower), 1), -np.inf, np.float32)
+            least = np.full((len(estimate), 1), -np.inf)
         row, column = np.nonzero((estimate + error >= least) & ~own)
         scores = np.empty(len(row))
         step = max(1, CELLS // vectors.shape[1])
@@ -87,7 +90,7 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarra
             scores[part] = np.einsum("ij,ij->i", queries[a + row[part]], vectors[column[part]])
         order = np.lexsort((ids[column], -scores, row))
         row, column, scores = row[order], column[order], scores[order]
-        begin = np.searchsorted(row, np.arange(len(lower)))
+        begin = np.searchsorted(row, np.arange(len(estimate)))
         kept = np.arange(len(row)) - begin[row] < k
         out_q.append(query_ids[a + row[kept]])
         out_v.append(ids[column[kept]])
