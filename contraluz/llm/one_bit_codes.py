@@ -10,12 +10,12 @@ sqrt((1 - o * o) / o * o / (d - 1)) times both norms, o being that inner product
 
 The index rows are dealt into blocks, the stated queries likewise, and every
 block of queries meets every block of the index in one task: the estimates of
-all pairs come from one multiplication of unpacked signs.  The k likeliest vectors
-of a query are reranked first, and the least of their exact scores is its
-threshold; vectors whose upper bound reaches it are reranked
-with their exact inner product in double precision, and the block's k best leave
-the task.  The k best over blocks are the result.  No pair of rows is ever a row
-of a table.
+all pairs come from one multiplication of unpacked signs.  The likeliest vectors
+of a query's k likeliest ids are reranked first, and the least of their exact
+scores is its threshold; vectors whose upper bound reaches it are reranked
+with their exact inner product in double precision, and the block's k best ids
+leave the task, each with its best vector.  The k best over blocks are the
+result.  No pair of rows is ever a row of a table.
 """
 
 from __future__ import annotations
@@ -64,10 +64,13 @@ def bounds(bits: np.ndarray, norms: np.ndarray, overlap: np.ndarray,
 
 def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray,
                   ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best vectors of a block for each query, itself left out."""
+    """The k best ids of a block for each query, itself left out, by their best vectors."""
     turn = rotation(vectors.shape[1])
     order = np.argsort(ids, kind="stable")
     vectors, ids = vectors[order], ids[order]
+    new = np.r_[True, ids[1:] != ids[:-1]][:len(ids)]
+    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+    several = len(starts) < len(ids)  # an id has more than one vector
     bits, norms, overlap = codes(vectors, turn)
     rotated = queries @ turn
     out_q, out_v, out_s = [], [], []
@@ -75,8 +78,12 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarra
         estimate, error = bounds(bits, norms, overlap, rotated[a:a + PART])
         own = query_ids[a:a + PART, None] == ids[None, :]
         estimate[own] = -np.inf
-        if k < len(ids):  # the k likeliest, reranked first, set the threshold
-            top = np.argpartition(estimate, len(ids) - k, axis=1)[:, len(ids) - k:]
+        if k < len(starts):  # the k likeliest ids, reranked first, set the threshold
+            likely = np.maximum.reduceat(estimate, starts, axis=1) if several else estimate
+            top = np.argpartition(likely, len(starts) - k, axis=1)[:, len(starts) - k:]
+            if several:  # from ids to the likeliest vector of each
+                at = np.where(estimate == likely[:, group], np.arange(len(ids)), len(ids) - 1)
+                top = np.take_along_axis(np.minimum.reduceat(at, starts, axis=1), top, axis=1)
             exact = np.einsum("ij,ikj->ik", queries[a:a + PART], vectors[top])
             exact[np.take_along_axis(own, top, axis=1)] = -np.inf
             least = exact.min(axis=1, keepdims=True)
@@ -88,6 +95,12 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarra
         for b in range(0, len(row), step):
             part = slice(b, b + step)
             scores[part] = np.einsum("ij,ij->i", queries[a + row[part]], vectors[column[part]])
+        if several:  # the best vector of each id
+            order = np.lexsort((-scores, group[column], row))
+            row, column, scores = row[order], column[order], scores[order]
+            same = (row[1:] == row[:-1]) & (group[column[1:]] == group[column[:-1]])
+            lead = np.r_[True, ~same][:len(row)]
+            row, column, scores = row[lead], column[lead], scores[lead]
         order = np.lexsort((ids[column], -scores, row))
         row, column, scores = row[order], column[order], scores[order]
         begin = np.searchsorted(row, np.arange(len(estimate)))
@@ -124,12 +137,13 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int, vec_id: str = "vec_
     rows = vectors.select(
         F.col(f"`{vec_id}`").cast("long").alias("vec_id"), values.alias("v"),
         is_query.alias("query")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    rows = stored(rows.withColumn("d", F.size("v")))
+    rows = stored(rows.groupBy("vec_id", "v").agg(F.max("query").alias("query")).withColumn(
+        "d", F.size("v")))
     total, asked = rows.agg(F.count("*"), F.count_if("query")).first()
     index_parts, query_parts = total // index_block + 1, asked // query_block + 1
 
     def dealt(df: DataFrame, parts: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(parts)).cast("int")
+        return F.pmod(F.xxhash64("vec_id", "v", F.lit(salt)), F.lit(parts)).cast("int")
 
     def numbers(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

@@ -160,6 +160,32 @@ def test_neighbours(spark, sizes):
     assert hits >= 0.99 * 20 * len(expected)
 
 
+@pytest.mark.parametrize("sizes", [{}, {"index_block": 40, "query_block": 2}])
+@pytest.mark.parametrize("step", [0.0, 1e-3])
+def test_repeated_ids_take_one_place(spark, sizes, step):
+    rng = np.random.default_rng(8)
+    ids = np.r_[np.arange(120), np.full(30, 7), np.full(30, 11), np.full(3, 40)]
+    vectors = rng.normal(size=(len(ids), 16))
+    vectors[[7, 11]] = 3 * vectors[[0, 0]]  # near the top for the query 0
+    vectors[120:150] = vectors[7] + step * np.arange(30)[:, None]
+    vectors[150:180] = vectors[11] - step * np.arange(30)[:, None]
+    vectors[180:] = vectors[40] * (1 + step)  # a query of several rows
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)],
+                               "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in one_bit_codes.neighbours(df, F.col("vec_id") % 20 == 0, 20, **sizes).orderBy(
+            "query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert set(got) == {0, 20, 40, 60, 80, 100}
+    for q, found in got.items():
+        best = {int(i): (vectors[ids == i] @ vectors[ids == q].T).max() for i in set(ids) - {q}}
+        expected = sorted(best, key=lambda i: (-best[i], i))[:20]
+        assert len(found) == len({v for v, _ in found}) == 20
+        assert len({v for v, _ in found} & set(expected)) >= 19
+        for v, s in found:
+            assert s == pytest.approx(best[v], abs=1e-9)
+
+
 def test_neighbours_of_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (20, [-1.0])],
                                "vec_id long, embedding array<double>")
