@@ -81,17 +81,12 @@ def sketch(items: DataFrame, containment: float) -> DataFrame:
     return picked.groupBy("item_id", "least", "hash").agg(F.count("*").alias("picks"))
 
 
-def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-              item_id: str = "item_id", item_text: str = "text",
-              containment: float = CONTAINMENT) -> DataFrame:
-    """Pairs (doc_id, item_id, n_shared, n_shingles, containment) from that containment on.
+def matches(rows: DataFrame, items: DataFrame, key: str, item_id: str = "item_id",
+            item_text: str = "text", containment: float = CONTAINMENT,
+            copies: bool = False) -> DataFrame:
+    """(key, item_id, best) of the rows (key, text), best by the key's texts.
 
-    Words are lower-cased runs of letters and digits.  An item of fewer than
-    five words is one shingle, which only a document of the same words has.
-    Null or wordless texts and null ids take part on neither side.  Equal items
-    are found each on its own; of several texts of one document id the largest
-    containment counts, and of several texts of an item id each is tried and the
-    largest counts.  Other columns are not used.
+    `copies` says that rows of one key have one text, which is read once.
     """
     some = items.select(F.col(f"`{item_id}`").cast("long").alias("item_id"),
                         words(F.col(f"`{item_text}`")).alias("w")).where(
@@ -100,36 +95,55 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
             F.array_distinct(shingle_hashes("w")).alias("hashes"))
     some = stored(some.distinct())
     drawn = stored(sketch(some, containment))
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
-                       F.col(f"`{text}`").alias("text")).where(
-        "doc_id IS NOT NULL AND text IS NOT NULL")
-    found = rows.select("doc_id", words("text").alias("w")).select(
-        "doc_id", F.explode(shingle_hashes("w")).alias("hash")).join(few(drawn), "hash")
+    found = rows.select(key, words("text").alias("w")).select(
+        key, F.explode(shingle_hashes("w")).alias("hash")).join(few(drawn), "hash")
     candidates = stored(
-        found.distinct().groupBy("doc_id", "item_id").agg(
+        found.distinct().groupBy(key, "item_id").agg(
             F.sum("picks").alias("hits"), F.min("least").alias("least"))
-        .where("hits >= least").select("doc_id", "item_id"))
-    texts = rows.join(few(candidates.select("doc_id").distinct()), "doc_id", "left_semi")
+        .where("hits >= least").select(key, "item_id"))
+    texts = rows.join(few(candidates.select(key).distinct()), key, "left_semi")
+    if copies:
+        texts = texts.groupBy(key).agg(F.any_value("text").alias("text"))
     pairs = candidates.join(
-        texts.select("doc_id", words("text").alias("w")).select(
-            "doc_id", shingle_texts("w").alias("have")), "doc_id").join(
+        texts.select(key, words("text").alias("w")).select(
+            key, shingle_texts("w").alias("have")), key).join(
         some.select("item_id", "shingles"), "item_id")
     shared = F.size(F.array_intersect("shingles", "have"))
     return pairs.select(
-        "doc_id", "item_id", shared.cast("long").alias("n_shared"),
+        key, "item_id", shared.cast("long").alias("n_shared"),
         F.size("shingles").cast("long").alias("n_shingles"),
         (shared / F.size("shingles")).alias("containment")).where(
-        F.col("containment") >= containment).groupBy("doc_id", "item_id").agg(
-        F.max(F.struct("containment", "n_shared", "n_shingles")).alias("best")).select(
+        F.col("containment") >= containment).groupBy(key, "item_id").agg(
+        F.max(F.struct("containment", "n_shared", "n_shingles")).alias("best"))
+
+
+def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
+              item_id: str = "item_id", item_text: str = "text",
+              containment: float = CONTAINMENT) -> DataFrame:
+    """Pairs (doc_id, item_id, n_shared, n_shingles, containment) from that containment on.
+
+    Words are lower-cased runs of letters and digits.  An item of fewer than
+    five words is one shingle, which only a document of the same words has.
+    Null or wordless texts and null ids take part on neither side.  Equal items
+    are found each on its own; of several texts of one document id the largest
+    containment counts, and of several texts of an item id each is tried and the
+    largest counts.  Other columns are not used.
+    """
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+                       F.col(f"`{text}`").alias("text")).where(
+        "doc_id IS NOT NULL AND text IS NOT NULL")
+    return matches(rows, items, "doc_id", item_id, item_text, containment).select(
         "doc_id", "item_id", "best.n_shared", "best.n_shingles", "best.containment")
 
 
-def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          **more) -> DataFrame:
-    """The rows of documents that contain no item; rows without an id stay."""
-    found = stored(contained(docs, items, doc_id, text, **more).select(
-        F.col("doc_id").alias("__leaked")).distinct())
-    return docs.join(few(found), F.col(f"`{doc_id}`") == F.col("__leaked"), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", **more) -> DataFrame:
+    """The rows whose own text contains no item, whatever their id."""
+    digest = F.unhex(F.md5(F.col(f"`{text}`")))
+    rows = docs.select(digest.alias("digest"), F.col(f"`{text}`").alias("text")).where(
+        "text IS NOT NULL")
+    found = stored(matches(rows, items, "digest", copies=True, **more).select(
+        F.col("digest").alias("__leaked")).distinct())
+    return docs.join(few(found), digest == F.col("__leaked"), "left_anti")
 
 
 def oracle(containment: float = CONTAINMENT) -> str:

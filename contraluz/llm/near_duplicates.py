@@ -13,7 +13,9 @@ similarity.  Where a coordinate stays empty the limit is doubled.
 Bands of R coordinates are hashed to buckets.  With R = 6 and 42 bands a pair of
 similarity 0.8 misses all buckets with probability 3e-6.
 
-Nobody emits all pairs of a bucket.  Copies of a text are one representative.
+Nobody emits all pairs of a bucket.  Copies of a text, told by its MD5, are one
+node; ids play no part before the classes are named, so unlike texts of one id
+stay apart.
 The members of a bucket are put in order, those that share most buckets with
 others first, as they stand in the middle of their group.  The first of each
 bucket is paired with its other members, where the two bits kept of each
@@ -129,7 +131,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, size, bands, sketch) of rows with an id and a word.
+    """(doc_id, digest, size, bands, sketch) of rows with a word.
 
     The size is the total weight, the sketch two bits of every coordinate of the
     signature, 32 coordinates in a number.
@@ -164,7 +166,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                 for begin in range(0, part.num_rows, DOCS):
                     yield one(part.slice(begin, DOCS), hasher)
 
-    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, schema)
+    return docs.where("text IS NOT NULL").mapInArrow(run, schema)
+
+
+def digest(text: str) -> Column:
+    """The MD5 that tells texts apart."""
+    return F.unhex(F.md5(text))
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -186,16 +193,19 @@ def alike(one: str, two: str, least: float) -> Column:
     return different <= most
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """The candidate pairs (a, b) whose texts are at least that similar.
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The candidate pairs (a, b) of nodes whose texts are at least that similar.
 
-    Only texts of candidates move: their ids are broadcast while they are few
-    enough, else the texts are filtered by a shuffled semi-join.
+    Only texts of candidates move, one row's of each node: their ids and digests
+    are broadcast while they are few enough, else the texts are shuffled.
     """
     pairs = stored(pairs)
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.join(few(ids), "doc_id", "left_semi")
-    texts = stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")))
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    asked = stored(nodes.select("node", F.col("first").alias("__first"), F.col(
+        "digest").alias("__digest")).join(asked, "node", "left_semi"))
+    same = F.col("doc_id").eqNullSafe(F.col("__first")) & (F.col("digest") == F.col("__digest"))
+    texts = docs.withColumn("digest", digest("text")).join(few(asked), same)
+    texts = stored(texts.groupBy("node").agg(F.any_value("text").alias("text")))
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def run(batches):
@@ -237,31 +247,24 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return found
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-            least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, digest) for every row: the least id of its near-duplicate
-    class, and the MD5 of its text (null without words), which tells apart
-    several texts of one id.
+def labelled(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Signed rows, and (digest, first, label, class_id) of every text with a word.
 
-    A class is a component of texts linked by a weighted Jaccard similarity of
-    at least `least` over five-word shingles, words as they stand between blanks;
-    shorter texts are one shingle.  A null text or one without words is a class
-    of its own, a row without an id has a null class, and repeated rows are
-    copies like others.  If several texts have one id, the least of them stands
-    for it where candidates are verified.
+    first is the least id of the rows with that text, label a number of its
+    class, class_id the least id of the class.  docs has doc_id and text.
     """
-    docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
-                       F.col(f"`{text}`").alias("text"))
     signed = stored(signatures(docs))
     texts = stored(signed.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.any_value("size").alias("size"),
+        F.min("doc_id").alias("first"), F.any_value("size").alias("size"),
         F.any_value("bands").alias("bands"),
-        F.any_value("sketch").alias("sketch")))
+        F.any_value("sketch").alias("sketch")).withColumn(
+            "rep", F.monotonically_increasing_id()))  # holds, as it is stored
+    nodes = texts.select(F.col("rep").alias("node"), "digest", "first")
     rows = texts.select("rep", "size", "sketch", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(rows.join(shared, "key"))
     degrees = buckets.groupBy("rep").agg(F.sum("n").alias("degree"))
-    # the order of a bucket's members: most shared buckets first, then the id
+    # the order of a bucket's members: most shared buckets first, then the number
     buckets = stored(buckets.join(degrees, "rep").select(
         "key", "rep", "sketch",
         F.struct((-F.col("degree")).alias("degree"), "rep", "size").alias("place")))
@@ -276,7 +279,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = stored(buckets.join(first, "key"))
     pairs = stored(members.where("first <> place").where(worth("first", "first_sketch")).select(
         F.col("first.rep").alias("a"), F.col("rep").alias("b")).distinct())
-    found = components(verified(pairs, docs, least))
+    found = components(verified(pairs, docs, nodes, least))
 
     def open_buckets(rows: DataFrame) -> DataFrame:
         """Members of buckets in which several components meet."""
@@ -299,20 +302,74 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             F.col("lead.rep").alias("a"), F.col("rep").alias("b")).distinct()
         fresh = stored(fresh.join(pairs, ["a", "b"], "left_anti"))
         pairs = stored(pairs.unionByName(fresh))
-        found = components(verified(fresh, docs, least), found)
+        found = components(verified(fresh, docs, nodes, least), found)
         last = leaders.groupBy("key").agg(F.max("lead").alias("last"))
         members = open_buckets(members.join(last, "key").where("place > last"))
         n_leaders *= 4
 
-    named = texts.select("digest", "rep").join(
-        found.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "digest", F.coalesce("label", "rep").alias("class_id"))
-    grouped = signed.select("doc_id", "digest").join(named, "digest").select(
-        "doc_id", "class_id", "digest")
-    wordless = docs.where(F.col("text").isNull() | F.col("doc_id").isNull() | ~F.col(
-        "text").rlike(r"[^\x20\x09-\x0D]")).select(
-            "doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("binary").alias("digest"))
-    return grouped.unionByName(wordless)
+    linked = stored(nodes.join(found, "node", "left"))
+    shared = stored(linked.where("label IS NOT NULL").groupBy("label").agg(
+        F.min("first").alias("class_id")))
+    many = linked.where("label IS NOT NULL").join(few(shared), "label")
+    alone = linked.where("label IS NULL").withColumn("label", F.col("node")).withColumn(
+        "class_id", F.col("first"))
+    names = ["digest", "first", "label", "class_id"]
+    return signed.select("doc_id", "digest"), many.select(*names).unionByName(
+        alone.select(*names))
+
+
+def named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+                       F.col(f"`{text}`").alias("text"))
+
+
+def worded(text: str) -> Column:
+    """Whether a text has a word."""
+    return F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+            least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id) for every row: the least id of its text's near-duplicate class.
+
+    A class is a component of texts linked by a weighted Jaccard similarity of
+    at least `least` over five-word shingles, words as they stand between blanks;
+    shorter texts are one shingle.  A null text or one without words is a class
+    of its own, a row without an id has a null class and links nothing, and
+    repeated rows are copies like others.  Several texts of one id are each in
+    their own class, unless they are alike.
+    """
+    docs = named(docs, doc_id, text)
+    signed, texts = labelled(docs.where("doc_id IS NOT NULL"), least)
+    grouped = signed.join(texts, "digest").select("doc_id", "class_id")
+    return grouped.unionByName(docs.where(F.col("doc_id").isNull() | ~worded("text")).select(
+        "doc_id", F.col("doc_id").alias("class_id")))
+
+
+def surplus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+            least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, digest) of the rows that are not the first of their class.
+
+    The first is the least by id, null last, then by text.  Rows without an id
+    are in the class of their text; those without words are in none.
+    """
+    docs = named(docs, doc_id, text)
+    signed, texts = labelled(docs, least)
+    texts = stored(texts)
+    leads = F.col("first").eqNullSafe(F.col("class_id"))
+    rows = signed.join(texts, "digest").where(~(leads & F.col("doc_id").eqNullSafe(
+        F.col("first")))).select("doc_id", "digest").distinct()
+    several = stored(texts.where(leads).groupBy("label").count().where("count > 1").select("label"))
+    if not several.head(1):
+        return rows
+    tied = stored(texts.where(leads).join(few(several), "label", "left_semi").select(
+        F.col("first").alias("__first"), F.col("digest").alias("__digest"), "label"))
+    same = F.col("doc_id").eqNullSafe(F.col("__first")) & (F.col("digest") == F.col("__digest"))
+    best = docs.withColumn("digest", digest("text")).join(few(tied), same).groupBy("label").agg(
+        F.min("text").alias("text")).select(digest("text").alias("__digest"))
+    beaten = tied.join(best, "__digest", "left_anti")
+    return rows.unionByName(beaten.select(
+        F.col("__first").alias("doc_id"), F.col("__digest").alias("digest")))
 
 
 ship(__name__)

@@ -37,31 +37,31 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, that of the least id.
+    """One row of each near-duplicate class of texts, the least by id, null last,
+    and text.
 
-    Where rows of one id are in one class, that with the least text stays; a
-    text without words is a class of its own; rows without an id cannot be
-    named and stay.
+    Ids play no part in the classes: unlike texts of one id are judged each on
+    its own.  A text without words is like no other; of its repeated rows of one
+    id one stays.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    classes = stored(near_duplicates.classes(docs))
-    removed = stored(classes.where("doc_id <> class_id").select(
-        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct())
-    same = (F.col("doc_id") == F.col("__id")) & (F.unhex(F.md5("text")) == F.col("__digest"))
+    removed = stored(near_duplicates.surplus(docs).toDF("__id", "__digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & near_duplicates.digest("text").eqNullSafe(
+        F.col("__digest"))
     kept = docs.join(few(removed), same, "left_anti")
-    twice = stored(classes.where("doc_id = class_id").groupBy("doc_id").count()
-                   .where("count > 1").select(F.col("doc_id").alias("__id")))
+    twice = stored(kept.where(F.col("doc_id").isNotNull() | near_duplicates.worded("text")).groupBy(
+        F.col("doc_id").alias("__id"), near_duplicates.digest("text").alias("__digest"))
+        .count().where("count > 1").drop("count"))
     if not twice.head(1):
         return kept
-    named = F.col("doc_id") == F.col("__id")
-    row = F.struct(F.col("text").alias("__first"), *columns)
-    one = kept.join(few(twice), named, "left_semi").groupBy("doc_id").agg(
-        F.min(row).alias("__row")).select(*[F.col(f"__row.`{c}`") for c in docs.columns])
-    return kept.join(few(twice), named, "left_anti").unionByName(one)
+    one = kept.join(few(twice), same, "left_semi").groupBy(
+        "doc_id", near_duplicates.digest("text")).agg(F.min(F.struct(*columns)).alias(
+            "__row")).select(*[F.col(f"__row.`{c}`") for c in docs.columns])
+    return kept.join(few(twice), same, "left_anti").unionByName(one)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not contain a benchmark item."""
+    """Rows whose text does not contain a benchmark item."""
     return benchmark_containment.clean(docs, table(spark, sf_dir, "benchmark"))
 
 

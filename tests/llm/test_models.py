@@ -211,6 +211,17 @@ def test_pipeline(spark):
     assert rows.where("size(token_ids) <> n_tokens OR n_chars <> length(text)").count() == 0
 
 
+def test_near_dedup_goes_by_the_text(spark):
+    a, b, c = prose(1, 120), prose(2, 120), prose(3, 120)
+    near = lambda t, w: t + " " + w
+    rows = [(7, a), (7, b), (7, near(a, "zz")), (7, None), (7, None), (9, near(b, "more")),
+            (None, near(b, "less")), (None, c), (None, c), (7, a), (5, "one"), (6, " "), (None, " ")]
+    rows += [(40, prose(100 + i, 90)) for i in range(12)]  # unlike texts of one id
+    left = corpus_pipeline.near_dedup(spark, frame(spark, rows), TINY).collect()
+    expected = [(7, a), (7, b), (7, None), (None, c), (5, "one"), (6, " "), (None, " ")] + rows[-12:]
+    assert len(left) == len(expected) and {tuple(r) for r in left} == set(expected)
+
+
 def test_stages_on_odd_rows(spark):
     ddl = "doc_id long, text string, lang string, source string, n_chars long"
     leak = spark.read.parquet(f"{TINY}/benchmark.parquet").first()["text"]

@@ -74,6 +74,23 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_duplicates.classes(frame(spark, [])).count() == 0
 
 
+def test_texts_of_one_id_are_classed_apart(spark):
+    a, b, c = prose(1, 120), prose(2, 120), prose(3, 120)
+    rows = [(9, a), (9, b), (9, c), (12, changed(1, a, 2)), (8, changed(2, b, 2)),
+            (15, changed(3, c, 2)), (3, prose(4, 120)), (3, None)]
+    got = sorted((r["doc_id"], r["class_id"]) for r in near_duplicates.classes(
+        frame(spark, rows)).collect())
+    assert got == [(3, 3), (3, 3), (8, 8), (9, 8), (9, 9), (9, 9), (12, 9), (15, 9)]
+
+
+def test_clean_goes_by_the_text(spark):
+    item = " ".join(words(70, 30))
+    rows = [(1, prose(1, 40)), (1, item), (None, prose(2, 40)), (None, "so " + item), (2, None)]
+    left = benchmark_containment.clean(
+        frame(spark, rows), frame(spark, [(1, item)], "item_id long, text string")).collect()
+    assert {tuple(r) for r in left} == {rows[0], rows[2], rows[4]} and len(left) == 3
+
+
 def test_signatures_agree_as_often_as_weighted_sets_do():
     hasher = Hasher()
     a = " ".join(words(1, 300))
