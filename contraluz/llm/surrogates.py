@@ -1,8 +1,9 @@
 """Personal data replaced by keyed surrogates of the same type and form.
 
-Detected: e-mail addresses, IPv4 addresses, IBANs, social security numbers,
-telephone numbers, card numbers, secrets (long hexadecimal strings and tokens
-with a known prefix), and names behind a title.  An entity's identity is its
+Detected: e-mail addresses (of at most 255 characters before the @), IPv4 and
+IPv6 addresses, IBANs, social security numbers, telephone numbers (international,
+with a leading 0, and of ten digits), card numbers, secrets (long hexadecimal
+strings and tokens with a known prefix), and names behind a title.  An entity's identity is its
 type and its canonical form (letters and digits alone, lower case), so all its
 spellings are one entity and get one surrogate, in every document.
 
@@ -27,13 +28,15 @@ from pyspark.sql import functions as F
 from contraluz.llm.common import few, ship, stored, without
 
 # fixed values: titles, names and alphabets
-MALE_TITLES = "Mr Sir Herr Señor Sr Monsieur"
-FEMALE_TITLES = "Mrs Ms Miss Frau Señora Sra Madame Mme"
+MALE_TITLES = "Mr Sir Herr Señor Sr Monsieur Господин господин г-н Κύριος κύριος"
+FEMALE_TITLES = "Mrs Ms Miss Frau Señora Sra Madame Mme Госпожа госпожа г-жа Κυρία κυρία"
 OTHER_TITLES = "Dr Prof"
 MALE_NAMES = "Adrian Bruno Conrad Daniel Emil Felix Gabriel Hugo Ivan Jonas Karl Leon Marco Nils Oscar Pablo"
 FEMALE_NAMES = "Alba Bianca Clara Dora Elena Flora Greta Helga Irene Julia Klara Lena Maria Nora Olga Paula"
 MALE_CYRILLIC = "Андрей Борис Виктор Глеб Денис Егор Иван Кирилл"
 FEMALE_CYRILLIC = "Анна Вера Галина Дарья Елена Жанна Ирина Ксения"
+MALE_GREEK = "Γιώργος Δημήτρης Κώστας Μιχάλης Νίκος Πέτρος Σπύρος Χρήστος"
+FEMALE_GREEK = "Βασιλική Ελένη Ζωή Κατερίνα Μαρία Νίκη Σοφία Χριστίνα"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CYRILLIC_LOWER, CYRILLIC_UPPER = "абвгдежзиклмнопрстуфхцчшщэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ"
 GREEK_LOWER, GREEK_UPPER = "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"
@@ -41,15 +44,21 @@ HAN = "安白本大道东方高国海和花江金开来明南平青人山水天
 HEX = "0123456789abcdef"
 
 _TITLES = f"{MALE_TITLES} {FEMALE_TITLES} {OTHER_TITLES}".split()
+_HEX4 = "[0-9A-Fa-f]{1,4}"
 _TITLE = "|".join(dict.fromkeys(_TITLES + [t.upper() for t in _TITLES]))
 #: type and pattern; where several match at a place the first one holds
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,254}+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEX4}:){{7}}{_HEX4}|(?:{_HEX4}:){{1,7}}:(?!{_HEX4})"
+            rf"|(?:{_HEX4}:){{1,6}}(?::{_HEX4}){{1,6}}|:(?::{_HEX4}){{1,7}})(?![\p{{L}}\p{{N}}:])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-             r"|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
+             r"|(?<!\d)(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+             # a leading 0 and 9 to 12 digits that do not begin with a date; ten digits
+             r"|(?<![\p{L}\p{N}_+])(?<!\d[.,/ -])(?:(?!\d\d[./-]\d\d[./-]\d{2,4}(?![./-]?\d))"
+             r"0\d(?:[ ./-]?\d){7,10}|[2-9]\d{9})(?![\p{L}\p{N}_]|[.,/ -]\d)",
     "secret": r"(?<![A-Za-z0-9_])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}"
               r"|(?:sk|pk|rk|ghp|gho|xoxb|xoxp|AKIA)[-_A-Za-z0-9]{16,})(?![A-Za-z0-9_])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)",
@@ -57,8 +66,10 @@ PATTERNS = {
 }
 TYPES = list(PATTERNS)
 #: one pattern for all; a look at the next character spares most places the rest
-_STARTS = {"[\\d+(]": ("ip", "ssn", "phone", "card"), "[A-Z]{2}\\d": ("iban",),
-           "[0-9a-fA-Fsprgx]": ("secret",), "[MSHFD]": ("name",)}
+_STARTS = {"[\\d+(]": ("ip", "ssn", "phone", "card"), "[0-9a-fA-F:]": ("ipv6",), "[A-Z]{2}\\d": ("iban",),
+           "[0-9a-fA-Fsprgx]": ("secret",), f"[{''.join(sorted({t[0] for t in _TITLE.split('|')}))}]": ("name",)}
+#: country codes of one and two digits, all others have three
+_COUNTRY = r"^(\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}))"
 ANY = "|".join([PATTERNS["email"]] + [
     f"(?={start})(?:{'|'.join(PATTERNS[t] for t in types)})" for start, types in _STARTS.items()])
 
@@ -76,12 +87,12 @@ def canonical(kind: Column, entity: Column) -> Column:
     plain = F.regexp_replace(F.lower(entity), r"[^\p{L}\p{N}]", "")
     name = F.regexp_replace(entity, rf"^(?:{_TITLE})\.? ", "")
     return F.when(kind == "name", F.concat(gender(entity), F.lit(" "), F.lower(name))).when(
-        kind.isin("ip", "email"), F.lower(entity)).otherwise(plain)
+        kind.isin("ip", "ipv6", "email"), F.lower(entity)).otherwise(plain)
 
 
 def gender(entity: Column) -> Column:
     """m or f by the title; a title of either gives one by the name itself."""
-    title = F.regexp_extract(entity, r"^(\p{L}+)", 1)
+    title = F.regexp_extract(entity, rf"^({_TITLE})\.? ", 1)
     def among(listed: str) -> Column:
         return F.upper(title).isin(listed.upper().split())
     return F.when(among(MALE_TITLES), "m").when(among(FEMALE_TITLES), "f").otherwise("o")
@@ -149,9 +160,9 @@ def _replaced(kind: Column, entity: Column, canon: Column, attempt: Column,
     def begins(pattern: str) -> Column:
         return F.length(F.regexp_extract(entity, pattern, 1))
     fixed = F.when(kind == "iban", 2).when(kind == "card", 1).when(
-        kind == "phone", begins(r"^(\+\d{1,3})(?=[ .(-])")).when(
+        kind == "phone", F.greatest(begins(_COUNTRY), begins(r"^(0)"))).when(
         kind == "secret", begins(r"^((?:sk|pk|rk|ghp|gho|xoxb|xoxp|AKIA)[-_]?)")).otherwise(0)
-    hexadecimal = (kind == "secret") & entity.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
+    hexadecimal = (kind == "ipv6") | (kind == "secret") & entity.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
     # drawn by the place among letters and digits, so every spelling gets the same
     drawn = F.array_join(F.transform(
         F.sequence(F.lit(1), F.length(entity)),
@@ -177,7 +188,7 @@ def _replaced(kind: Column, entity: Column, canon: Column, attempt: Column,
 
 def _name(entity: Column, canon: Column, digest: Column, attempt: Column) -> Column:
     """Title, a first name of the gender if there was one, and a drawn last name."""
-    cyrillic = canon.rlike(r"\p{IsCyrillic}")
+    cyrillic, greek = canon.rlike(r"\p{IsCyrillic}"), canon.rlike(r"\p{IsGreek}")
     which = F.substring(canon, 1, 1)
     female = (which == "f") | ((which == "o") & (F.pmod(_draw(digest, F.lit(30)), F.lit(2)) == 0))
 
@@ -186,11 +197,13 @@ def _name(entity: Column, canon: Column, digest: Column, attempt: Column) -> Col
         return F.get(names, F.pmod(_draw(digest, F.lit(0)), F.size(names)))
 
     first = F.when(cyrillic, F.when(female, of(FEMALE_CYRILLIC)).otherwise(of(MALE_CYRILLIC))
-                   ).otherwise(F.when(female, of(FEMALE_NAMES)).otherwise(of(MALE_NAMES)))
+                   ).when(greek, F.when(female, of(FEMALE_GREEK)).otherwise(of(MALE_GREEK))
+                          ).otherwise(F.when(female, of(FEMALE_NAMES)).otherwise(of(MALE_NAMES)))
     # two letters more for every further drawing, so that names never run out
     size = F.lit(6) + attempt * 2
     last = F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: F.when(
-        cyrillic, _pick(CYRILLIC_LOWER, _draw(digest, i))).otherwise(
+        cyrillic, _pick(CYRILLIC_LOWER, _draw(digest, i))).when(
+            greek, _pick(GREEK_LOWER, _draw(digest, i))).otherwise(
             F.when(i % 2 == 0, _pick("aeiou", _draw(digest, i))).otherwise(
                 _pick("bdfgklmnprstv", _draw(digest, i))))), "")
     title = F.regexp_extract(entity, rf"^((?:{_TITLE})\.? )", 1)
@@ -202,8 +215,9 @@ def _name(entity: Column, canon: Column, digest: Column, attempt: Column) -> Col
 
 
 def detected(text: Column) -> Column:
-    """All entities of a text, in order; a text without a digit, @ or title has none."""
-    possible = text.rlike("[0-9@]")
+    """All entities of a text, in order; a text without a digit, @, title or as
+    long a run of letters as the shortest secret has none."""
+    possible = text.rlike("[0-9@]|[-_A-Za-z]{18}")
     for title in dict.fromkeys(t[:2] for t in _TITLE.split("|")):
         possible = possible | text.contains(title)
     return F.when(possible, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).when(

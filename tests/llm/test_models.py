@@ -168,6 +168,31 @@ def test_surrogates_keep_form_and_identity(spark):
     assert again == text and other[0] != text[0]
 
 
+def test_entities_of_many_forms_are_found(spark):
+    forms = ["jane.doe@example.com", "jane@x.org", "06 12 34 56 78", "06.12.34.56.78", "030 1234567",
+             "0301234567", "5551234567", "555 123 4567", "2001:db8:0:0:1:0:0:1", "fe80::1", "::1",
+             "2001:db8::", "sk-abcdefghijklmnopqrst", "Prof. Weber", "г-н Иванов", "госпожа Петрова",
+             "Κύριος Παππάς", "+442071234567", "+44 20 7123 4567", "+49 30 1234567"]
+    rows = [(2 * i + k, f if k else f"see {f}, so") for i, f in enumerate(forms)
+            for k in (0, 1)]
+    rows += [(100, "_jane.doe@example.com_"), (101, "-jane@x.org"), (102, "...jane@x.org"),
+             (103, "a@b.org_jane@x.org")]
+    keep = ["01.02.2024 12:30", "at 1699999999", "12:30:45", "std::dead a::b", "0.123456789",
+            "of 2024 and 1,234,567,890", "PostScript"]
+    rows += [(200 + i, t) for i, t in enumerate(keep)]
+    made = {r["doc_id"]: r for r in surrogates.replace(frame(spark, rows), "key").collect()}
+    for i, f in enumerate(forms):
+        for k in (0, 1):
+            assert f not in made[2 * i + k]["text"] and len(made[2 * i + k]["entities"]) == 1, f
+    for i in (100, 101, 102, 103):
+        assert "jane" not in made[i]["text"]
+    assert made[103]["text"].endswith(made[3]["text"])
+    assert [made[200 + i]["text"] for i in range(len(keep))] == keep
+    compact, spaced = (made[2 * forms.index(f) + 1]["text"] for f in forms[-3:-1])
+    assert compact == spaced.replace(" ", "") and compact.startswith("+44")
+    assert re.fullmatch("Κύριος [Α-Ω][α-ω]+", made[2 * forms.index("Κύριος Παππάς") + 1]["text"])
+
+
 def test_colliding_surrogates_are_drawn_again(spark):
     # two-digit octets of one short form: more entities than a first drawing keeps apart
     people = [f"Mr Ab{a}{b}" for a in "abcdefghijklmnop" for b in "abcdefghijklmnop"]
