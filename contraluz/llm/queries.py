@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contraluz.llm import (benchmark_containment, byte_bpe, language_crf, near_duplicates,
-                           one_bit_codes, repeated_windows, surrogates, token_counts,
-                           toxicity_grammar, url_templates)
+from contraluz.llm import (benchmark_containment, byte_bpe, byte_level, language_crf,
+                           near_duplicates, one_bit_codes, repeated_windows, surrogates,
+                           token_counts, toxicity_grammar, url_templates, word_table)
 from contraluz.llm.common import documents, held_out, table
 
+BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -94,6 +95,19 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
+def op13_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_level.Vocabulary(BPE_FILE)
+    encoded = word_table.encode(documents(spark, sf_dir), "text", vocabulary,
+                                public_tokenizers.PATTERN)
+    digests = encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+        .alias("ids_sha256"), "ids")
+    decoded = word_table.decode(digests, "ids", word_table.piece_table(spark, vocabulary))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256",
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_token_counts": op1_edit_token_counts,
     "op2_repeated_windows": op2_repeated_windows,
@@ -105,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_crf": op8_language_crf,
     "op9_one_bit_codes": op9_one_bit_codes,
     "op10_url_templates": op10_url_templates,
+    "op13_word_table": op13_word_table,
 }
 SQL: dict[str, str] = {
     "op6_benchmark_containment": benchmark_containment.oracle(),
