@@ -13,6 +13,7 @@ import json
 import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import regex
 
@@ -34,9 +35,8 @@ class Vocabulary:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as text:
-            read = json.load(text)
-        byte = byte_alphabet()
-        self.path = path
+            self.text = text.read()
+        read, byte = json.loads(self.text), byte_alphabet()
         self.added = {t["content"]: t["id"] for t in read["added_tokens"]}
         self.ranks = {bytes(byte[c] for c in piece): at
                       for piece, at in read["model"]["vocab"].items() if piece not in self.added}
@@ -48,7 +48,7 @@ class Vocabulary:
             at: content.encode() for content, at in self.added.items()}
 
 
-def disputed(path: str, pattern: str) -> str:
+def disputed(vocabulary: Vocabulary, pattern: str) -> str:
     """Characters that the pattern's classes and the library's may see differently.
 
     Only characters newer than Python's own table are asked about, in one call.
@@ -57,7 +57,7 @@ def disputed(path: str, pattern: str) -> str:
     known = regex.compile(r"[\p{L}\p{N}]").match
     new = [c for c in map(chr, range(sys.maxunicode + 1))
            if unicodedata.category(c) == "Cn" and known(c)]
-    cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    cut = Tokenizer.from_str(vocabulary.text).pre_tokenizer.pre_tokenize_str
     find = regex.compile(pattern).findall
     out = []
     for begin in range(0, len(new), 4096):
@@ -88,9 +88,8 @@ def ranges(characters: str) -> str:
 class Cutter:
     """Cuts texts into pre-tokens as the library does; made once in a task."""
 
-    def __init__(self, path: str, pattern: str, strange: str, added: tuple[str, ...] = ()):
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    def __init__(self, text: str, pattern: str, strange: str, added: tuple[str, ...] = ()):
+        self.text = text
         compiled = regex.compile(pattern)
         self.findall, self.finditer = compiled.findall, compiled.finditer
         self.strange = regex.compile(ranges(strange)).search if strange else None
@@ -98,6 +97,11 @@ class Cutter:
             "(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")"
         ) if added else None
 
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_str(self.text).pre_tokenizer.pre_tokenize_str
+
     def parts(self, text: str) -> Iterator[list[str]]:
         """The words of one text in order, in lists of bounded length."""
         pieces = self.added.split(text) if self.added else [text]

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from contraluz.llm import (benchmark_containment, byte_bpe, byte_level, language_crf,
                            near_duplicates, one_bit_codes, repeated_windows, surrogates,
-                           token_counts, toxicity_grammar, url_templates, word_table)
+                           token_alignment, token_counts, toxicity_grammar, url_templates,
+                           word_table)
 from contraluz.llm.common import documents, held_out, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -95,6 +97,19 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(PIECE_FILE, "rb") as model:
+        aligned = token_alignment.align(
+            documents(spark, sf_dir), "text", byte_level.Vocabulary(BPE_FILE),
+            public_tokenizers.PATTERN, model.read())
+    digests = aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", F.size("links").cast("long").alias("n_links"),
+        F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("")
+        .alias("groups_sha256"), "links")
+    return token_alignment.link_counts(digests, "links").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_level.Vocabulary(BPE_FILE)
     encoded = word_table.encode(documents(spark, sf_dir), "text", vocabulary,
@@ -119,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_crf": op8_language_crf,
     "op9_one_bit_codes": op9_one_bit_codes,
     "op10_url_templates": op10_url_templates,
+    "op11_token_alignment": op11_token_alignment,
     "op13_word_table": op13_word_table,
 }
 SQL: dict[str, str] = {

@@ -107,13 +107,13 @@ def encode(df: DataFrame, text: str, vocabulary: Vocabulary, pattern: str, out:
     """
     kept = positions.others(df, text, out)
     added = tuple(vocabulary.added) if special else ()
-    path, strange = vocabulary.path, disputed(vocabulary.path, pattern)
-    context = df.sparkSession.sparkContext
+    strange, context = disputed(vocabulary, pattern), df.sparkSession.sparkContext
+    spelled = context.broadcast(vocabulary.text)
     plain = context.broadcast(byte_bpe.Codec(vocabulary.ranks, pattern).plain)
     whole = {content.encode(): at for content, at in vocabulary.added.items()} if special else {}
 
     def cutter():
-        parts = Cutter(path, pattern, strange, added).parts
+        parts = Cutter(spelled.value, pattern, strange, added).parts
 
         def work(column: pa.Array):
             chunks, sizes, size = [pa.array([], pa.string())], [], 0
