@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from contraluz.llm import (benchmark_containment, byte_bpe, byte_level, language_crf,
                            near_duplicates, one_bit_codes, repeated_windows, surrogates,
                            token_alignment, token_counts, toxicity_grammar, url_templates,
-                           word_table)
+                           whitening, word_table)
 from contraluz.llm.common import documents, held_out, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -110,6 +110,19 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, "embedding", 4)
+    rows = whitening.whiten(vectors, "embedding", model).select(
+        "vec_id", F.lit(model.n).cast("long").alias("n"), "deviation",
+        F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.array(*(F.lit(float(e)) for e in model.explained)).cast("array<double>")
+    return rows.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"))
+
+
 def op13_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_level.Vocabulary(BPE_FILE)
     encoded = word_table.encode(documents(spark, sf_dir), "text", vocabulary,
@@ -135,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_one_bit_codes": op9_one_bit_codes,
     "op10_url_templates": op10_url_templates,
     "op11_token_alignment": op11_token_alignment,
+    "op12_whitening": op12_whitening,
     "op13_word_table": op13_word_table,
 }
 SQL: dict[str, str] = {
