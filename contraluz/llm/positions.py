@@ -124,7 +124,8 @@ def in_blocks(df: DataFrame, column: str, kept: list[str], item: pa.DataType,
 
     `__size` is the number of items of a row, or -1 - n for a dictionary of n.
     """
-    schema = StructType([df.schema[c] for c in kept] + OWN)
+    # a dictionary's row is null in the rows' columns
+    schema = StructType([StructField(c, df.schema[c].dataType) for c in kept] + OWN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work, count = start(), 0
