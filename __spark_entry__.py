@@ -21,8 +21,9 @@ from contraluz.session import checkpoint_folder, stored
 from contraluz.sources import contracts as contract_source
 from contraluz.sources import driver_tables as D
 from contraluz.sources import gazette, states
+from contraluz.sources import other, procedures
 from contraluz.sources.other import last_retrievals
-from contraluz.streaming import rules, seen
+from contraluz.streaming import monitor, rules, seen
 
 try:  # the training-data operators can be left out
     import corpus_pipeline
@@ -41,6 +42,8 @@ DIRECT = {"min_pct": 0.4}
 THRESHOLDS = {"young": YOUNG, "rotation": ROTATION, "rings": RINGS,
               "splits": SPLITS, "direct": DIRECT, "over_cap": {}}
 TODAY = dt.date(2002, 1, 1)
+#: an age limit that the events' month shows
+SEEN_DAYS = oracle.SEEN_DAYS
 
 
 def _hits(spark: SparkSession, sf: str) -> DataFrame:
@@ -347,8 +350,11 @@ def _alert_table(spark: SparkSession, sf: str) -> DataFrame:
         "url", "change", "orden_gobierno", "estado_comprador")
 
 
-def _seen_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The stateful monitor run over the event table until it is drained."""
+SEEN_COLUMNS = ("uuid", "estatus", "ts", "event_id", "previous", "change", "first_seen")
+
+
+def _seen_stream(spark: SparkSession, sf: str, **limits: float) -> DataFrame:
+    """The stateful diff run over the event table until it is drained."""
     for key, value in seen.STATE_STORE.items():
         spark.conf.set(key, value)
     home = f"{checkpoint_folder(spark)}/seen-{uuid.uuid4().hex}"
@@ -357,14 +363,49 @@ def _seen_stream(spark: SparkSession, sf: str) -> DataFrame:
               .option("pathGlobFilter", "events.parquet").parquet(sf))
     feed = events.select(F.col("user_id").cast("string").alias("uuid"),
                          F.col("event_type").alias("estatus"), "ts", "event_id")
-    query = (seen.stream_changes(feed).writeStream.format("parquet")
+    query = (seen.stream_changes(feed, **limits).writeStream.format("parquet")
              .option("path", f"{home}/changes")
              .option("checkpointLocation", f"{home}/checkpoint")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.parquet(f"{home}/changes").select(
-        "uuid", "estatus", F.col("ts").cast("timestamp_ntz").alias("ts"),
-        "event_id", "previous", "change")
+    return spark.read.parquet(f"{home}/changes").withColumns({
+        c: F.col(c).cast("timestamp_ntz") for c in ("ts", "first_seen")}).select(*SEEN_COLUMNS)
+
+
+def _monitor_run(spark: SparkSession, sf: str) -> str:
+    """Two polls of the monitor over landed pages; the folder it wrote.
+
+    The second poll lands every procedure again, some with another status.
+    """
+    home = f"{checkpoint_folder(spark)}/monitor-{uuid.uuid4().hex}"
+    rows = D.procedures(spark, sf)
+    repealed = F.conv(F.substring("uuid", 1, 1), 16, 10).cast("int") < 4
+    polls = (rows, rows.withColumn("estatus", F.when(
+        repealed, "CANCELADO").otherwise(F.col("estatus"))))
+    for poll in polls:
+        procedures.as_pages(poll).write.mode("append").text(f"{home}/pages")
+        monitor.start_monitor(
+            spark, f"{home}/pages", home, f"{home}/checkpoint",
+            lambda s: (D.procedure_records(s, sf), D.awards(s, sf)),
+            lambda s: (D.efos(s, sf), D.sfp(s, sf), _recent(s, sf)),
+            threshold=4, interval=None, big_mxn=5e6).awaitTermination()
+    return home
+
+
+def _monitor_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    return other.read_alerts(spark, _monitor_run(spark, sf)).select(
+        "uuid", "nombre", "estatus", "score", F.col("n_flags").alias("razones"),
+        F.col("n_evidence").alias("senaladas"), "url", "change", "orden_gobierno",
+        "estado_comprador")
+
+
+def _alert_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules of the alerts, counted by text; texts of awards name their evidence."""
+    alerts = _alerts(spark, sf)
+    return rules.alert_rules(alerts, _fired(spark, sf, full=True)).groupBy(
+        "code", "weight").agg(F.count("*").alias("reglas"),
+                              F.countDistinct("uuid").alias("procedimientos"),
+                              F.count("evidence.rfc").alias("con_rfc"))
 
 
 def _case_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -413,6 +454,14 @@ def _footprint(spark: SparkSession, sf: str) -> DataFrame:
         **run.findings, "young_state": state_layer.young(run.states, **YOUNG)})
 
 
+def _alert_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The alerts of three polls, the last one with lower scores."""
+    found = _alerts(spark, sf)
+    return found.unionByName(found.where("estatus = 'VIGENTE'").withColumns({
+        "ts": F.lit("2002-01-02"), "score": F.col("score") + 2})).unionByName(
+            found.withColumns({"ts": F.lit("2002-01-03"), "score": F.col("score") - 1}))
+
+
 def _alert_cases(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts of two polls taken into the case table."""
     found = _alerts(spark, sf).select("ts", "uuid", "numero", "nombre",
@@ -515,9 +564,15 @@ def _layer_queries() -> dict[str, Query]:
         "dof_recent": lambda s, d: _recent(s, d).select(
             "nombre_norm", "cod_nota", "fecha_dof", "quien"),
         "dof_bodies": _bodies,
-        "rt_seen_diff": lambda s, d: seen.status_changes(D.feed(s, d)).select(
-            "uuid", "estatus", "ts", "event_id", "previous", "change"),
+        "rt_seen_diff": lambda s, d: seen.status_changes(D.feed(s, d)).select(*SEEN_COLUMNS),
+        "rt_seen_expiry": lambda s, d: seen.status_changes(
+            D.feed(s, d), max_age_days=SEEN_DAYS).select(*SEEN_COLUMNS),
         "rt_stream": _seen_stream,
+        "rt_stream_expiry": lambda s, d: _seen_stream(s, d, max_age_days=SEEN_DAYS),
+        "rt_monitor": _monitor_alerts,
+        "rt_alert_rules": _alert_rules,
+        "rt_best_alerts": lambda s, d: rules.best_alerts(_alert_log(s, d)).select(
+            "ts", "uuid", "score"),
         "rt_rules": _scores,
         "rt_alerts": _alert_table,
         "lg_cases": _case_table,

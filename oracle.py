@@ -905,8 +905,36 @@ CTES["changes"] = """
     FROM (SELECT CAST(user_id AS VARCHAR) AS uuid, event_type AS estatus, ts, event_id,
         lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous
       FROM events) WHERE previous IS NULL OR previous <> estatus"""
-SQL["rt_seen_diff"] = "SELECT uuid, estatus, ts, event_id, previous, change FROM changes"
-SQL["rt_stream"] = SQL["rt_seen_diff"]
+SEEN_DAYS = 1.5
+
+
+def _seen(days: float) -> str:
+    """Row by row: the status and time of the last row found are carried along."""
+    minutes = round(days * 1440)
+    return f"""
+    WITH RECURSIVE feed AS (
+      SELECT CAST(user_id AS VARCHAR) AS uuid, event_type AS estatus, ts, event_id,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+    walk AS (
+      SELECT uuid, estatus, ts, event_id, n, CAST(NULL AS VARCHAR) AS previous,
+        'new' AS change, ts AS first_seen, estatus AS held, ts AS last, TRUE AS found
+      FROM feed WHERE n = 1
+      UNION ALL
+      SELECT f.uuid, f.estatus, f.ts, f.event_id, f.n,
+        CASE WHEN NOT old THEN held END,
+        CASE WHEN old THEN 'new' ELSE 'status_change' END,
+        CASE WHEN old THEN f.ts ELSE first_seen END,
+        CASE WHEN old OR f.estatus <> held THEN f.estatus ELSE held END,
+        CASE WHEN old OR f.estatus <> held THEN f.ts ELSE last END,
+        old OR f.estatus <> held
+      FROM (SELECT f.*, w.held, w.last, w.first_seen,
+          f.ts > w.last + INTERVAL {minutes} MINUTE AS old
+        FROM walk w JOIN feed f ON f.uuid = w.uuid AND f.n = w.n + 1) f)
+    SELECT uuid, estatus, ts, event_id, previous, change, first_seen FROM walk WHERE found"""
+
+
+SQL["rt_seen_diff"] = SQL["rt_stream"] = _seen(V.SEEN_MAX_AGE_DAYS).strip()
+SQL["rt_seen_expiry"] = SQL["rt_stream_expiry"] = _seen(SEEN_DAYS).strip()
 
 _DIRECTA = "(kind LIKE '%ADJUDICACI%' AND kind LIKE '%DIRECTA%')"
 CTES["award_hits"] = f"""
@@ -969,6 +997,26 @@ SQL["rt_alerts"] = f"""
       {_STATE_OF} AS estado_comprador
     FROM assessed WHERE score >= 4"""
 
+SQL["rt_alert_rules"] = """
+    SELECT code, coalesce(weight, CASE WHEN code IN ('EXCEPCION', 'ANTICIPO') THEN 1 ELSE 2 END)
+        AS weight, count(*) AS reglas, count(DISTINCT uuid) AS procedimientos,
+      count(*) FILTER (WHERE code IN ('EFOS_69B', 'SFP_SANCION')) AS con_rfc
+    FROM fired WHERE uuid IN (SELECT uuid FROM assessed WHERE score >= 4) GROUP BY 1, 2"""
+_STATUS = "CASE WHEN o_orderstatus = 'F' THEN 'ADJUDICADO' ELSE 'VIGENTE' END"
+SQL["rt_monitor"] = f"""
+    SELECT uuid, 'Procedimiento ' || o_orderkey AS nombre,
+      CASE change WHEN 'new' THEN {_STATUS} ELSE 'CANCELADO' END AS estatus, score,
+      CAST(n_flags AS INTEGER) AS razones, listed AS senaladas,
+      replace('{V.PROCEDURE_URL}', '{{}}', uuid) AS url, change,
+      CASE WHEN {_STATE_OF} IS NOT NULL THEN 'GEM' END AS orden_gobierno,
+      {_STATE_OF} AS estado_comprador
+    FROM assessed, (VALUES ('new'), ('status_change')) c(change)
+    WHERE score >= 4 AND (change = 'new' OR uuid < '4')"""
+SQL["rt_best_alerts"] = f"""
+    SELECT CASE WHEN o_orderstatus <> 'F' THEN '2002-01-02' ELSE '2002-01-01' END AS ts, uuid,
+      CASE WHEN o_orderstatus <> 'F' THEN score + 2 ELSE score END AS score
+    FROM assessed WHERE score >= 4"""
+
 # -------------------------------------------------------------------- ledger
 _LINKED = "nullif(regexp_extract(direccion_anuncio, 'detalle/([0-9a-f]{32})', 1), '')"
 _PORTAL = f"coalesce(replace('{V.PROCEDURE_URL}', '{{}}', {_LINKED}), '')"

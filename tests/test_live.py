@@ -2,8 +2,10 @@ import datetime as dt
 import json
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
+from contraluz.sources import other
 from contraluz.sources import procedures as P
 from contraluz.streaming import monitor, rules, seen
 from tests.helpers import D, efos, sfp
@@ -144,19 +146,59 @@ def snapshots(seed, n=400):
             for i in range(n)]
 
 
-def plain_changes(rows):
-    last, out = {}, set()
+def plain_changes(rows, max_age_days=90):
+    """(event, change, first_seen, previous) by a plain loop."""
+    state, out = {}, set()
     for uuid, status, ts, i in sorted(rows, key=lambda r: (r[2], r[3])):
-        if last.get(uuid) != status:
-            out.add((i, "status_change" if uuid in last else "new"))
-        last[uuid] = status
+        known, first, last = state.get(uuid, (None, None, None))
+        if known is not None and ts - last > dt.timedelta(days=max_age_days):
+            known = None
+        if known != status:
+            first = ts if known is None else first
+            out.add((i, "status_change" if known else "new", first, known))
+            state[uuid] = (status, first, ts)
+    return out
+
+
+def as_set(rows):
+    return {(r["event_id"], r["change"], r["first_seen"], r["previous"]) for r in rows}
+
+
+def gaps(seed, n=500):
+    """Snapshots over three years: long runs of a status, gaps, ties of time and a null id."""
+    import random
+    rng = random.Random(seed)
+    start, status, out = T(2023, 1, 1), {}, []
+    for i in range(n):
+        uuid = rng.choice(["hot"] * 4 + ["u1", "u2", "u3", None])
+        if rng.random() < .06 or uuid not in status:
+            status[uuid] = rng.choice("ABC")
+        day = rng.choice([rng.randrange(1000), 3 * rng.randrange(330)])
+        out.append((uuid, status[uuid], start + dt.timedelta(days=day, hours=rng.choice([0, 0, 5])), i))
     return out
 
 
 def test_batch_changes_match_a_plain_loop(spark):
-    rows = snapshots(3)
-    found = seen.status_changes(spark.createDataFrame(rows, FEED))
-    assert {(r["event_id"], r["change"]) for r in found.collect()} == plain_changes(rows)
+    for rows in (snapshots(3), gaps(1)):
+        found = seen.status_changes(spark.createDataFrame(rows, FEED))
+        assert as_set(found.collect()) == plain_changes(rows)
+
+
+@pytest.mark.parametrize("limit,time_slice", [(0.5, "hour"), (7, "day"), (45, "month")])
+def test_entries_past_the_limit_are_new_again(spark, limit, time_slice):
+    rows = [("hot", "A", T(2023, 1, 1) + dt.timedelta(hours=7 * i), i) for i in range(150)] + [
+        (u, "AB"[s == "C"], t, 1000 + i) for u, s, t, i in gaps(2, 200)]
+    found = seen.status_changes(spark.createDataFrame(rows, FEED), time_slice, limit).collect()
+    assert as_set(found) == plain_changes(rows, limit)
+    assert len(found) == len({r["event_id"] for r in found})
+
+
+def test_exactly_at_the_limit_is_not_past_it(spark):
+    rows = [("u", "A", T(2024, 1, 1) + dt.timedelta(days=90 * i), i) for i in range(4)]
+    rows += [("v", "A", T(2024, 1, 1), 10), ("v", "A", T(2024, 3, 31, 0, 0, 1), 11)]
+    found = seen.status_changes(spark.createDataFrame(rows, FEED)).collect()
+    assert sorted((r["uuid"], r["event_id"]) for r in found) == [
+        ("u", 0), ("u", 2), ("v", 10), ("v", 11)]
 
 
 def run_stream(spark, folder, batches, max_age_days=90):
@@ -179,7 +221,23 @@ def run_stream(spark, folder, batches, max_age_days=90):
 def test_stream_matches_batch_over_restarts(spark, tmp_path):
     rows = sorted(snapshots(4, 120), key=lambda r: (r[2], r[3]))
     found = run_stream(spark, tmp_path, [rows[:60], rows[60:]])
-    assert {(r["event_id"], r["change"]) for r in found} == plain_changes(rows)
+    assert as_set(found) == plain_changes(rows)
+
+
+def test_stream_matches_batch_on_a_feed_with_long_gaps(spark, tmp_path):
+    rows = sorted((r for r in gaps(5, 240) if r[0]), key=lambda r: (r[2], r[3]))
+    found = as_set(run_stream(spark, tmp_path, [rows[:100], rows[100:150], rows[150:]]))
+    assert found == plain_changes(rows)
+    assert found == as_set(seen.status_changes(spark.createDataFrame(rows, FEED)).collect())
+    assert sum(change == "new" for _, change, _, _ in found) > 8
+
+
+def test_stream_removes_the_state_of_forgotten_entries(spark, tmp_path):
+    quiet = [(f"q{i}", "A", T(2024, 1, 1 + i), i) for i in range(5)]
+    later = [("busy", "A", T(2024, 8, 1), 10)]
+    run_stream(spark, tmp_path, [quiet, later, [("busy", "B", T(2024, 8, 2), 11)]])
+    kept = spark.read.format("statestore").load(str(tmp_path / "state"))
+    assert {r["key"]["uuid"] for r in kept.collect()} == {"busy"}
 
 
 def test_stream_forgets_after_the_age_limit(spark, tmp_path):
@@ -240,8 +298,8 @@ def test_monitor_end_to_end(spark, tmp_path):
             lambda s: (s.createDataFrame([], RECORD), s.createDataFrame([], AWARD)),
             lambda s: (efos(s), sfp(s), s.createDataFrame([], GAZETTE)),
             interval=None).awaitTermination()
-        return sorted((r["change"], r["score"]) for r in spark.read.parquet(
-            str(tmp_path / "alerts" / "alerts")).collect())
+        return sorted((r["change"], r["score"]) for r in other.read_alerts(
+            spark, str(tmp_path / "alerts")).collect())
 
     land("p1")
     assert poll() == [("new", 2)]
@@ -253,6 +311,43 @@ def test_monitor_end_to_end(spark, tmp_path):
     land("p5", uuid_procedimiento=None, numero_procedimiento="LA-60-2")
     # two changes in one batch do not add up; the row without an id is kept
     assert poll() == [("new", 2), ("new", 2), ("status_change", 2), ("status_change", 2)]
-    fired = spark.read.parquet(str(tmp_path / "alerts" / "rules"))
+    fired = other.read_alert_rules(spark, str(tmp_path / "alerts"))
     assert fired.count() == 4 and {r["code"] for r in fired.collect()} == {"DIRECTA"}
+    log = other.read_alert_log(spark, str(tmp_path / "alerts"))
+    assert log.count() == 4 and {c["code"] for r in log.collect() for c in r["codes"]} == {"DIRECTA"}
+
+
+def test_a_batch_becomes_visible_as_a_whole(spark, tmp_path, monkeypatch):
+    pages, out = tmp_path / "pages", str(tmp_path / "out")
+    pages.mkdir()
+    (pages / "p.json").write_text(json.dumps({"success": True, "data": [{"registros": [
+        {"uuid_procedimiento": "a" * 32, "estatus": "VIGENTE",
+         "tipo_procedimiento": "ADJUDICACIÓN DIRECTA"}]}]}))
+
+    def poll():
+        monitor.start_monitor(
+            spark, str(pages), out, str(tmp_path / "state"),
+            lambda s: (s.createDataFrame([], RECORD), s.createDataFrame([], AWARD)),
+            lambda s: (efos(s), sfp(s), s.createDataFrame([], GAZETTE)),
+            interval=None).awaitTermination()
+
+    def killed(*_):
+        raise OSError("killed between the writes")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(monitor.sinks, "write_alert_log", killed)
+        with pytest.raises(Exception, match="killed"):
+            poll()
+    # headers and rules are written, but nothing shows
+    assert spark.read.parquet(f"{out}/alerts").count() == 1
+    assert other.read_alerts(spark, out).count() == other.read_alert_rules(spark, out).count() == 0
+    poll()
+    assert other.read_alerts(spark, out).count() == other.read_alert_rules(spark, out).count() == 1
+    assert other.read_alert_log(spark, out).count() == 1
+    # a batch that is tried again after its record is there changes nothing
+    before = spark.read.parquet(f"{out}/alerts").inputFiles()
+    for record in (tmp_path / "state" / "commits").glob("*0*"):
+        record.unlink()
+    poll()
+    assert spark.read.parquet(f"{out}/alerts").inputFiles() == before
     assert P.LISTING_SCHEMA
