@@ -1,6 +1,7 @@
 """Personal data replaced by keyed surrogates of the same type and form.
 
-Detected: e-mail addresses (of at most 255 characters before the @), IPv4 and
+Detected: e-mail addresses (of at most 255 characters before the @; of the host the
+first 128 labels at most, more than a name can have), IPv4 and
 IPv6 addresses, IBANs, social security numbers, telephone numbers (international,
 with a leading 0, and of ten digits), card numbers, secrets (long hexadecimal
 strings and tokens with a known prefix), and names behind a title.  An entity's identity is its
@@ -48,7 +49,7 @@ _HEX4 = "[0-9A-Fa-f]{1,4}"
 _TITLE = "|".join(dict.fromkeys(_TITLES + [t.upper() for t in _TITLES]))
 #: type and pattern; where several match at a place the first one holds
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,254}+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,254}+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+){0,126}\.\p{L}{2,}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
     "ipv6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEX4}:){{7}}{_HEX4}|(?:{_HEX4}:){{1,7}}:(?!{_HEX4})"
             rf"|(?:{_HEX4}:){{1,6}}(?::{_HEX4}){{1,6}}|:(?::{_HEX4}){{1,7}})(?![\p{{L}}\p{{N}}:])",

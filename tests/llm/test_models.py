@@ -270,3 +270,17 @@ def test_stages_on_odd_rows(spark):
     assert "a.b@c.org" not in out["private_data"].where("doc_id = 91").first()["text"]
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, frame(spark, [], ddl), TINY).count() == 0
+
+
+def test_hosts_of_any_length_do_no_harm(spark):
+    host = ".".join(f"part{i}" for i in range(100))
+    texts = [f"a@{host}.com x", "a@" + "b." * 3000 + "com", "x " + "a@" + "bb." * 400_000 + "com y",
+             "a@" + "b-" * 50_000, "@" * 100_000, "a." * 100_000 + "@b.org", "a@b.org."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in surrogates.replace(df, "key").collect()}
+    kinds = {i: [e["kind"] for e in found[i]["entities"]] for i in found}
+    assert kinds == {0: ["email"], 1: [], 2: ["email"], 3: [], 4: [], 5: ["email"], 6: ["email"]}
+    # a name has at most 127 labels: what is longer is none, or its first 128 labels are taken
+    assert all(found[i]["text"] == texts[i] for i in (1, 3, 4))
+    assert "a@bb." not in found[2]["text"] and len(found[2]["text"]) == len(texts[2])
+    assert host not in found[0]["text"] and found[6]["text"].endswith(".org.")

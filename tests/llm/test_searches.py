@@ -1,6 +1,7 @@
 """Near-duplicates, containment, nearest neighbours and url templates."""
 
 import re
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -260,3 +261,93 @@ def test_template_tree(spark):
     assert found["s://spam.net/de/2"]["rule"] is None  # judged by its template
     assert found["s://spam.net/de/2"]["verdict"] == "block"
     assert found["s://h.com/en/3"]["verdict"] == "allow"
+
+
+def plain_tree(counted):
+    """The template tree level by level, row by row: {(host, typed): (template, purity)}."""
+    U = url_templates
+    w, z = U.WEIGHT, U.Z
+    labelled, blocked = (sum(r[i] for r in counted) for i in (3, 4))
+    overall, out = (blocked + w * .5) / (labelled + w), {}
+
+    def share(b, n, up):
+        return (b + w * up) / (n + w)
+
+    def grow(rows, level, template, purity):
+        groups = {}
+        for r in rows:
+            if len(r[1]) == level:
+                out[r[0], r[1]] = (template, purity)
+            else:
+                groups.setdefault(r[1][level], []).append(r)
+        sums = {s: [sum(r[i] for r in g) for i in (2, 3, 4)] for s, g in groups.items()}
+        n, lab, blo = (sum(v[i] for v in sums.values()) for i in range(3))
+        named = {}
+        for s, (m, k, b) in sums.items():
+            rare = len(sums) >= U.MANY_CHILDREN and m < U.RARE_SHARE * n
+            own = s.startswith("{") or len(sums) == 1
+            if not own and k >= (U.FEW if rare else 1):
+                p = blo / lab
+                own = abs(b / k - p) > z * (p * (1 - p) * (1 / k - 1 / lab)) ** .5
+            named.setdefault(s if own else "*", []).extend(groups[s])
+        for name, part in named.items():
+            grow(part, level + 1, f"{template}/{name}",
+                 share(sum(r[4] for r in part), sum(r[3] for r in part), purity))
+
+    for host in {r[0] for r in counted}:
+        own = [r for r in counted if r[0] == host]
+        grow(own, 0, "", share(sum(r[4] for r in own), sum(r[3] for r in own), overall))
+    return out
+
+
+def test_template_tree_equals_a_plain_one(spark):
+    import random
+    rng = random.Random(8)
+    counted = {}
+    for _ in range(1500):
+        host = rng.choice(["a.org", "b.com", "b.com"])
+        path = tuple(rng.choice(["x", "y", "{number}", *(f"s{i}" for i in range(30))])
+                     for _ in range(rng.choice([0, 1, 2, 3, 4])))
+        if rng.random() < .2:
+            path = ("long",) * 6 + path + ("tail",) * rng.randrange(3)
+        n = rng.randrange(1, 30)
+        k = rng.choice([0, rng.randrange(n + 1)])
+        b = min(k, rng.randrange(n)) if "x" in path else rng.randrange(k + 1) // 4
+        counted[host, path] = (host, path, n, k, b)
+    counted["a.org", ("deep",) * 1500] = ("a.org", ("deep",) * 1500, 1, 1, 1)
+    counted["a.org", ("deep",) * 2000] = ("a.org", ("deep",) * 2000, 2, 0, 0)
+    rows = list(counted.values())
+    df = spark.createDataFrame([(h, list(p), n, k, b) for h, p, n, k, b in rows],
+                               "host string, typed array<string>, n long, labelled long, blocked long")
+    found = {(r["host"], tuple(r["typed"])): (r["template"], r["purity"])
+             for r in url_templates.template_tree(df).collect()}
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(20_000)
+    expected = plain_tree(rows)
+    sys.setrecursionlimit(limit)
+    assert found.keys() == expected.keys()
+    for key, (template, purity) in expected.items():
+        assert found[key][0] == template and abs(found[key][1] - purity) < 1e-9
+
+
+def test_urls_of_any_form_and_length(spark):
+    urls = [None, "", "no scheme", "://", "a://b://c/d", "s://H.ORG", "s://é😀/p?q", "S://h/p#f?g",
+            "é😀" * 300_000, "é😀" * 8000 + "://Host.com" + "/é😀" * 2000, "x://" + "a.b" * 200_000 + "/p"]
+    df = frame(spark, list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["host"], r["path"]) for r in df.select(
+        "page_id", url_templates.host_of(F.col("url")).alias("host"),
+        url_templates.path_of(F.col("url")).alias("path")).collect()}
+    for i, url in enumerate(urls):
+        head, found, rest = (url or "").partition("://")
+        host = re.match(r"[^/?#]*", rest).group()
+        path = re.match(r"[^?#]*", rest[len(host):]).group()
+        assert got[i] == ("".join(c.lower() if "A" <= c <= "Z" else c for c in host), path)
+    assert url_templates.judge(df, [("allow", "org", "/")]).count() == len(urls)
+
+
+def test_templates_run_no_python(spark):
+    df = frame(spark, [(1, "s://h.com/a/1"), (2, "s://h.com/b/2")], "page_id long, url string")
+    rows = url_templates.judge(df, [("block", "h.com", "/a")])
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in plan for n in ("Python", "Pandas", "InArrow"))
