@@ -74,17 +74,6 @@ def disputed(vocabulary: Vocabulary, pattern: str) -> str:
     return "".join(dict.fromkeys(out))
 
 
-def ranges(characters: str) -> str:
-    """A class of the characters, as ranges of code points."""
-    runs: list[list[int]] = []
-    for c in sorted(map(ord, characters)):
-        if runs and runs[-1][1] == c - 1:
-            runs[-1][1] = c
-        else:
-            runs.append([c, c])
-    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]"
-
-
 class Cutter:
     """Cuts texts into pre-tokens as the library does; made once in a task."""
 
@@ -92,7 +81,9 @@ class Cutter:
         self.text = text
         compiled = regex.compile(pattern)
         self.findall, self.finditer = compiled.findall, compiled.finditer
-        self.strange = regex.compile(ranges(strange)).search if strange else None
+        self.known = frozenset(strange).isdisjoint
+        # most texts have no character as late in the table as the first in dispute
+        self.late = regex.compile(f"[^\\x00-\\U{ord(min(strange)) - 1:08x}]").search if strange else None
         self.added = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")"
         ) if added else None
@@ -108,7 +99,7 @@ class Cutter:
         for i, piece in enumerate(pieces):
             if i % 2:
                 yield [piece]
-            elif self.strange and self.strange(piece):
+            elif self.late and self.late(piece) and not self.known(piece):
                 yield [piece[a:b] for _, (a, b) in self.library(piece)]
             elif len(piece) <= LONG:
                 yield self.findall(piece)

@@ -36,21 +36,52 @@ OWN = [StructField("__block", LongType()), StructField("__mark", LongType()),
 Itemize = Callable[[pa.Array], tuple[pa.Array, int, np.ndarray]]
 
 
+def varint(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers, seven bits to a byte with the lowest first: bytes, and their ends."""
+    size = np.ones(len(values), np.int64)
+    rest = values >> 7
+    while (rest > 0).any():
+        size += rest > 0
+        rest >>= 7
+    ends = np.cumsum(size)
+    raw = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    at, rest, left = ends - size, values, size
+    while len(rest):
+        more = left > 1
+        raw[at] = (rest & 127) | np.where(more, 128, 0)
+        at, rest, left = at[more] + 1, rest[more] >> 7, left[more] - 1
+    return raw, ends
+
+
+def unvarint(raw: np.ndarray) -> np.ndarray:
+    ends = np.flatnonzero(raw < 128)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    out = (raw[starts] & 127).astype(np.int64)
+    width, shift = ends - starts, 0
+    more = np.flatnonzero(width > 0)
+    while len(more):
+        shift += 1
+        out[more] |= (raw[starts[more] + shift].astype(np.int64) & 127) << (7 * shift)
+        more = more[width[more] > shift]
+    return out
+
+
+def packed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(6, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(cell: bytes) -> bytes:
+    return pa.decompress(cell[6:], int.from_bytes(cell[:6], "little"), codec="zstd", asbytes=True)
+
+
 def squeeze(values: np.ndarray) -> bytes:
-    """Whole numbers in the narrowest form, compressed."""
-    top = int(values.max()) if len(values) else 0
-    kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else (
-        np.uint32 if top < 1 << 32 else np.uint64)
-    raw = values.astype(kind).tobytes()
-    packed = pa.compress(raw, codec="zstd", asbytes=True)
-    head = np.array([kind().itemsize, len(raw)], np.int64).tobytes()
-    return head + packed
+    """Whole numbers as one compressed cell."""
+    return packed(varint(values)[0].tobytes())
 
 
-def unsqueeze(cell: bytes) -> np.ndarray:
-    width, size = np.frombuffer(cell[:16], np.int64)
-    raw = pa.decompress(cell[16:], int(size), codec="zstd", asbytes=True)
-    return np.frombuffer(raw, f"u{width}").astype(np.int64)
+def unsqueeze(cells: list[bytes]) -> np.ndarray:
+    """The numbers of the cells, one cell's after another's."""
+    return unvarint(np.frombuffer(b"".join(map(unpacked, cells)), np.uint8))
 
 
 def squeeze_items(items: pa.Array) -> bytes:
@@ -87,17 +118,16 @@ class Block:
         self.rows.append((kept, codes, sizes))
         self.bytes += size
 
-    def close(self, block: int, item: pa.DataType, order) -> Iterator[pa.RecordBatch]:
-        """The dictionary in the given order with the times of each item, then the rows."""
+    def close(self, block: int, item: pa.DataType) -> Iterator[pa.RecordBatch]:
+        """The dictionary with the times of each item, the most frequent first, then the rows."""
         items, n = list(self.index), len(self.index)
         times = np.zeros(n, np.int64)
         for _, codes, _ in self.rows:
             times += np.bincount(codes, minlength=n)
-        rank = np.arange(n)
-        if order is not None and n:
-            by = np.argsort(order(items), kind="stable")
-            items, times = [items[i] for i in by], times[by]
-            rank[by] = np.arange(n)
+        by = np.argsort(-times, kind="stable")
+        items, times = [items[i] for i in by], times[by]
+        rank = np.empty(n, np.int64)
+        rank[by] = np.arange(n)
         cell = squeeze_items(pa.array(items, item))
         mark = zlib.crc32(cell)
         first = self.rows[0][0]
@@ -107,9 +137,11 @@ class Block:
              pa.array([cell + squeeze(times) + len(cell).to_bytes(8, "little")])],
             names=[*first.schema.names, *(f.name for f in OWN)])
         for kept, codes, sizes in self.rows:
+            raw, reach = varint(rank[codes])
+            raw, reach = raw.tobytes(), np.concatenate([[0], reach])
             ends = np.cumsum(sizes)
-            cells = [squeeze(rank[codes[e - s:e]]) if s else None
-                     for e, s in zip(ends.tolist(), sizes.tolist())]
+            bounds = zip(reach[ends - sizes].tolist(), reach[ends].tolist())
+            cells = [packed(raw[a:b]) if b > a else None for a, b in bounds]
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(np.full(len(sizes), block)),
                  pa.array(np.full(len(sizes), mark)), pa.array(sizes, pa.int32()),
@@ -118,8 +150,7 @@ class Block:
 
 
 def in_blocks(df: DataFrame, column: str, kept: list[str], item: pa.DataType,
-              start: Callable[[], Itemize], order: Callable | None = None,
-              block_bytes: int = BLOCK) -> DataFrame:
+              start: Callable[[], Itemize], block_bytes: int = BLOCK) -> DataFrame:
     """Rows with numbered items and the dictionaries of their blocks, by block.
 
     `__size` is the number of items of a row, or -1 - n for a dictionary of n.
@@ -136,16 +167,22 @@ def in_blocks(df: DataFrame, column: str, kept: list[str], item: pa.DataType,
                 rows = pa.RecordBatch.from_arrays(piece.columns[:-1], names=kept)
                 block.add(rows, *work(piece.columns[-1]))
                 if block.bytes >= block_bytes:
-                    yield from block.close(part + count, item, order)
+                    yield from block.close(part + count, item)
                     block, count = Block(), count + 1
         if block.rows:
-            yield from block.close(part + count, item, order)
+            yield from block.close(part + count, item)
 
     chosen = [F.col(f"`{c}`") for c in kept]
     return (df.select(*chosen, F.col(f"`{column}`").alias("__source"))
             .mapInArrow(run, schema).repartition("__block"))
 
 
+def dictionary(cell: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The items of a block in the order of their numbers, and their times."""
+    cut = int.from_bytes(cell[-8:], "little")
+    return unsqueeze_items(cell[:cut]), unsqueeze([cell[cut:-8]])
+
+
 def dictionaries(blocks: DataFrame, added: str,
                  spell: Callable[[int, int, pa.Array, np.ndarray], Iterator[pa.RecordBatch]],
                  ) -> DataFrame:
@@ -158,23 +195,21 @@ def dictionaries(blocks: DataFrame, added: str,
             at = {n: batch.schema.get_field_index(n) for n in (f.name for f in OWN)}
             sizes = batch.column(at["__size"])
             for i in np.flatnonzero(pc.less(sizes, 0).to_numpy(zero_copy_only=False)):
-                cell = batch.column(at["__codes"])[i].as_py()
-                cut = int.from_bytes(cell[-8:], "little")
                 yield from spell(batch.column(at["__block"])[i].as_py(),
                                  batch.column(at["__mark"])[i].as_py(),
-                                 unsqueeze_items(cell[:cut]), unsqueeze(cell[cut:-8]))
+                                 *dictionary(batch.column(at["__codes"])[i].as_py()))
 
     return blocks.mapInArrow(run, f"__block long, __mark long, {added}")
 
 
 def by_position(blocks: DataFrame, found: DataFrame, kept: list[str], added: str,
-                assemble: Callable[[pa.Table, int], Callable[[np.ndarray, np.ndarray],
-                                                           list[pa.Array]]]) -> DataFrame:
+                assemble: Callable[[pa.Table, pa.Array], Callable[[np.ndarray, np.ndarray],
+                                                                list[pa.Array]]]) -> DataFrame:
     """The rows of `in_blocks` with columns computed from their items' values.
 
-    `found` has (block, mark) and whatever `assemble` reads; `assemble` gets the
-    rows of a block and the number of its items, and gives a function from the
-    items' numbers of consecutive rows and the rows' sizes to the added columns.
+    `found` has (block, mark) and whatever `assemble` reads; `assemble` gets its
+    rows of a block and the block's items, and gives a function from the items'
+    numbers of consecutive rows and the rows' sizes to the added columns.
     """
     fields = StructType.fromDDL(added).fields
     schema = StructType([blocks.schema[c] for c in kept] + fields)
@@ -187,7 +222,8 @@ def by_position(blocks: DataFrame, found: DataFrame, kept: list[str], added: str
                                             t.column("__mark").chunks]))
         if len(held) != 1 or len(marks) != 1:
             raise RuntimeError("the input gave other blocks when it was read again")
-        look = assemble(values, int(-1 - sizes[held[0]]))
+        items, _ = dictionary(rows.column("__codes")[held[0]].as_py())
+        look = assemble(values, items)
         rows = rows.filter(pc.greater_equal(rows.column("__size"), 0))
         out = []
         for batch in rows.to_batches(max_chunksize=4096):
@@ -198,8 +234,7 @@ def by_position(blocks: DataFrame, found: DataFrame, kept: list[str], added: str
             while begin < len(counts):
                 before = ends[begin - 1] if begin else 0
                 end = max(begin + 1, int(np.searchsorted(ends, before + (1 << 20), "right")))
-                codes = [unsqueeze(c.as_py()) for c in cells[begin:end] if c.is_valid]
-                flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+                flat = unsqueeze([c.as_py() for c in cells[begin:end] if c.is_valid])
                 part = batch.slice(begin, end - begin)
                 own = [part.column(part.schema.get_field_index(c)) for c in kept]
                 out.append(pa.RecordBatch.from_arrays(

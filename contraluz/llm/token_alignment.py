@@ -199,8 +199,8 @@ def link_counts(df: DataFrame, links: str, block_bytes: int = positions.BLOCK) -
     return positions.by_position(blocks, found, kept, "n_best long, count_sum long", total_counts)
 
 
-def total_counts(values: pa.Table, items: int):
-    code = values.column("code").to_numpy()
+def total_counts(values: pa.Table, pairs: pa.Array):
+    code, items = values.column("code").to_numpy(), len(pairs)
     if len(code) != items:
         raise RuntimeError("the input gave other blocks when it was read again")
     count, best = np.zeros(items, np.int64), np.zeros(items, np.int64)

@@ -32,6 +32,13 @@ def bucket_of(words: list[str]) -> np.ndarray:
     return np.fromiter((zlib.crc32(w.encode()) % BUCKETS for w in words), np.int64, len(words))
 
 
+def bucket_order(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a block's words in the order of their buckets, and those buckets."""
+    buckets = bucket_of(words.to_pylist())
+    by = np.argsort(buckets, kind="stable")
+    return by, buckets[by]
+
+
 def small(values: np.ndarray) -> bytes:
     """Whole numbers in one, two or four bytes each, behind a byte that says which."""
     top = values.max() if len(values) else 0
@@ -45,9 +52,8 @@ def large(cell: bytes) -> np.ndarray:
 
 def spell(block: int, mark: int, words: pa.Array, times: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row for each bucket of a block's words: where they begin, lengths and bytes."""
-    listed = words.to_pylist()
-    buckets = bucket_of(listed)
-    raw = [w.encode() for w in listed]
+    by, buckets = bucket_order(words)
+    raw = [w.encode() for w in words.take(pa.array(by)).to_pylist()]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     starts = np.flatnonzero(np.diff(buckets, prepend=-1))
     ends = np.append(starts[1:], len(raw))
@@ -141,7 +147,7 @@ def encode(df: DataFrame, text: str, vocabulary: Vocabulary, pattern: str, out:
             return [np.array([whole[w]], np.int32) if w in whole else next(rest) for w in words]
         return work
 
-    blocks = positions.in_blocks(df, text, kept, pa.string(), cutter, bucket_of, block_bytes)
+    blocks = positions.in_blocks(df, text, kept, pa.string(), cutter, block_bytes)
     uses = (positions.dictionaries(blocks, "bucket int, first int, sizes binary, words binary",
                                    spell)
             .repartition("bucket").sortWithinPartitions("bucket"))
@@ -149,16 +155,19 @@ def encode(df: DataFrame, text: str, vocabulary: Vocabulary, pattern: str, out:
                                  f"`{out}` array<int>", pick_ids)
 
 
-def pick_ids(values: pa.Table, items: int):
+def pick_ids(values: pa.Table, words: pa.Array):
     """Ids of a block's words, to be picked by the words' numbers."""
     firsts = values.column("first").to_pylist()
     order = sorted(range(len(firsts)), key=firsts.__getitem__)
     cells = [values.column(c).to_pylist() for c in ("counts", "ids")]
     counts = np.concatenate([large(cells[0][i]) for i in order] or [np.zeros(0)]).astype(np.int64)
     flat = np.concatenate([large(cells[1][i]) for i in order] or [np.zeros(0)]).astype(np.int32)
-    if len(counts) != items:
+    if len(counts) != len(words):
         raise RuntimeError("the input gave other blocks when it was read again")
-    starts = np.cumsum(counts) - counts
+    place = np.empty(len(words), np.int64)
+    place[bucket_order(words)[0]] = np.arange(len(words))
+    starts = (np.cumsum(counts) - counts)[place]
+    counts = counts[place]
 
     def look(codes: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
         wide = counts[codes]
