@@ -532,12 +532,12 @@ def _pending(spark: SparkSession, sf: str) -> DataFrame:
             F.count_if(F.col("o_orderstatus") == "P").alias("fallidos")))
 
 
-def _folios(spark: SparkSession, sf: str) -> DataFrame:
+def _covered(spark: SparkSession, sf: str) -> DataFrame:
     """Filed drafts by name for one institution, by key alone for another."""
     during = stored(debarment.during(_barred(spark, sf)))
-    named = reports.case_names(during)
-    nota = F.concat(F.lit("SIDEC folio "),
-                    F.abs(F.hash("nombre_caso")).cast("string"), F.lit("/2001"))
+    named = stored(reports.case_names(during))
+    number = F.conv(F.substring(F.md5("nombre_caso"), 1, 7), 16, 10)
+    nota = F.concat(F.lit("SIDEC folio "), number, F.lit("/2001"))
     exact = named.where("institucion = 'NATION_1'").select(
         F.col("nombre_caso").alias("numero"), F.col("proveedor").alias("nombre"),
         F.lit("denunciado").alias("estado"), nota.alias("nota"))
@@ -545,8 +545,7 @@ def _folios(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("alerta").alias("numero"),
         F.concat_ws("", F.lit("Caso ("), "rfc", F.lit(")")).alias("nombre"),
         F.lit("denunciado").alias("estado"), nota.alias("nota"))
-    return reports.complaints_by_company(reports.complaints_with_folios(
-        during, exact.unionByName(by_key)))
+    return reports.complaints_with_folios(during, exact.unionByName(by_key))
 
 
 def _layer_queries() -> dict[str, Query]:
@@ -609,7 +608,8 @@ def _layer_queries() -> dict[str, Query]:
         "rp_inventory": _inventory,
         "rp_freshness": _freshness,
         "rp_pending": _pending,
-        "rp_folios": _folios,
+        "rp_folios": lambda s, d: reports.company_folios(_covered(s, d)),
+        "rp_complaints": lambda s, d: reports.complaints_by_company(_covered(s, d)),
     }
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contraluz.functions import columns as C
 from contraluz.functions import fixed_values as V
+from contraluz.operators.ranks import rank_in_groups
+from contraluz.session import stored
 
 
 # ------------------------------------------------------------------- figures
@@ -214,11 +216,9 @@ def case_names(during: DataFrame) -> DataFrame:
     """Draft name per contract: key and date, numbered where they repeat."""
     base = F.concat_ws("_", F.lit("inhabilitado"), "rfc", "fecha_contrato")
     safe = F.regexp_replace(F.trim(base), "[^A-Za-z0-9._-]+", "_")
-    order = Window.partitionBy("_name").orderBy(
-        F.desc_nulls_last("importe"), "institucion", "direccion_anuncio",
-        "tipo_procedimiento")
-    numbered = during.withColumn("_name", safe).withColumn(
-        "_n", F.row_number().over(order))
+    numbered = rank_in_groups(during.withColumn("_name", safe), ["_name"], [
+        F.desc_nulls_last("importe"), F.col("institucion"), F.col("direccion_anuncio"),
+        F.col("tipo_procedimiento")], "_n")
     return numbered.withColumn("nombre_caso", F.when(
         F.col("_n") > 1, F.concat_ws("-", "_name", F.col("_n").cast("string")))
         .otherwise(F.col("_name"))).drop("_name", "_n")
@@ -231,7 +231,7 @@ def complaints_with_folios(during: DataFrame, filed: DataFrame) -> DataFrame:
     takes the next uncovered contract of that key; then a folio covers its
     whole (key, institution) group, as complaints are filed per group.
     """
-    named = case_names(during)
+    named = stored(case_names(during))
     files = (filed.where("estado = 'denunciado'")
              .withColumn("folio", C.complaint_folio("nota"))
              .where(F.col("folio").isNotNull()))
@@ -241,18 +241,13 @@ def complaints_with_folios(during: DataFrame, filed: DataFrame) -> DataFrame:
     known = named.select(F.col("nombre_caso").alias("numero"))
     waiting = files.join(known, "numero", "left_anti").withColumn(
         "rfc", C.bracketed_rfc("nombre")).where(F.col("rfc").isNotNull())
-    turn = Window.partitionBy("rfc").orderBy("folio", "numero")
-    queued = waiting.withColumn("_turn", F.row_number().over(turn)).select(
-        "rfc", "_turn", F.col("folio").alias("_next"))
-    free = (first.where(F.col("_folio").isNull())
+    queued = rank_in_groups(waiting.select("rfc", "folio", "numero"), ["rfc"],
+                            [F.col("folio"), F.col("numero")], "_turn").select(
+                                "rfc", "_turn", F.col("folio").alias("_next"))
+    free = (first.where(F.col("_folio").isNull()).select("rfc", "nombre_caso")
             .join(queued.select("rfc").dropDuplicates(), "rfc", "left_semi"))
-    # complaints are filed by hand: their longest queue bounds the rows ranked
-    longest = queued.agg(F.max("_turn")).first()[0] or 0
-    place = Window.partitionBy("rfc").orderBy("nombre_caso")
-    taken = (free.select("rfc", "nombre_caso")
-             .withColumn("_turn", F.row_number().over(place))
-             .where(F.col("_turn") <= longest)
-             .join(queued, ["rfc", "_turn"]).select("nombre_caso", "_next"))
+    taken = rank_in_groups(free, ["rfc"], [F.col("nombre_caso")], "_turn").join(
+        queued, ["rfc", "_turn"]).select("nombre_caso", "_next")
     second = first.join(taken, "nombre_caso", "left").withColumn(
         "_own", F.coalesce("_folio", "_next"))
     groups = second.where(F.col("_own").isNotNull()).groupBy(
@@ -264,17 +259,24 @@ def complaints_with_folios(during: DataFrame, filed: DataFrame) -> DataFrame:
             .drop("_folio", "_next", "_own", "_group"))
 
 
+def _covered_amount() -> Column:
+    return C.money_sum(F.coalesce("importe", F.col("monto_mxn_millones") * 1e6)).cast("double")
+
+
 def complaints_by_company(covered: DataFrame) -> DataFrame:
-    """Companies with filed complaints; folios are few by nature."""
-    amount = F.coalesce("importe", F.col("monto_mxn_millones") * 1e6)
+    """Companies with filed complaints; their folios are rows of `company_folios`."""
     return covered.groupBy("rfc").agg(
         F.min("proveedor").alias("empresa"),
         F.min("inhabilitado_desde").alias("inhabilitada_desde"),
         F.max("hasta").alias("inhabilitada_hasta"),
-        F.count("*").alias("contratos"),
-        C.money_sum(amount).cast("double").alias("importe_mxn"),
-        F.array_join(F.sort_array(F.collect_set("folio")), "; ")
-        .alias("folios"))
+        F.count("*").alias("contratos"), _covered_amount().alias("importe_mxn"),
+        F.countDistinct("folio").alias("folios"))
+
+
+def company_folios(covered: DataFrame) -> DataFrame:
+    """The folios of each company, a row each, with what they cover."""
+    return covered.groupBy("rfc", "folio").agg(
+        F.count("*").alias("contratos"), _covered_amount().alias("importe_mxn"))
 
 
 # ------------------------------------------------------------------ freshness

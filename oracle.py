@@ -700,22 +700,22 @@ SQL["d08_other_buyer"] = f"""
       FROM utility u JOIN sfp s ON {nn('s.nombre')} = clave) WHERE rn = 1"""
 
 
-def _window(t: int, width: float = 0.05) -> str:
-    low, high = t * (1 - width), t * (1 + width)
-    return f"""
-    SELECT institucion, {t} AS umbral,
-      count(*) FILTER (WHERE importe < {t}) AS bajo,
-      count(*) FILTER (WHERE importe > {t}) AS sobre,
-      count(*) FILTER (WHERE importe = {t}) AS exacto
-    FROM contracts WHERE {MXN} AND tipo_procedimiento NOT LIKE '%LICITACI%'
-      AND importe BETWEEN {low!r}::DOUBLE AND {high!r}::DOUBLE GROUP BY 1"""
-
-
-_SCANS = " UNION ALL ".join(_window(t) for t in V.CUT_POINTS)
+_CUTS = ", ".join(f"({t}, {t * 0.95!r}::DOUBLE, {t * 1.05!r}::DOUBLE)" for t in V.CUT_POINTS)
+_NEAREST, _FARTHEST = min(V.CUT_POINTS) * 0.95, max(V.CUT_POINTS) * 1.05
+# a term of the tail further than ten square roots of n from n / 2 is below 1e-80
 SQL["d11_bunching"] = with_core(f"""
-    scans AS ({_SCANS}),
-    bt AS (SELECT *, bajo + sobre AS n FROM scans WHERE bajo + sobre >= 30),
-    bp AS (SELECT *, least(1.0::DOUBLE, list_sum(list_transform(range(bajo, n + 1),
+    amounts AS MATERIALIZED (SELECT institucion, importe FROM contracts
+      WHERE {MXN} AND tipo_procedimiento NOT LIKE '%LICITACI%'
+        AND importe BETWEEN {_NEAREST!r}::DOUBLE AND {_FARTHEST!r}::DOUBLE),
+    scans AS (SELECT institucion, umbral, count(*) FILTER (WHERE importe < umbral) AS bajo,
+        count(*) FILTER (WHERE importe > umbral) AS sobre,
+        count(*) FILTER (WHERE importe = umbral) AS exacto
+      FROM amounts JOIN (VALUES {_CUTS}) c(umbral, low, high)
+        ON importe BETWEEN low AND high GROUP BY 1, 2),
+    bt AS (SELECT *, bajo + sobre AS n, CAST(ceil(10 * sqrt(bajo + sobre)) AS BIGINT) AS far
+      FROM scans WHERE bajo + sobre >= 30),
+    bp AS MATERIALIZED (SELECT *, least(1.0::DOUBLE, list_sum(list_transform(
+        range(greatest(bajo, n // 2 - far), least(n, greatest(bajo, n // 2) + far) + 1),
         lambda i: exp(lgamma(n + 1.0::DOUBLE) - lgamma(i + 1.0::DOUBLE)
           - lgamma(n - i + 1.0::DOUBLE) + n * ln(0.5::DOUBLE))))) AS p FROM bt),
     bcut AS (SELECT max(p) AS c FROM (SELECT p, row_number() OVER (ORDER BY p) AS r,
@@ -1394,3 +1394,39 @@ SQL["rp_pending"] = """
           AND o_orderdate < TIMESTAMP '1998-01-01') AS failed
       FROM orders GROUP BY 1)
     WHERE done IS NULL OR filas > done OR failed > 0"""
+
+
+# ------------------------------------------------------------------- folios
+CTES["cased"] = """
+    SELECT *, CASE WHEN k > 1 THEN base || '-' || k ELSE base END AS caso
+    FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY importe DESC NULLS LAST,
+          institucion NULLS FIRST, direccion_anuncio NULLS FIRST,
+          tipo_procedimiento NULLS FIRST) AS k
+      FROM (SELECT *, regexp_replace(trim(concat_ws('_', 'inhabilitado', rfc, fecha_contrato)),
+          '[^A-Za-z0-9._-]+', '_', 'g') AS base FROM f05))"""
+CTES["named_cases"] = """
+    SELECT *, CAST(CAST('0x' || substr(md5(caso), 1, 7) AS BIGINT) AS VARCHAR) || '-2001'
+      AS sidec FROM cased"""
+CTES["queue"] = """
+    SELECT rfc, sidec, row_number() OVER (PARTITION BY rfc ORDER BY sidec) AS turn
+    FROM named_cases WHERE institucion = 'NATION_7'"""
+CTES["own_folios"] = """
+    SELECT *, coalesce(exact_folio, next_folio) AS own
+    FROM (SELECT c.*, q.sidec AS next_folio
+      FROM (SELECT *, CASE WHEN institucion = 'NATION_1' THEN sidec END AS exact_folio,
+          row_number() OVER (PARTITION BY rfc, institucion = 'NATION_1' ORDER BY caso) AS free
+        FROM named_cases) c
+      LEFT JOIN queue q ON q.rfc = c.rfc AND q.turn = c.free AND exact_folio IS NULL)"""
+CTES["covered_cases"] = """
+    SELECT o.*, coalesce(own, g.folio) AS folio FROM own_folios o
+    LEFT JOIN (SELECT rfc, institucion, arg_max(own, caso) AS folio FROM own_folios
+      WHERE own IS NOT NULL GROUP BY 1, 2) g
+    ON g.rfc = o.rfc AND g.institucion = o.institucion WHERE coalesce(own, g.folio) IS NOT NULL"""
+_COVERED_SUM = f"CAST(sum({dec('coalesce(importe, monto_mxn_millones * 1e6)')}) AS DOUBLE)"
+SQL["rp_folios"] = f"""
+    SELECT rfc, folio, count(*) AS contratos, {_COVERED_SUM} AS importe_mxn
+    FROM covered_cases GROUP BY 1, 2"""
+SQL["rp_complaints"] = f"""
+    SELECT rfc, min(proveedor) AS empresa, min(inhabilitado_desde) AS inhabilitada_desde,
+      max(hasta) AS inhabilitada_hasta, count(*) AS contratos, {_COVERED_SUM} AS importe_mxn,
+      count(DISTINCT folio) AS folios FROM covered_cases GROUP BY 1"""

@@ -223,7 +223,10 @@ def test_folios_reach_their_whole_group(spark):
     found = {(r["nombre_caso"][-4:], r["folio"]) for r in covered.collect()}
     assert found == {("5-01", "1-2026"), ("01-2", "2-2026"), ("5-02", "2-2026")}
     company = reports.complaints_by_company(covered).first()
-    assert (company["contratos"], company["folios"]) == (3, "1-2026; 2-2026")
+    assert (company["contratos"], company["folios"]) == (3, 2)
+    by_folio = reports.company_folios(covered).collect()
+    assert {r["folio"] for r in by_folio} == {"1-2026", "2-2026"}
+    assert sum(r["contratos"] for r in by_folio) == 3
 
 
 def test_figures_and_ranges(spark):

@@ -246,3 +246,21 @@ def test_composite_and_ensemble(spark):
     assert top[0]["senales"].startswith("concentración de adjudicaciones directas; ")
     assert top[0]["en_69b"] and not top[0]["inhabilitado_sfp"]
     assert top[1]["contratos"] is None and top[1]["inhabilitado_sfp"]
+
+
+def test_ranks_in_groups_of_any_size(spark):
+    import random
+
+    from contraluz.operators.ranks import rank_in_groups
+    rng = random.Random(6)
+    rows = [(rng.choice(["hot"] * 8 + ["a", "b", None]), rng.choice([None, *range(90)]), i)
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, v int, i int")
+    for parts in (None, 1, 13):
+        found = rank_in_groups(df, ["k"], [F.desc_nulls_last("v"), F.col("i")], "n", parts)
+        assert found.columns == ["k", "v", "i", "n"]
+        for key in ("hot", "a", "b", None):
+            own = sorted((r for r in rows if r[0] == key),
+                         key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+            got = {r["n"]: r["i"] for r in found.where(F.col("k").eqNullSafe(F.lit(key))).collect()}
+            assert [got[n + 1] for n in range(len(own))] == [r[2] for r in own]
