@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import oracle
 from contraluz.functions import columns as C
+from contraluz.functions import fixed_values as V
 from contraluz.operators import (ages, bunching, collusion, concentration,
                                  debarment, digits, fraud_list, modifications,
                                  other_buyer, state_layer)
@@ -20,8 +21,7 @@ from contraluz.plans import backtest, ledger, reports, signals
 from contraluz.session import checkpoint_folder, stored
 from contraluz.sources import contracts as contract_source
 from contraluz.sources import driver_tables as D
-from contraluz.sources import gazette, states
-from contraluz.sources import other, procedures
+from contraluz.sources import gazette, other, procedures, sanctions, sinks, states
 from contraluz.sources.other import last_retrievals
 from contraluz.streaming import monitor, rules, seen
 
@@ -548,11 +548,78 @@ def _covered(spark: SparkSession, sf: str) -> DataFrame:
     return reports.complaints_with_folios(during, exact.unionByName(by_key))
 
 
+def _home(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/files-{uuid.uuid4().hex}"
+
+
+def _laid_out(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """The named columns in order, NULL where the rows have none."""
+    return rows.select(*(F.col(n) if n in rows.columns else F.lit(None).cast("string").alias(n)
+                         for n in names))
+
+
+def _contract_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The federal layout written as quoted Latin text with line breaks, and read back."""
+    title = F.concat(F.lit('OBRA "Ñ", '), F.trim("rfc"), F.lit("\nfase\n1"))
+    raw = D.raw_contracts(spark, sf).withColumn("titulo_contrato", title)
+    path = sinks.write_quoted(_laid_out(raw, V.CONTRACT_COLUMNS), _home(spark), "ISO-8859-1")
+    rows = contract_source.read_contracts(spark, path)
+    return rows.groupBy("tipo_monto", "moneda_efectiva", "estado_comprador").agg(
+        F.count("*").alias("contratos"), F.count("fecha_efectiva").alias("con_fecha"),
+        F.countDistinct("rfc_norm").alias("empresas"), F.min("fecha_efectiva").alias("desde"),
+        F.max("fecha_constitucion_rfc").alias("joven"),
+        C.money_sum("importe").cast("double").alias("importe"),
+        F.countDistinct("titulo_contrato").alias("titulos"),
+        F.sum(F.length("titulo_contrato")).alias("largo"),
+        F.min(F.substring("titulo_contrato", 1, 10)).alias("titulo"))
+
+
+def _fraud_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The fraud list in its layout, behind preamble rows, read back."""
+    listed = D.efos(spark, sf).select(
+        F.lower("rfc_norm").alias("rfc"), "nombre", "situacion",
+        F.date_format("fecha_definitivo", "d/M/yyyy").alias("pub_dof_definitivos"),
+        F.date_format("fecha_presunto", "dd/MM/yyyy").alias("pub_sat_presuntos"))
+    preamble = spark.range(2).select(F.lit("Información").alias("rfc"))
+    rows = _laid_out(listed, V.EFOS_COLUMNS).unionByName(_laid_out(preamble, V.EFOS_COLUMNS))
+    return sanctions.read_efos(spark, sinks.write_quoted(rows, _home(spark), "ISO-8859-1"))
+
+
+def _state_files(spark: SparkSession, sf: str) -> DataFrame:
+    """State reports under two header variants, some rows too long, read back."""
+    home, reports_ = _home(spark), D.state_reports(spark, sf)
+    text = {"estado": "estado_comprador", "razon_social": "proveedor", "rfc": "rfc_norm",
+            "monto_con_imp": "importe", "objeto": "objeto"}
+    exact = reports_.withColumn("importe", F.col("importe").cast("decimal(18,2)"))
+    raw = exact.select(*(F.col(text.get(n, n)).cast("string").alias(n) for n in (
+        "estado", "id_entidad", "id_sujeto", "sujeto_obligado", "ejercicio",
+        "tipo_procedimiento", "expediente", "num_contrato", "razon_social", "rfc",
+        "monto_con_imp", "moneda", "objeto")), *(F.date_format(source, "dd/MM/yyyy").alias(n)
+            for n, source in (("fecha_contrato", "fecha_efectiva"),
+                              ("fecha_actualizacion", "fecha_actualizacion"))))
+    late = F.col("id_entidad").cast("int") % 2 == 0
+    for name, part, order in (("a", raw.where(late), raw.columns),
+                              ("b", raw.where(~late), raw.columns[::-1])):
+        titled = part.select(*(F.col(n).alias(f"{V.STATE_FIELDS[n].capitalize()} (nota)")
+                               for n in order))
+        sinks.write_quoted(titled, f"{home}/{name}")
+    rows = states.typed_states(states.read_state_files(
+        spark, [f"{home}/a", f"{home}/b"]), TODAY, min_year=1990)
+    return rows.groupBy("estado_comprador", "ejercicio", "tipo_monto").agg(
+        F.count("*").alias("contratos"), F.count("fecha_efectiva").alias("con_fecha"),
+        F.count_if("rfc_valido").alias("validos"), F.countDistinct("proveedor").alias("empresas"),
+        F.max("fecha_actualizacion").alias("hasta"), F.max("objeto").alias("objeto"),
+        C.money_sum("importe").cast("double").alias("importe"))
+
+
 def _layer_queries() -> dict[str, Query]:
     merged_columns = ("case_id", "estado", "first_seen", "last_seen",
                       "last_changed", "is_new", "changed")
     return {
         "canon_contracts": _canonical,
+        "src_contracts": _contract_files,
+        "src_efos": _fraud_file,
+        "src_states": _state_files,
         "name_norm": _name_keys,
         "rfc_quality":
             lambda s, d: states.key_quality(_raw_keys(s, d), "raw", ["estado"]),

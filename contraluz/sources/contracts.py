@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from contraluz.functions import columns as C
 from contraluz.functions import fixed_values as V
+from contraluz.sources import records
 
 
 def text_schema(names: Sequence[str]) -> T.StructType:
@@ -21,16 +22,21 @@ def read_positional(spark: SparkSession, paths: str | Sequence[str],
                     names: Sequence[str], header: bool,
                     encoding: str = "windows-1252",
                     multi_line: bool = True) -> DataFrame:
-    """All-text scan by position, short rows padded with NULL.
+    """All-text scan by position and the `filename`; short rows are padded with NULL.
 
-    Nothing is inferred, so a scan costs one pass.  Fields may hold line breaks,
-    hence `multi_line`; files without them split across tasks when it is off.
+    Nothing is inferred.  Fields may hold line breaks: records are cut by counting
+    quotes, so one file is read by many tasks.  With `multi_line` off, files without
+    such fields are read in a single pass.  With `header`, a file begins with it.
     """
+    if multi_line:
+        cells = records.parsed(records.read_records(spark, paths, encoding), names)
+        rows = cells.where(F.col("place") > 0) if header else cells
+        return rows.withColumn("filename", records.file_name("file")).drop("file", "place")
     return (spark.read.schema(text_schema(names))
             .option("header", header).option("enforceSchema", True)
-            .option("mode", "PERMISSIVE").option("multiLine", multi_line)
-            .option("encoding", encoding).option("escape", '"')
-            .csv(paths if isinstance(paths, str) else list(paths)))
+            .option("mode", "PERMISSIVE").option("encoding", encoding).option("escape", '"')
+            .csv(paths if isinstance(paths, str) else list(paths))
+            .select("*", F.col("_metadata.file_name").alias("filename")))
 
 
 def read_contracts(spark: SparkSession, paths: str | Sequence[str],
@@ -38,10 +44,8 @@ def read_contracts(spark: SparkSession, paths: str | Sequence[str],
                    multi_line: bool = True) -> DataFrame:
     if not paths:
         raise ValueError("no contract files given")
-    raw = read_positional(spark, paths, V.CONTRACT_COLUMNS, header=True,
-                          multi_line=multi_line)
-    named = raw.select("*", F.col("_metadata.file_name").alias("filename"))
-    return canonical_contracts(named, today)
+    return canonical_contracts(read_positional(
+        spark, paths, V.CONTRACT_COLUMNS, header=True, multi_line=multi_line), today)
 
 
 def year_of_file(name: Column | str) -> Column:

@@ -8,6 +8,7 @@ import io
 import sys
 from collections import defaultdict
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from contraluz.functions import columns as C
 from contraluz.functions import fixed_values as V
 from contraluz.operators.state_layer import dedupe
+from contraluz.sources import records
 
 _BAD = "_bad_record"
 
@@ -63,19 +65,13 @@ def _scan(spark: SparkSession, paths: Sequence[str],
           headers: Sequence[str]) -> DataFrame:
     """Files that share one header, in a single scan.
 
-    The reader hands over the raw text of records whose width is wrong; only
+    The parser hands over the raw text of records whose width is wrong; only
     those are parsed again, so nothing after the last column is lost.
     """
     cells = [f"c{i}" for i in range(len(headers))]
-    schema = T.StructType([T.StructField(c, T.StringType())
-                           for c in (*cells, _BAD)])
-    rows = (spark.read.schema(schema).option("header", True)
-            .option("enforceSchema", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", _BAD)
-            .option("multiLine", True).option("quote", '"').option("escape", '"')
-            .option("maxCharsPerColumn", -1).csv(list(paths)))
-    fixed = rows.select("*", F.col("_metadata.file_name").alias("_file")) \
-        .withColumn("_fixed", _repair(len(cells))(F.col(_BAD)))
+    rows = records.read_records(spark, paths, "utf-8").where(F.col("place") > 0)
+    fixed = records.parsed(rows, cells, _BAD).withColumns({
+        "_file": records.file_name("file"), "_fixed": _repair(len(cells))(F.col(_BAD))})
     places = resolve_fields(headers)
 
     def field(name: str):
@@ -91,17 +87,24 @@ def _scan(spark: SparkSession, paths: Sequence[str],
         .alias("formato"))
 
 
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header: one job over all files, a header each to the driver."""
+    first = records.read_records(spark, paths, "utf-8").where(F.col("place") == 0)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for row in first.select("file", "record").collect():
+        names = next(csv.reader(io.StringIO(row["record"].lstrip("\ufeff"), newline="")))
+        groups[tuple(names)].append(unquote(row["file"]))
+    return groups
+
+
 def read_state_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Union of all files; one scan per distinct header, not one per file."""
     if not paths:
         raise ValueError("no state files given")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        first = (spark.read.option("multiLine", True).option("escape", '"')
-                 .csv(path).first())
-        if first is not None:
-            groups[tuple(v or "" for v in first)].append(path)
-    scans = [_scan(spark, files, headers) for headers, files in groups.items()]
+    scans = [_scan(spark, sorted(files), headers)
+             for headers, files in sorted(file_headers(spark, paths).items())]
+    if not scans:
+        raise ValueError("no state file has a header")
     union = scans[0]
     for scan in scans[1:]:
         union = union.unionByName(scan, allowMissingColumns=True)

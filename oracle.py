@@ -845,6 +845,25 @@ SQL["canon_contracts"] = f"""
       count(DISTINCT rfc) AS empresas, min(dia) AS desde, max(constituida) AS joven,
       CAST(sum({_AMOUNT}) AS DOUBLE) AS importe
     FROM sales GROUP BY 1, 2, 3, 4"""
+SQL["src_contracts"] = f"""
+    SELECT CASE WHEN l_linenumber % 3 = 0 THEN 'ejercido' ELSE 'techo_maximo' END AS tipo_monto,
+      CASE WHEN l_linenumber % 3 = 0 THEN 'MXN' ELSE 'USD' END AS moneda_efectiva,
+      CASE WHEN l_linenumber % 2 = 0 THEN CASE n_nationkey + 55
+        {' '.join(f"WHEN {k} THEN '{v}'" for k, v in V.BRANCH_STATES.items())} END
+        END AS estado_comprador, count(*) AS contratos, count(dia) AS con_fecha,
+      count(DISTINCT rfc) AS empresas, min(dia) AS desde, max(constituida) AS joven,
+      CAST(sum({_AMOUNT}) AS DOUBLE) AS importe, count(DISTINCT rfc) AS titulos,
+      CAST(sum(length(rfc) + 17) AS BIGINT) AS largo, 'OBRA "Ñ", ' AS titulo
+    FROM sales GROUP BY 1, 2, 3"""
+SQL["src_efos"] = """
+    SELECT rfc_norm, nombre, situacion, fecha_definitivo, fecha_presunto FROM efos"""
+SQL["src_states"] = f"""
+    SELECT estado_comprador, ejercicio, 'con_impuestos' AS tipo_monto, count(*) AS contratos,
+      count(fecha_efectiva) AS con_fecha, count(*) FILTER (WHERE rfc_norm <> 'NA') AS validos,
+      count(DISTINCT proveedor) AS empresas, max(fecha_efectiva + later) AS hasta,
+      max(objeto) AS objeto, CAST(sum({dec('importe')}) AS DOUBLE) AS importe
+    FROM states JOIN (VALUES (0), (90)) r(later) ON later = 0 OR l_linenumber % 3 = 0
+    GROUP BY 1, 2"""
 SQL["name_norm"] = f"""
     SELECT doc_id, md5({nn('text')}) AS clave, length({nn('text')}) AS largo
     FROM documents"""

@@ -1,9 +1,13 @@
 import csv
+import io
 import json
+import random
+
+import pytest
 
 from contraluz.functions import fixed_values as V
 from contraluz.sources import contracts as S
-from contraluz.sources import gazette, other, procedures, sanctions, sinks, states
+from contraluz.sources import gazette, other, procedures, records, sanctions, sinks, states
 from tests.helpers import D
 
 
@@ -247,3 +251,69 @@ def test_listing_and_detail_pages(spark, tmp_path):
     record, awards = procedures.read_details(spark, str(detail))
     assert record.first()["anticipo"] == "1"
     assert awards.first()["importe"] == 1000.5 and awards.first()["moneda"] == ""
+
+
+def small_splits(spark, most="700"):
+    """Settings under which a small file is read by many tasks; returns what undoes them."""
+    names = {"spark.sql.files.maxPartitionBytes": most,
+             "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    before = {n: spark.conf.get(n, None) for n in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+
+    def undo():
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return undo
+
+
+def test_records_of_one_file_are_cut_in_many_tasks(spark, tmp_path):
+    rng = random.Random(1)
+    cells = ["a\nb\n\nc", 'q"x', "é,€", "", "plain", '"', "\n", "x" * 30]
+    expected = {}
+    for name, end, encoding in (("one", "\n", "cp1252"), ("two", "\r\n", "cp1252"),
+                                ("three", "\n", "cp1252")):
+        rows = [["n"] + [rng.choice(cells) for _ in range(4)] for _ in range(200)]
+        if name == "three":
+            rows[40][2] = 'long "and"\n' * 900  # through several blocks
+            rows[199][4] = "to the\nend"
+        text = io.StringIO()
+        csv.writer(text, lineterminator=end).writerows(rows)
+        (tmp_path / f"{name}.csv").write_bytes(text.getvalue().encode(encoding))
+        expected[name] = [[c or None for c in row] for row in rows]
+    undo = small_splits(spark)
+    try:
+        found = records.read_records(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() > 40
+        parsed = records.parsed(found, list("abcde"), "bad").orderBy("file", "place").collect()
+    finally:
+        undo()
+    for name, rows in expected.items():
+        own = [r for r in parsed if r["file"].endswith(f"{name}.csv")]
+        assert [[r[c] for c in "abcde"] for r in own] == rows
+        assert own[0]["place"] == 0 and all(r["bad"] is None for r in own)
+
+
+def test_bytes_that_stand_for_nothing_are_replaced(spark, tmp_path):
+    (tmp_path / "f.csv").write_bytes(b'a,\x80\x9f\x81\xe9\n\n"open,\nto the end')
+    rows = records.read_records(spark, str(tmp_path)).orderBy("place").collect()
+    assert [r["record"] for r in rows] == ["a,€Ÿ�é", '"open,\nto the end']
+    (tmp_path / "g.csv").write_bytes("é\n".encode() + b"\xff\n")
+    rows = records.read_records(spark, str(tmp_path / "g.csv"), "utf-8").orderBy("place").collect()
+    assert [r["record"] for r in rows] == ["é", "�"]
+    with pytest.raises(ValueError):
+        records.read_records(spark, str(tmp_path), "ebcdic")
+
+
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"pnt_1_2026_{i}.csv").write_text(
+            f'"x{i % 2}\ny",z\n1,2\n3\n' if i else "")
+    context = spark.sparkContext
+    context.setJobGroup("headers", "")
+    groups = states.file_headers(spark, [str(tmp_path)])
+    jobs = len(context.statusTracker().getJobIdsForGroup("headers"))
+    context.setJobGroup("", "")
+    assert sorted((k, len(v)) for k, v in groups.items()) == [
+        (("x0\ny", "z"), 14), (("x1\ny", "z"), 15)]
+    assert jobs < 8  # stages of one query, not jobs by file
