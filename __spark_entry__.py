@@ -17,7 +17,7 @@ from contraluz.operators import (ages, bunching, collusion, concentration,
                                  debarment, digits, fraud_list, modifications,
                                  other_buyer, state_layer)
 from contraluz.operators import matching as M
-from contraluz.plans import backtest, ledger, reports, signals
+from contraluz.plans import backtest, case_store, ledger, reports, signals
 from contraluz.session import checkpoint_folder, stored
 from contraluz.sources import contracts as contract_source
 from contraluz.sources import driver_tables as D
@@ -116,16 +116,12 @@ class Run:
     def state_fraud(self) -> DataFrame:
         return state_layer.fraud_by_rfc(self.states, self.efos)
 
-    @property
-    def federal_findings(self) -> dict[str, DataFrame]:
-        return {"debarred_federal": self.during,
-                "fraud_federal": fraud_list.detail(self.fraud_hits),
-                "modifications": modifications.over_cap(self.contracts)}
-
     @property
     def findings(self) -> dict[str, DataFrame]:
         return {
-            **self.federal_findings,
+            "debarred_federal": self.during,
+            "fraud_federal": fraud_list.detail(self.fraud_hits),
+            "modifications": modifications.over_cap(self.contracts),
             "debarred_state": self.state_debarred,
             "fraud_state": self.state_fraud,
             "rotation": collusion.rotation_candidates(
@@ -138,10 +134,6 @@ class Run:
     def evidence(self) -> DataFrame:
         return stored(ledger.evidence(self.findings))
 
-    @cached_property
-    def federal_evidence(self) -> DataFrame:
-        return stored(ledger.evidence(self.federal_findings))
-
     @property
     def complaints(self) -> DataFrame:
         """Two institutions whose debarment cases count as filed."""
@@ -435,7 +427,7 @@ def _routes(spark: SparkSession, sf: str) -> DataFrame:
 def _merged(spark: SparkSession, sf: str) -> DataFrame:
     """A first scan, human decisions on some of its cases, a second scan."""
     run = Run(spark, sf)
-    rows = run.federal_evidence
+    rows = run.evidence
     first = run.scored(rows.where("fecha < DATE '2000-01-01'"))
     snapshot = ledger.snapshot_of(
         ledger.merge(ledger.empty_snapshot(first), first, "t0"))
@@ -448,6 +440,23 @@ def _merged(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.merge(decided, run.scored(rows), "t1")
 
 
+def _case_store(spark: SparkSession, sf: str) -> case_store.CaseStore:
+    """A scan, human decisions, a compaction and a second scan, in a store of their own."""
+    run = Run(spark, sf)
+    rows = run.evidence
+    first = stored(run.scored(rows.where("fecha < DATE '2000-01-01'")))
+    store = case_store.CaseStore(spark, f"{_home(spark)}-cases", first)
+    store.scan(first, "t0")
+    mark = F.substring("case_id", 1, 1)
+    store.decide(first.select(
+        "case_id", F.when(mark < "4", "descartado").when(mark < "8", "verificando")
+        .alias("estado"), F.lit(None).cast("string").alias("nota"),
+        F.lit(None).cast("string").alias("folio"), F.lit("t0").alias("decided_at")), "t0")
+    store.compact()
+    store.scan(run.scored(rows), "t1")
+    return store
+
+
 def _footprint(spark: SparkSession, sf: str) -> DataFrame:
     run = Run(spark, sf)
     return ledger.footprint({
@@ -647,6 +656,13 @@ def _layer_queries() -> dict[str, Query]:
         "lg_merge": lambda s, d: _merged(s, d).select(*merged_columns),
         "lg_emissions": lambda s, d: ledger.emissions(_merged(s, d)),
         "lg_counters": lambda s, d: ledger.run_counters(_merged(s, d)),
+        "lg_runs": lambda s, d: _case_store(s, d).runs(),
+        "lg_history": lambda s, d: _case_store(s, d).history().where(
+            "event <> 'actualizado'").select("run", "case_id", "at", "event", "estado",
+                                             "first_seen", "last_changed"),
+        "lg_decisions": lambda s, d: _case_store(s, d).snapshot().groupBy("estado").agg(
+            F.count("*").alias("casos"), F.count("decided_at").alias("decididos"),
+            F.min("first_seen").alias("desde")),
         "lg_footprint": _footprint,
         "lg_name_candidates": lambda s, d: M.name_candidates(
             D.table(s, d, "supplier").withColumnRenamed("s_name", "razon_social"),

@@ -1127,7 +1127,6 @@ _E10C = evidence(
     source_file=q("f10_concentracion_estatal"),
     importe="monto_mxn_millones * 1e6", n="contratos")
 CTES["evid"] = "\n    UNION ALL ".join((_E05, _E10I, _E01, _E10E, _E07, _E06, _E12, _E10C))
-CTES["evid3"] = "\n    UNION ALL ".join((_E05, _E01, _E07))
 CTES["complaints"] = """
     SELECT rfc, institucion, regexp_extract(direccion_anuncio,
       'detalle/([0-9a-f]{32})', 1) AS uuid
@@ -1210,9 +1209,7 @@ def scored_sql(source: str) -> str:
 
 CTES["cases8"] = cases_sql("evid")
 CTES["scored8"] = scored_sql("cases8")
-CTES["cases3"] = cases_sql("evid3")
-CTES["scored3"] = scored_sql("cases3")
-CTES["evid_before"] = "SELECT * FROM evid3 WHERE fecha < DATE '2000-01-01'"
+CTES["evid_before"] = "SELECT * FROM evid WHERE fecha < DATE '2000-01-01'"
 CTES["cases_before"] = cases_sql("evid_before")
 SQL["lg_cases"] = """
     SELECT case_id, scope, pattern, ambito, estado_geo, rfc, sujeto, institucion,
@@ -1239,7 +1236,7 @@ CTES["merged"] = """
       s.case_id IS NULL AS is_new,
       coalesce(s.content_hash <> n.content_hash, FALSE) AS changed,
       n.already_filed, n.score
-    FROM snap s FULL JOIN scored3 n USING (case_id)"""
+    FROM snap s FULL JOIN scored8 n USING (case_id)"""
 SQL["lg_merge"] = """
     SELECT case_id, estado, first_seen, last_seen, last_changed, is_new, changed
     FROM merged"""
@@ -1449,3 +1446,27 @@ SQL["rp_complaints"] = f"""
     SELECT rfc, min(proveedor) AS empresa, min(inhabilitado_desde) AS inhabilitada_desde,
       max(hasta) AS inhabilitada_hasta, count(*) AS contratos, {_COVERED_SUM} AS importe_mxn,
       count(DISTINCT folio) AS folios FROM covered_cases GROUP BY 1"""
+
+
+# --------------------------------------------------------------- case store
+SQL["lg_runs"] = """
+    SELECT 1 AS run, 'scan' AS kind, 't0' AS at, count(*) AS scanned,
+      count(*) FILTER (WHERE NOT already_filed) AS nuevos, 0 AS cambiados,
+      count(*) FILTER (WHERE already_filed) AS suprimidos, 0 AS rechazadas FROM cases_before
+    UNION ALL SELECT 2, 'decisions', 't0', NULL, NULL, NULL, NULL,
+      count(*) FILTER (WHERE substr(case_id, 1, 1) >= '8') FROM cases_before
+    UNION ALL SELECT 3, 'scan', 't1', count(*),
+      count(*) FILTER (WHERE is_new AND NOT already_filed),
+      count(*) FILTER (WHERE changed AND NOT already_filed),
+      count(*) FILTER (WHERE already_filed), 0 FROM merged WHERE already_filed IS NOT NULL"""
+SQL["lg_history"] = """
+    SELECT 1 AS run, case_id, 't0' AS at, 'nuevo' AS event, 'nuevo' AS estado,
+      't0' AS first_seen, 't0' AS last_changed FROM cases_before
+    UNION ALL SELECT 2, case_id, 't0', 'decidido', estado, 't0', 't0' FROM snap
+      WHERE estado <> 'nuevo'
+    UNION ALL SELECT 3, case_id, 't1', CASE WHEN is_new THEN 'nuevo' ELSE 'cambiado' END,
+      estado, first_seen, 't1' FROM merged WHERE is_new OR changed"""
+SQL["lg_decisions"] = """
+    SELECT estado, count(*) AS casos,
+      count(*) FILTER (WHERE estado <> 'nuevo') AS decididos, min(first_seen) AS desde
+    FROM merged GROUP BY 1"""

@@ -271,3 +271,71 @@ def test_freshness_and_pending(spark):
 def test_offices_are_counted_once(spark):
     a = spark.createDataFrame([("I", "U"), ("I", "V")], "institucion string, nombre_uc string")
     assert reports.affected_offices(a, a.where(F.col("nombre_uc") == "U")).first()[0] == 2
+
+
+def test_a_scan_writes_only_what_changed(spark, tmp_path):
+    from contraluz.plans import case_store
+
+    def found(rows):
+        return spark.createDataFrame(
+            [("f", "efos", "federal", None, None, "s", "i", None, "x", float(m), 1, "T2", score,
+              "revisar", True, False, [], f"h{m}", f"case{i}") for i, m, score in rows],
+            "scope string, pattern string, ambito string, estado_geo string, rfc string, "
+            "sujeto string, institucion string, procedure_uuid string, source_file string, "
+            "monto double, n_contratos long, tier string, score int, recomendacion string, "
+            "auto_ok boolean, already_filed boolean, cuarentena array<string>, "
+            "content_hash string, case_id string")
+
+    many = [(i, 1, 50) for i in range(200)]
+    store = case_store.CaseStore(spark, str(tmp_path / "store"), found(many), buckets=32)
+    assert store.snapshot().count() == 0 and store.compact() == []
+    store.scan(found(many), "t1")
+    assert store.buckets_of(1).count() == 32 and len(store.compact()) == 32
+    base = {p.parent.name: p.name for p in (tmp_path / "store" / "base").rglob("*.parquet")}
+    store.decide(spark.createDataFrame(
+        [("case3", "verificando", "n", None, "d"), ("case4", "bogus", None, None, "d"),
+         ("nobody", "descartado", None, None, "d")],
+        "case_id string, estado string, nota string, folio string, decided_at string"), "t2")
+    # one case changes its content, one its score alone, one is new
+    store.scan(found([(3, 2, 50), (4, 1, 60), *many[5:], (500, 1, 50)]), "t3")
+    assert store.buckets_of(3).count() <= 3
+    now = {r["case_id"]: r for r in store.snapshot().collect()}
+    assert len(now) == 201
+    assert (now["case3"]["estado"], now["case3"]["nota"], now["case3"]["monto"]) == (
+        "verificando", "n", 2.0)
+    assert (now["case4"]["estado"], now["case4"]["score"], now["case4"]["last_changed"]) == (
+        "nuevo", 60, "t1")
+    assert now["case0"]["first_seen"] == "t1" and now["case500"]["first_seen"] == "t3"
+    events = {(r["case_id"], r["run"]): r["event"] for r in store.history().collect()}
+    assert [events.get(("case3", n)) for n in (1, 2, 3)] == ["nuevo", "decidido", "cambiado"]
+    assert events["case4", 3] == "actualizado" and ("case9", 3) not in events
+    assert {(r["case_id"], r["motivo"]) for r in store.rejected().collect()} == {
+        ("case4", "estado inválido"), ("nobody", "caso desconocido")}
+    assert {(r["case_id"], r["reason"]) for r in store.emissions(3).collect()} == {
+        ("case3", "cambiado"), ("case500", "nuevo")}
+    before = store.snapshot().orderBy("case_id").collect()
+    touched = store.compact()
+    assert 1 <= len(touched) <= 4 and store.snapshot().orderBy("case_id").collect() == before
+    after = {p.parent.name: p.name for p in (tmp_path / "store" / "base").rglob("*.parquet")}
+    assert {b for b in base if base[b] != after[b]} <= {f"bucket={b}" for b in touched}
+    assert [r["scanned"] for r in store.runs().orderBy("run").collect()] == [200, None, 198]
+
+
+def test_a_run_without_its_record_does_not_show(spark, tmp_path, monkeypatch):
+    from contraluz.plans import case_store
+    rows = spark.createDataFrame([("c1", "h")], "case_id string, content_hash string")
+    for name in ledger.ENGINE_COLUMNS:
+        if name != "content_hash":
+            kind = {"score": "int", "monto": "double", "n_contratos": "long", "auto_ok": "boolean",
+                    "already_filed": "boolean", "cuarentena": "array<string>"}.get(name, "string")
+            value = F.lit(False) if kind == "boolean" else F.lit(None)
+            rows = rows.withColumn(name, value.cast(kind))
+    store = case_store.CaseStore(spark, str(tmp_path), rows, buckets=2)
+    with monkeypatch.context() as patched:
+        patched.setattr(store, "_finish", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+        try:
+            store.scan(rows, "t1")
+        except OSError:
+            pass
+    assert store.snapshot().count() == store.history().count() == store.runs().count() == 0
+    assert store.scan(rows, "t2") == 1 and store.snapshot().first()["first_seen"] == "t2"
