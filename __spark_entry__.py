@@ -28,7 +28,9 @@ from contraluz.streaming import monitor, rules, seen
 try:  # the training-data operators can be left out
     import corpus_pipeline
     from contraluz.llm import queries as training
-except ModuleNotFoundError:
+except ModuleNotFoundError as missing:
+    if (missing.name or "") not in ("corpus_pipeline", "contraluz.llm"):
+        raise  # another module is missing, which must not hide the queries
     training = None
 
 Query = Callable[[SparkSession, str], DataFrame]
