@@ -459,6 +459,27 @@ def _case_store(spark: SparkSession, sf: str) -> case_store.CaseStore:
     return store
 
 
+def _evidence_held(spark: SparkSession, sf: str) -> DataFrame:
+    """Cases seen during a month in which their files are downloaded again and again."""
+    kind = F.col("event_type")
+    name = (F.when(kind == "view", V.LIST_FILES["69-B"])
+            .when(kind == "click", V.LIST_FILES["SFP"])
+            .otherwise(F.concat(F.lit("contratos_200"), F.length(kind).cast("string"),
+                                F.lit(".csv"))))
+    manifest = D.facts(spark, sf, "events").select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("retrieved_at"),
+        F.md5(F.col("event_id").cast("string")).alias("sha256"),
+        F.floor("value").cast("string").alias("bytes"), name.alias("file"))
+    versions = stored(other.retrieval_versions(manifest))
+    minutes = F.conv(F.substring("case_id", 1, 4), 16, 10).cast("int")
+    run = Run(spark, sf)
+    cases = run.evidence.groupBy("case_id").agg(F.min("source_file").alias("source_file"))
+    seen = F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(mins=minutes)
+    held = ledger.evidence_held(cases.withColumn("seen", seen), versions,
+                                ledger.cited_sources(versions))
+    return held.withColumn("descargado", F.date_format("descargado", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _footprint(spark: SparkSession, sf: str) -> DataFrame:
     run = Run(spark, sf)
     return ledger.footprint({
@@ -665,6 +686,7 @@ def _layer_queries() -> dict[str, Query]:
         "lg_decisions": lambda s, d: _case_store(s, d).snapshot().groupBy("estado").agg(
             F.count("*").alias("casos"), F.count("decided_at").alias("decididos"),
             F.min("first_seen").alias("desde")),
+        "lg_evidence_chain": _evidence_held,
         "lg_footprint": _footprint,
         "lg_name_candidates": lambda s, d: M.name_candidates(
             D.table(s, d, "supplier").withColumnRenamed("s_name", "razon_social"),

@@ -614,6 +614,23 @@ def evidence_chain(case_rows: DataFrame, retrievals: DataFrame,
         "case_id", "archivo", "retrieved_at", "sha256")
 
 
+def evidence_held(case_rows: DataFrame, versions: DataFrame,
+                  sources: DataFrame) -> DataFrame:
+    """The version of each cited file that was held when the case was seen.
+
+    `case_rows` has (case_id, source_file, seen); `versions` is a row for each file
+    (`retrieval_versions`), so cases are joined to files and pick from the array: the
+    last version retrieved by then.  A file first retrieved later was not held and
+    gives no row; one that is downloaded again later changes nothing.
+    """
+    cited = case_rows.select("case_id", "source_file", "seen").join(sources, "source_file")
+    held = F.filter("versiones", lambda v: v["descargado"] <= F.col("seen"))
+    return cited.join(versions, "archivo").withColumn(
+        "_held", F.try_element_at(held, F.lit(-1))).where(F.col("_held").isNotNull()).select(
+            "case_id", "archivo", "_held.descargado", "_held.sha256",
+            F.datediff("seen", "_held.descargado").alias("dias"))
+
+
 def cited_sources(retrievals: DataFrame) -> DataFrame:
     """Files each finding cites; contract years come from the manifest."""
     years = retrievals.where(

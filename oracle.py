@@ -1470,3 +1470,31 @@ SQL["lg_decisions"] = """
     SELECT estado, count(*) AS casos,
       count(*) FILTER (WHERE estado <> 'nuevo') AS decididos, min(first_seen) AS desde
     FROM merged GROUP BY 1"""
+
+
+# ------------------------------------------------------------ evidence chain
+_CITED = [(f, s) for f, sources in (
+    ("contratos", ("f05_durante_inhabilitacion", "f01_detalle_completo",
+                   "f07_convenios_inflados", "f06_rotacion_licitaciones",
+                   "f12_riesgo_proveedor")),
+    (V.LIST_FILES["SFP"], ("f05_durante_inhabilitacion", "f10_inhabilitados_estatal")),
+    (V.LIST_FILES["69-B"], ("f01_detalle_completo", "f10_efos_estatal"))) for s in sources]
+CTES["versions"] = f"""
+    SELECT archivo, ts, max(md5(CAST(event_id AS VARCHAR))) AS sha256
+    FROM (SELECT CASE event_type WHEN 'view' THEN '{V.LIST_FILES["69-B"]}'
+          WHEN 'click' THEN '{V.LIST_FILES["SFP"]}'
+          ELSE 'contratos_200' || length(event_type) || '.csv' END AS archivo,
+        date_trunc('second', ts) AS ts, event_id
+      FROM events WHERE value >= 1) GROUP BY 1, 2"""
+CTES["case_files"] = f"""
+    SELECT case_id, archivo, TIMESTAMP '2024-01-01' + to_minutes(
+        CAST('0x' || substr(case_id, 1, 4) AS INTEGER)) AS seen
+    FROM (SELECT case_id, min(source_file) AS source_file FROM evid GROUP BY 1)
+    JOIN (VALUES {', '.join(f"('{f}', '{s}')" for f, s in _CITED)}) c(cited, source_file)
+      USING (source_file)
+    JOIN (SELECT DISTINCT archivo FROM versions) ON archivo = cited
+      OR (cited = 'contratos' AND archivo LIKE 'contratos_%')"""
+SQL["lg_evidence_chain"] = """
+    SELECT case_id, c.archivo, strftime(ts, '%Y-%m-%d %H:%M:%S') AS descargado, sha256,
+      date_diff('day', CAST(ts AS DATE), CAST(seen AS DATE)) AS dias
+    FROM case_files c ASOF JOIN versions v ON c.archivo = v.archivo AND c.seen >= v.ts"""

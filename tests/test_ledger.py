@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contraluz.plans import ledger, reports
+from contraluz.sources import other
 from tests.helpers import D
 
 TODAY = D(2026, 6, 13)
@@ -273,6 +274,27 @@ def test_offices_are_counted_once(spark):
     assert reports.affected_offices(a, a.where(F.col("nombre_uc") == "U")).first()[0] == 2
 
 
+def test_evidence_is_the_version_held_when_the_case_was_seen(spark):
+    manifest = spark.createDataFrame(
+        [("2026-01-01T00:00:00Z", "a", "5", "sfp_sancionados.json"),
+         ("2026-02-01T00:00:00Z", "b", "5", "sfp_sancionados.json"),
+         ("2026-03-01T00:00:00Z", "c", "0", "sfp_sancionados.json"),
+         ("junk", "d", "5", "sfp_sancionados.json"),
+         ("2026-02-15T00:00:00Z", "e", "5", "contratos_2025.csv")],
+        "retrieved_at string, sha256 string, bytes string, file string")
+    versions = other.retrieval_versions(manifest)
+    sources = ledger.cited_sources(versions)
+    seen = [("before", dt.datetime(2025, 12, 31)), ("first", dt.datetime(2026, 1, 1)),
+            ("between", dt.datetime(2026, 2, 14)), ("after", dt.datetime(2026, 4, 1))]
+    cases = spark.createDataFrame(
+        [(c, "f05_durante_inhabilitacion", t) for c, t in seen],
+        "case_id string, source_file string, seen timestamp")
+    found = {(r["case_id"], r["archivo"][:3]): (r["sha256"], r["dias"])
+             for r in ledger.evidence_held(cases, versions, sources).collect()}
+    assert found == {("first", "sfp"): ("a", 0), ("between", "sfp"): ("b", 13),
+                     ("after", "sfp"): ("b", 59), ("after", "con"): ("e", 45)}
+
+
 def test_a_scan_writes_only_what_changed(spark, tmp_path):
     from contraluz.plans import case_store
 
