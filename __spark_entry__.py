@@ -687,6 +687,14 @@ def _layer_queries() -> dict[str, Query]:
             F.count("*").alias("casos"), F.count("decided_at").alias("decididos"),
             F.min("first_seen").alias("desde")),
         "lg_evidence_chain": _evidence_held,
+        "lg_case_list": lambda s, d: ledger.case_list(
+            _scored(s, d), ambito="federal", tier="T1").select(
+                "case_id", "pattern", "score", "recomendacion"),
+        "rp_doubled": lambda s, d: reports.doubled_contracts(_over_cap(s, d)),
+        "rp_largest": lambda s, d: modifications.largest(_over_cap(s, d)).select(
+            "codigo_contrato", "rfc", "proveedor", "monto_ultimo_convenio"),
+        "rp_without_tender": lambda s, d: reports.without_tender(
+            state_layer.young(D.states(s, d), **YOUNG)),
         "lg_footprint": _footprint,
         "lg_name_candidates": lambda s, d: M.name_candidates(
             D.table(s, d, "supplier").withColumnRenamed("s_name", "razon_social"),

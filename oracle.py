@@ -1498,3 +1498,19 @@ SQL["lg_evidence_chain"] = """
     SELECT case_id, c.archivo, strftime(ts, '%Y-%m-%d %H:%M:%S') AS descargado, sha256,
       date_diff('day', CAST(ts AS DATE), CAST(seen AS DATE)) AS dias
     FROM case_files c ASOF JOIN versions v ON c.archivo = v.archivo AND c.seen >= v.ts"""
+
+
+# ------------------------------------------------------------ lists and shares
+SQL["lg_case_list"] = """
+    SELECT case_id, pattern, score, recomendacion FROM scored8
+    WHERE NOT already_filed AND ambito = 'federal' AND tier = 'T1'"""
+SQL["rp_doubled"] = """
+    SELECT count(*) FILTER (WHERE pct_incremento >= 100) AS al_doble,
+      count(*) AS contratos FROM f07"""
+SQL["rp_largest"] = """
+    SELECT codigo_contrato, rfc, proveedor, monto_ultimo_convenio FROM f07
+    ORDER BY monto_ultimo_convenio DESC NULLS LAST, codigo_contrato, rfc LIMIT 10"""
+SQL["rp_without_tender"] = f"""
+    SELECT count(*) AS contratos, {rnd("100.0 * count(*) FILTER (WHERE NOT coalesce("
+      "tipo_procedimiento LIKE '%LICITACI%', FALSE)) / count(*)", 1)} AS pct_sin_licitacion
+    FROM f10y"""
