@@ -15,7 +15,7 @@ CHECKED = (
     "d04_enrichment", "d05_detail", "d06_rotation", "d06_rings", "d07_over_cap",
     "d08_other_buyer", "d10_dedupe", "d10_rings", "d11_bunching", "canon_contracts",
     "name_norm", "rfc_quality", "dof_parse", "rt_seen_diff", "rt_rules",
-    "rp_freshness", "rp_pending",
+    "rp_freshness", "rp_pending", "rp_folios", "rt_seen_expiry", "src_contracts",
 )
 
 
