@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +266,22 @@ def test_ranks_in_groups_of_any_size(spark):
                          key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
             got = {r["n"]: r["i"] for r in found.where(F.col("k").eqNullSafe(F.lit(key))).collect()}
             assert [got[n + 1] for n in range(len(own))] == [r[2] for r in own]
+
+
+@pytest.mark.skipif(not pathlib.Path("/root/testdata/sf0.001").exists(),
+                    reason="driver tables are not here")
+def test_line_items_move_once_where_nothing_is_broadcast(spark):
+    from contraluz.sources import driver_tables as D
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = D.sold(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the join on the order has the joined orders and buyers beside it
+    text = plan.toString()
+    assert text.index("o_orderkey") < text.index("c_custkey")
+    joins = [line for line in text.splitlines() if " Join " in f" {line}"]
+    orders = next(i for i, line in enumerate(joins) if "l_orderkey" in line)
+    buyers = next(i for i, line in enumerate(joins) if "o_custkey" in line)
+    assert joins[buyers].index("Join") > joins[orders].index("Join")
