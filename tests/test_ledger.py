@@ -361,3 +361,29 @@ def test_a_run_without_its_record_does_not_show(spark, tmp_path, monkeypatch):
             pass
     assert store.snapshot().count() == store.history().count() == store.runs().count() == 0
     assert store.scan(rows, "t2") == 1 and store.snapshot().first()["first_seen"] == "t2"
+
+
+def test_versions_of_a_file_are_rows_and_answer_across_hours(spark):
+    manifest = spark.createDataFrame(
+        [(f"2026-01-01T0{h}:{m:02d}:00Z", f"{h}-{m}", "5", "sfp_sancionados.json")
+         for h in (1, 4) for m in range(0, 60, 7)],
+        "retrieved_at string, sha256 string, bytes string, file string")
+    versions = other.retrieval_versions(manifest)
+    assert versions.count() == 18 and "versiones" not in versions.columns
+    seen = [("early", 0, 59), ("at", 1, 7), ("behind", 1, 13), ("later", 3, 30), ("next", 4, 0)]
+    cases = spark.createDataFrame(
+        [(c, "f05_durante_inhabilitacion", dt.datetime(2026, 1, 1, h, m)) for c, h, m in seen],
+        "case_id string, source_file string, seen timestamp")
+    held = ledger.evidence_held(cases, versions, ledger.cited_sources(versions))
+    assert {r["case_id"]: r["sha256"] for r in held.collect()} == {
+        "at": "1-7", "behind": "1-7", "later": "1-56", "next": "4-0"}
+
+
+def test_a_bucket_of_the_log_is_few_files(spark, tmp_path):
+    from contraluz.plans import case_store
+    rows = spark.range(4000).select(
+        F.col("id").cast("string").alias("case_id"),
+        *(F.lit(None).cast("string").alias(c) for c in ledger.ENGINE_COLUMNS)).repartition(16)
+    store = case_store.CaseStore(spark, str(tmp_path / "cases"), rows, buckets=4)
+    store._write_log(rows.withColumn("event", F.lit("nuevo")), 1, "t0")
+    assert len(list((tmp_path / "cases" / "log").rglob("*.parquet"))) == 4
