@@ -317,3 +317,27 @@ def test_headers_of_many_files_take_one_job(spark, tmp_path):
     assert sorted((k, len(v)) for k, v in groups.items()) == [
         (("x0\ny", "z"), 14), (("x1\ny", "z"), 15)]
     assert jobs < 8  # stages of one query, not jobs by file
+
+
+def test_a_record_is_parsed_once_whatever_is_filtered(spark, tmp_path):
+    row = {"estado": "X", "razon_social": "ACME", "ejercicio": "2024"}
+    paths = [write_csv(tmp_path / f"pnt_1_2024_{i}.csv", list(V.STATE_FIELDS.values()), [
+        [row.get(n, "") for n in V.STATE_FIELDS]]) for i in range(2)]
+    typed = states.typed_states(states.read_state_files(spark, paths), D(2026, 1, 1))
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == plan.count("repaired(") == 1
+    assert typed.count() == 2
+
+
+def test_first_records_read_on_only_where_quotes_stay_open(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"x\ny",z\r\n1,2\n')
+    (tmp_path / "b.csv").write_text("p,q\r\n1,2\n")
+    (tmp_path / "c.csv").write_text("\n1,2\n")
+    (tmp_path / "d.csv").write_text('"never\nclosed')
+    undo = small_splits(spark)
+    try:
+        found = records.first_records(spark, str(tmp_path))
+    finally:
+        undo()
+    assert sorted((f[-5:], r) for f, r in found) == [
+        ("a.csv", '"x\ny",z'), ("b.csv", "p,q"), ("d.csv", '"never\nclosed')]
