@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -351,3 +352,42 @@ def test_a_batch_becomes_visible_as_a_whole(spark, tmp_path, monkeypatch):
     poll()
     assert spark.read.parquet(f"{out}/alerts").inputFiles() == before
     assert P.LISTING_SCHEMA
+
+
+def test_changes_since_earlier_batches_match_the_stateful_step(spark):
+    """Batches that come in any order of time, against the step that the stream runs."""
+    for seed, limit in ((7, 90), (8, 20), (9, 3)):
+        rows = gaps(seed, 240)
+        history, expected, state = None, set(), {}
+        for batch, part in enumerate((rows[:80], rows[80:100], rows[100:])):
+            for uuid in {r[0] for r in part}:
+                own = pd.DataFrame(sorted((r for r in part if r[0] == uuid), key=lambda r: r[2:]),
+                                   columns=["uuid", "estatus", "ts", "event_id"])
+                status, first, last = state.get(uuid, (None, None, None))
+                for at, change, first, previous in seen.changes(
+                        own, status, first, last, pd.Timedelta(days=limit)):
+                    status, last = own["estatus"][at], own["ts"][at]
+                    expected.add((own["event_id"][at], change, first, previous))
+                    state[uuid] = (status, first, last)
+            before = history if history is not None else spark.createDataFrame(
+                [], f"{FEED}, first_seen timestamp, batch long")
+            found = spark.createDataFrame(seen.changes_since(
+                spark.createDataFrame(part, FEED), before, limit).collect(),
+                f"{FEED}, previous string, change string, first_seen timestamp").withColumn(
+                    "batch", F.lit(batch).cast("long"))
+            history = found if history is None else history.unionByName(found)
+        assert as_set(history.collect()) == expected
+
+
+def test_the_monitor_runs_no_python_for_a_procedure(spark, tmp_path):
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "p.json").write_text(json.dumps({"success": True, "data": [{"registros": [
+        {"uuid_procedimiento": "a" * 32, "estatus": "VIGENTE"}]}]}))
+    query = monitor.start_monitor(
+        spark, str(pages), str(tmp_path / "out"), str(tmp_path / "state"),
+        lambda s: (s.createDataFrame([], RECORD), s.createDataFrame([], AWARD)),
+        lambda s: (efos(s), sfp(s), s.createDataFrame([], GAZETTE)), interval=None)
+    query.awaitTermination()
+    assert not query.lastProgress["stateOperators"]
+    assert spark.read.parquet(str(tmp_path / "out" / "changes")).count() == 1
