@@ -4,10 +4,14 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from contraluz.functions import fixed_values as V
+from contraluz.operators import state_layer
+from contraluz.session import stored
 from contraluz.sources import contracts as S
-from contraluz.sources import gazette, other, procedures, records, sanctions, sinks, states
+from contraluz.sources import (driver_tables, gazette, other, procedures, records, sanctions,
+                               sinks, states)
 from tests.helpers import D
 
 
@@ -341,3 +345,26 @@ def test_first_records_read_on_only_where_quotes_stay_open(spark, tmp_path):
         undo()
     assert sorted((f[-5:], r) for f, r in found) == [
         ("a.csv", '"x\ny",z'), ("b.csv", "p,q"), ("d.csv", '"never\nclosed')]
+
+
+def test_numbered_reports_fold_before_texts_are_made(spark, tmp_path):
+    """As by `dedupe`, for repeated lines, equal keys of two suppliers and unnumbered lines."""
+    folder = "/root/testdata/sf0.001"
+    lines = stored(driver_tables.sold(spark, folder))
+    again = lines.where("l_orderkey % 3 = 0")
+    hashed = lines.where("l_linenumber = 2").withColumn("l_linenumber", F.lit(8))
+    others = lines.where("l_linenumber IN (5, 7)").withColumn(
+        "l_suppkey", (F.col("l_suppkey") + 1) % 10)
+    bare = lines.where("l_linenumber = 3").withColumn("l_shipdate", F.lit(None).cast(
+        "timestamp_ntz"))
+    rows = stored(lines.unionByName(again).unionByName(hashed).unionByName(
+        hashed.where("l_orderkey % 2 = 0")).unionByName(others).unionByName(bare))
+    found = driver_tables.states(spark, folder, rows)
+    reports = driver_tables._as_reports(driver_tables._report_rows(
+        spark, folder, driver_tables.sales(spark, folder, rows)))
+    expected = states.with_key_traits(state_layer.dedupe(reports))
+    assert found.columns == expected.columns
+    assert found.count() == expected.count() < reports.count()
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey" in plan  # lines move, not texts
