@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from contraluz.functions import columns as C
 from contraluz.operators import (ages, bunching, collusion, concentration, digits,
-                                 fraud_list, modifications, other_buyer)
+                                 fraud_list, modifications, other_buyer, state_layer)
 from contraluz.operators import matching as M
-from contraluz.plans import backtest, signals
+from contraluz.plans import backtest, ledger, signals
 from tests.helpers import D, contracts, efos, sfp
 
 
@@ -285,3 +285,15 @@ def test_line_items_move_once_where_nothing_is_broadcast(spark):
     orders = next(i for i, line in enumerate(joins) if "l_orderkey" in line)
     buyers = next(i for i, line in enumerate(joins) if "o_custkey" in line)
     assert joins[buyers].index("Join") > joins[orders].index("Join")
+
+
+def test_names_of_kept_pairs_alone_are_tested(spark):
+    """The test for stock phrases is not run on all state reports."""
+    rows = [("E", "S", name, "ADJUDICACIÓN DIRECTA", 1e6, "MXN")
+            for name in ("ACME SA", "ACME SA", "CONTRATISTA") for _ in range(20)]
+    state = spark.createDataFrame(rows, "estado_comprador string, sujeto_obligado string, "
+                                  "proveedor string, tipo_procedimiento string, "
+                                  "importe double, moneda string")
+    found = ledger.from_state_concentration(state_layer.concentration(state, min_share=0.02))
+    assert [(r["sujeto"], r["n"]) for r in found.collect()] == [("ACME SA", 40)]
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
