@@ -6,7 +6,7 @@ totals are stored once and the contracts behind them are scanned once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from contraluz.functions import columns as C
@@ -64,8 +64,10 @@ def _rotating_offices(wins: DataFrame, keys: list[str], min_contracts: int,
 
 def rotation_candidates(contracts: DataFrame, min_contracts: int = 12,
                         max_suppliers: int = 5, min_evenness: float = 0.75,
-                        keys: list[str] = OFFICE) -> DataFrame:
-    wins = stored(tender_wins(contracts, keys))
+                        keys: list[str] = OFFICE,
+                        wins: DataFrame | None = None) -> DataFrame:
+    """`wins` are the contracts' `tender_wins`, where they are stored already."""
+    wins = stored(tender_wins(contracts, keys)) if wins is None else wins
     offices = _rotating_offices(wins, keys, min_contracts, max_suppliers,
                                 min_evenness)
     # at most max_suppliers rows per office reach this list
@@ -82,8 +84,9 @@ def rotation_candidates(contracts: DataFrame, min_contracts: int = 12,
 
 def rotation_members(contracts: DataFrame, min_contracts: int = 12,
                      max_suppliers: int = 5, min_evenness: float = 0.75,
-                     keys: list[str] = OFFICE) -> DataFrame:
-    wins = stored(tender_wins(contracts, keys))
+                     keys: list[str] = OFFICE,
+                     wins: DataFrame | None = None) -> DataFrame:
+    wins = stored(tender_wins(contracts, keys)) if wins is None else wins
     offices = _rotating_offices(wins, keys, min_contracts, max_suppliers,
                                 min_evenness)
     return wins.join(offices.select(*keys), keys, "left_semi").select(
@@ -118,12 +121,17 @@ def widest_incorporation_run(firms: DataFrame, keys: list[str],
             .drop("_from"))
 
 
+def _dated_firms(contracts: DataFrame, keys: list[str]) -> GroupedData:
+    """Contracts of dated legal persons by buyer and key."""
+    rows = contracts.where(F.col("es_persona_moral") & _known(keys)
+                           & F.col("fecha_constitucion_rfc").isNotNull())
+    return rows.groupBy(*keys, "rfc_norm")
+
+
 def ring_firms(contracts: DataFrame, keys: list[str],
                counted: Column) -> DataFrame:
     """Dated legal persons per buyer, with their volume."""
-    rows = contracts.where(F.col("es_persona_moral") & _known(keys)
-                           & F.col("fecha_constitucion_rfc").isNotNull())
-    return rows.groupBy(*keys, "rfc_norm").agg(
+    return _dated_firms(contracts, keys).agg(
         F.min("proveedor").alias("proveedor"),
         F.min("fecha_constitucion_rfc").alias("constituida"),
         F.min("fecha_efectiva").alias("primer_contrato"),
@@ -131,6 +139,20 @@ def ring_firms(contracts: DataFrame, keys: list[str],
         C.money_sum("importe", counted).alias("monto"))
 
 
+def ring_dates(contracts: DataFrame, window_days: int = 30, min_companies: int = 3,
+               keys: list[str] = OFFICE) -> DataFrame:
+    """Key and first contract of every ring member.
+
+    As `ring_members`, without what a reader of rings wants: dates alone are aggregated
+    by hash, names and sums would be sorted and moved for every firm of every buyer.
+    """
+    firms = stored(_dated_firms(contracts, keys).agg(
+        F.min("fecha_constitucion_rfc").alias("constituida"),
+        F.min("fecha_efectiva").alias("primer_contrato")))
+    return widest_incorporation_run(firms, keys, window_days, min_companies).select(
+        "rfc_norm", "primer_contrato")
+
+
 def ring_members(contracts: DataFrame, window_days: int = 30,
                  min_companies: int = 3, keys: list[str] = OFFICE) -> DataFrame:
     firms = stored(ring_firms(contracts, keys, C.mxn_ok()))

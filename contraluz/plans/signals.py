@@ -18,9 +18,12 @@ DEFAULTS: dict[str, dict] = {
 
 
 def signal_flags(contracts: DataFrame,
-                 thresholds: Mapping[str, Mapping] = DEFAULTS) -> DataFrame:
+                 thresholds: Mapping[str, Mapping] = DEFAULTS,
+                 wins: DataFrame | None = None) -> DataFrame:
     """(senal, rfc_norm, flag_date), one row per signal and key.
 
+    `wins` are stored `tender_wins` of the contracts, where a caller has them.
+
     The criteria are the screens' own functions, so a threshold moves the
     screen, the backtest and the ensemble together.
     """
@@ -36,10 +39,10 @@ def signal_flags(contracts: DataFrame,
         "d06_fraccionamiento": first_date(
             collusion.same_day_splits(contracts, **options["splits"]), "dia"),
         "d06_anillo_constitucion": first_date(
-            collusion.ring_members(contracts, **options["rings"]),
+            collusion.ring_dates(contracts, **options["rings"]),
             "primer_contrato"),
         "d06_rotacion": first_date(
-            collusion.rotation_members(contracts, **options["rotation"]),
+            collusion.rotation_members(contracts, **options["rotation"], wins=wins),
             "primer_contrato"),
         "d07_convenio_inflado": modifications.flags(
             modifications.over_cap(contracts, **options["over_cap"])),

@@ -287,6 +287,31 @@ def test_line_items_move_once_where_nothing_is_broadcast(spark):
     assert joins[buyers].index("Join") > joins[orders].index("Join")
 
 
+def test_signals_keep_dates_of_firms_and_take_wins_at_hand(spark, monkeypatch):
+    """Ring signals store no names or sums of firms; wins at hand are not made again."""
+    rows = [{"rfc_norm": f"AAA10101{i}AB{j}", "proveedor": f"F{i}{j}", "nombre_uc": f"UC{i}",
+             "fecha_constitucion_rfc": D(2010, 1, 1 + 9 * j), "fecha_efectiva": D(2024, 5, 9 - j)}
+            for i in range(3) for j in range(4)]
+    table = contracts(spark, rows + _tenders("XYZ", 8, "UC9"))
+    members = collusion.ring_members(table).select("rfc_norm", "primer_contrato")
+    wins = collusion.tender_wins(table)
+    expected = sorted(map(tuple, signals.signal_flags(table).collect()))
+    kept = []
+    original = collusion.stored
+
+    def noted(df):
+        kept.append(df.columns)
+        return original(df)
+    monkeypatch.setattr(collusion, "stored", noted)
+    found = collusion.ring_dates(table)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, members.collect()))
+    assert kept == [["institucion", "nombre_uc", "rfc_norm", "constituida", "primer_contrato"]]
+    kept.clear()
+    flags = signals.signal_flags(table, wins=wins)
+    assert sorted(map(tuple, flags.collect())) == expected
+    assert len(kept) == 1
+
+
 def test_names_of_kept_pairs_alone_are_tested(spark):
     """The test for stock phrases is not run on all state reports."""
     rows = [("E", "S", name, "ADJUDICACIÓN DIRECTA", 1e6, "MXN")
