@@ -144,12 +144,21 @@ def ring_dates(contracts: DataFrame, window_days: int = 30, min_companies: int =
     """Key and first contract of every ring member.
 
     As `ring_members`, without what a reader of rings wants: dates alone are aggregated
-    by hash, names and sums would be sorted and moved for every firm of every buyer.
+    by hash, names and sums would be sorted and moved for every firm of every buyer.  The
+    run that starts at each firm is counted among the buyer's firms, one row each, so they
+    move once and nothing is stored.
     """
-    firms = stored(_dated_firms(contracts, keys).agg(
+    firms = _dated_firms(contracts, keys).agg(
         F.min("fecha_constitucion_rfc").alias("constituida"),
-        F.min("fecha_efectiva").alias("primer_contrato")))
-    return widest_incorporation_run(firms, keys, window_days, min_companies).select(
+        F.min("fecha_efectiva").alias("primer_contrato"))
+    day = F.unix_date("constituida")
+    buyer = Window.partitionBy(*keys)
+    runs = firms.withColumn("_size", F.count("*").over(
+        buyer.orderBy(day).rangeBetween(0, window_days)))
+    best = runs.withColumn("_best", F.max(F.struct("_size", (-day).alias("_start"))).over(buyer))
+    start = -F.col("_best._start")
+    return best.where((F.col("_best._size") >= min_companies)
+                      & day.between(start, start + window_days)).select(
         "rfc_norm", "primer_contrato")
 
 
