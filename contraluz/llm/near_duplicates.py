@@ -16,15 +16,17 @@ similarity 0.8 misses all buckets with probability 3e-6.
 Nobody emits all pairs of a bucket.  Copies of a text, told by its MD5, are one
 node; ids play no part before the classes are named, so unlike texts of one id
 stay apart.
-The members of a bucket are put in order, those that share most buckets with
-others first, as they stand in the middle of their group.  The first of each
-bucket is paired with its other members, where the two bits kept of each
-coordinate do not speak against the similarity (a pair of 0.8 is lost to their
-margin in less than one case of a million).  Pairs are verified on the texts,
-and verified links give components.  Only buckets that still hold several components go on: in rounds,
-their next members in order are paired with later members of other components,
-until no pair is left that shares a bucket and is neither judged nor in one
-component.  Pairs whose lengths alone rule the similarity out are not formed.
+The member of a bucket that shares most buckets with others, as it stands in the
+middle of its group, is paired with the other members, where the two bits kept of
+each coordinate do not speak against the similarity (a pair of 0.8 is lost to
+their margin in less than one case of a million).  Pairs are verified on the
+texts, and verified links give components.  Only buckets that still hold several
+components go on.  Those with many members make groups (buckets that have a member
+in common); a group's texts are dealt into blocks, every two blocks meet in one
+task, which compares what is not yet in one component and emits links alone, so
+no pair is a row.  Buckets with few members then pair what is left of different
+components.  So no pair is left that shares a bucket and is neither judged nor in
+one component.  Pairs whose lengths alone rule the similarity out are not formed.
 """
 
 from __future__ import annotations
@@ -44,7 +46,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 R, BANDS = 6, 42
 LONGS = -(-R * BANDS // 32)
-LEADERS = 64  # members of a bucket that lead its second round; four times as many in each next
+SMALL = 8  # open members of a bucket up to which its pairs are rows
+BLOCK, BLOCK_WORDS = 1024, 1 << 19  # texts of a group, and words of them, in a block
 MARGIN = 5.0  # standard errors of the estimate that a candidate may fall short
 DOCS = 400  # documents whose darts are thrown at once
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
@@ -183,30 +186,35 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 def alike(one: str, two: str, least: float) -> Column:
     """Whether two sketches differ in no more coordinates than that similarity
     lets expect, with the margin."""
-    k, chance = R * BANDS, least + (1 - least) / 4
-    most = k * (1 - chance) + MARGIN * math.sqrt(k * chance * (1 - chance))
     different = F.lit(0)
     for i in range(LONGS):
         x = F.get(one, F.lit(i)).bitwiseXOR(F.get(two, F.lit(i)))
         either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
         different = different + F.bit_count(either)
-    return different <= most
+    return different <= most_different(least)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """The candidate pairs (a, b) of nodes whose texts are at least that similar.
+def texts_of(asked: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the asked nodes, stored.
 
-    Only texts of candidates move, one row's of each node: their ids and digests
-    are broadcast while they are few enough, else the texts are shuffled.
+    One row's text of each node moves: ids and digests of the nodes are broadcast
+    while they are few enough, else the texts are shuffled.
     """
-    pairs = stored(pairs)
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     asked = stored(nodes.select("node", F.col("first").alias("__first"), F.col(
         "digest").alias("__digest")).join(asked, "node", "left_semi"))
     same = F.col("doc_id").eqNullSafe(F.col("__first")) & (F.col("digest") == F.col("__digest"))
     texts = docs.withColumn("digest", digest("text")).join(few(asked), same)
-    texts = stored(texts.groupBy("node").agg(F.any_value("text").alias("text")))
-    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    return stored(texts.groupBy("node").agg(F.any_value("text").alias("text")))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The candidate pairs (a, b) of nodes whose texts are at least that similar.
+
+    Only texts of candidates move.  pairs is a stored table.
+    """
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = texts_of(asked, docs, nodes)
+    both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
 
     def run(batches):
         hasher, last, mine = Hasher(), None, None
@@ -224,6 +232,78 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, least: float)
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def most_different(least: float) -> float:
+    """The coordinates in which sketches of that similarity may differ, with the margin."""
+    k, chance = R * BANDS, least + (1 - least) / 4
+    return k * (1 - chance) + MARGIN * math.sqrt(k * chance * (1 - chance))
+
+
+def links_of_blocks(texts: list[bytes], block: np.ndarray, label: np.ndarray,
+                    sketch: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links between texts of different labels, enough to connect what is alike.
+
+    Of one block all texts are compared, of two blocks those of the one with
+    those of the other.  Texts that links have brought together count as one.
+    """
+    regions, sizes = shingles(texts, Hasher())
+    ends = np.cumsum(sizes)
+    vocabulary, ids = np.unique(regions, return_inverse=True)
+    ids = np.split(ids, ends[:-1])
+    label, marked, out = label.copy(), np.zeros(len(vocabulary), bool), []
+    alone, most = block.min() == block.max(), most_different(least)
+    for x in np.arange(len(texts)) if alone else np.flatnonzero(block == block.min()):
+        other = np.arange(len(texts)) > x if alone else block != block[x]
+        at = np.flatnonzero(
+            other & (label != label[x])
+            & (np.minimum(sizes, sizes[x]) >= least * np.maximum(sizes, sizes[x])))
+        bits = sketch[at] ^ sketch[x]
+        bits = (bits | bits >> U(1)) & U(0x5555555555555555)
+        at = at[np.bitwise_count(bits).sum(axis=1) <= most]
+        if not len(at):
+            continue
+        marked[ids[x]] = True
+        both = np.add.reduceat(marked[np.concatenate([ids[y] for y in at])],
+                               np.cumsum(sizes[at]) - sizes[at], dtype=np.int64)
+        marked[ids[x]] = False
+        for y in at[both / (sizes[x] + sizes[at] - both) >= least]:
+            if label[y] != label[x]:
+                out.append((int(x), int(y)))
+                label[label == label[y]] = label[x]
+    return out
+
+
+def verified_groups(members: DataFrame, docs: DataFrame, nodes: DataFrame,
+                    least: float) -> DataFrame:
+    """Links (a, b) within groups: rows (group, rep, label, size, sketch), stored.
+
+    A group's members are dealt into blocks by number and length, and each block
+    goes to every task in which it meets one.
+    """
+    parts = members.groupBy("group").agg(
+        (F.floor(F.count("*") / BLOCK) + F.floor(F.sum("size") / BLOCK_WORDS) + 1)
+        .cast("int").alias("parts"))
+    texts = texts_of(members.select(F.col("rep").alias("node")), docs, nodes)
+    block = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    rows = members.join(parts, "group").withColumn("block", block).join(
+        texts.withColumnRenamed("node", "rep"), "rep").withColumn(
+            "meets", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("group", F.least("block", "meets").alias("i"), F.greatest(
+        "block", "meets").alias("j"), "block", "rep", "label", "sketch", "text")
+
+    def meet(table: pa.Table) -> pa.Table:
+        block, rep, label = (table.column(c).to_numpy() for c in ("block", "rep", "label"))
+        sketch = np.array(table.column("sketch").to_pylist(), np.int64).view(U)
+        links = []
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        if i == j or len(np.unique(block)) == 2:
+            texts = table.column("text").cast(pa.binary()).to_pylist()
+            links = links_of_blocks(texts, block, label, sketch, least)
+        at = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": rep[at[:, 0]], "b": rep[at[:, 1]]})
+
+    return rows.groupBy("group", "i", "j").applyInArrow(meet, "a long, b long")
+
+
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, label): the least node of each node's component, for linked nodes.
 
@@ -253,59 +333,69 @@ def labelled(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     first is the least id of the rows with that text, label a number of its
     class, class_id the least id of the class.  docs has doc_id and text.
     """
-    signed = stored(signatures(docs))
-    texts = stored(signed.groupBy("digest").agg(
-        F.min("doc_id").alias("first"), F.any_value("size").alias("size"),
-        F.any_value("bands").alias("bands"),
-        F.any_value("sketch").alias("sketch")).withColumn(
-            "rep", F.monotonically_increasing_id()))  # holds, as it is stored
-    nodes = texts.select(F.col("rep").alias("node"), "digest", "first")
-    rows = texts.select("rep", "size", "sketch", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = stored(rows.join(shared, "key"))
-    degrees = buckets.groupBy("rep").agg(F.sum("n").alias("degree"))
-    # the order of a bucket's members: most shared buckets first, then the number
-    buckets = stored(buckets.join(degrees, "rep").select(
-        "key", "rep", "sketch",
-        F.struct((-F.col("degree")).alias("degree"), "rep", "size").alias("place")))
-
-    def worth(lead: str, sketch: str) -> Column:
-        """Neither lengths nor sketches rule the similarity out."""
-        sizes = [F.col(f"{lead}.size"), F.col("place.size")]
-        return (F.least(*sizes) >= least * F.greatest(*sizes)) & alike(sketch, "sketch", least)
-
-    first = buckets.groupBy("key").agg(F.min(F.struct("place", "sketch")).alias("f")).select(
-        "key", F.col("f.place").alias("first"), F.col("f.sketch").alias("first_sketch"))
-    members = stored(buckets.join(first, "key"))
-    pairs = stored(members.where("first <> place").where(worth("first", "first_sketch")).select(
-        F.col("first.rep").alias("a"), F.col("rep").alias("b")).distinct())
+    signed = stored(signatures(docs).withColumn(
+        "rep", F.monotonically_increasing_id()))  # holds, as it is stored
+    nodes = stored(signed.groupBy("digest").agg(
+        F.min("doc_id").alias("first"), F.min("rep").alias("node")))
+    texts = signed.join(few(nodes.select(F.col("node").alias("rep"))), "rep", "left_semi")
+    # keys are counted and looked up in one exchange, so both sides read all its columns
+    rows = texts.select("rep", F.explode("bands").alias("key")).repartition("key")
+    shared = rows.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("rep").alias("low"), F.max("rep").alias("high")).where(
+            "low < high").select("key", "n")
+    buckets = rows.join(shared, "key").groupBy("rep").agg(
+        F.collect_list("key").alias("keys"), F.sum("n").alias("degree"))
+    buckets = buckets.join(texts.select("rep", "size"), "rep").select(
+        F.explode("keys").alias("key"), "rep", "size", "degree").repartition("key")
+    # a bucket's hub shares most buckets, then has the least number
+    hubs = buckets.groupBy("key").agg(F.min(F.struct(
+        (-F.col("degree")).alias("degree"), "rep", "size")).alias("f")).select(
+            "key", F.col("f.rep").alias("hub"), F.col("f.size").alias("hub_size"))
+    members = stored(buckets.join(hubs, "key").select("key", "rep", "size", "hub", "hub_size"))
+
+    def close(one: str, two: str) -> Column:
+        """Lengths do not rule the similarity out."""
+        return F.least(one, two) >= least * F.greatest(one, two)
+
+    def sketched(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that their sketches do not rule out, stored."""
+        marks = texts.select("rep", "sketch")
+        return stored(pairs.join(marks.toDF("a", "one"), "a").join(
+            marks.toDF("b", "two"), "b").where(alike("one", "two", least)).select("a", "b"))
+
+    pairs = sketched(members.where("rep <> hub").where(close("hub_size", "size")).select(
+        F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     found = components(verified(pairs, docs, nodes, least))
 
     def open_buckets(rows: DataFrame) -> DataFrame:
-        """Members of buckets in which several components meet."""
-        labelled = rows.select("key", "rep", "sketch", "place").join(
-            found.withColumnRenamed("node", "rep"), "rep", "left").select(
-                "key", "rep", "sketch", "place", F.coalesce("label", "rep").alias("label"))
-        mixed = labelled.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        return stored(labelled.join(mixed.select("key"), "key"))
-
-    members, n_leaders = open_buckets(members.where("first <> place")), LEADERS
-    while members.head(1):
-        turn = Window.partitionBy("key").orderBy("place")
-        leaders = stored(members.withColumn("n", F.row_number().over(turn)).where(
-            F.col("n") <= n_leaders).select(
-                "key", F.col("place").alias("lead"), F.col("sketch").alias("lead_sketch"),
-                F.col("label").alias("own")))
-        fresh = members.join(leaders, "key").where("own <> label AND lead < place").where(
-            worth("lead", "lead_sketch")).select(
-            F.col("lead.rep").alias("a"), F.col("rep").alias("b")).distinct()
-        fresh = stored(fresh.join(pairs, ["a", "b"], "left_anti"))
-        pairs = stored(pairs.unionByName(fresh))
+        """Members of buckets in which several components meet, and their number, stored."""
+        labels = rows.select("key", "rep", "size").join(
+            found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+                "label", F.coalesce("label", "rep"))
+        mixed = labels.groupBy("key").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"),
+            F.count("*").alias("n")).where("low <> high")
+        return stored(labels.join(mixed.select("key", "n"), "key"))
+
+    # the hub has met all members of its bucket
+    members = open_buckets(members.where("rep <> hub"))
+    large = members.where(F.col("n") > SMALL)
+    if large.head(1):
+        least_rep = large.groupBy("key").agg(F.min("rep").alias("a"))
+        groups = components(large.join(least_rep, "key").select(
+            "a", F.col("rep").alias("b")).distinct())
+        groups = stored(large.select("rep", "label", "size").distinct().join(
+            groups.toDF("rep", "group"), "rep").join(texts.select("rep", "sketch"), "rep"))
+        found = components(verified_groups(groups, docs, nodes, least), found)
+        members = open_buckets(members.where(F.col("n") <= SMALL))
+    if members.head(1):
+        lead = members.select("key", F.col("rep").alias("a"), F.col("size").alias("lead_size"),
+                              F.col("label").alias("own"))
+        fresh = members.join(lead, "key").where("own <> label AND a < rep").where(
+            close("lead_size", "size")).select("a", F.col("rep").alias("b")).distinct()
+        judged = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        fresh = sketched(fresh.join(judged, ["a", "b"], "left_anti"))
         found = components(verified(fresh, docs, nodes, least), found)
-        last = leaders.groupBy("key").agg(F.max("lead").alias("last"))
-        members = open_buckets(members.join(last, "key").where("place > last"))
-        n_leaders *= 4
 
     linked = stored(nodes.join(found, "node", "left"))
     shared = stored(linked.where("label IS NOT NULL").groupBy("label").agg(

@@ -1,5 +1,6 @@
 """Near-duplicates, containment, nearest neighbours and url templates."""
 
+import random
 import re
 import sys
 from collections import Counter, defaultdict
@@ -65,6 +66,31 @@ def test_near_duplicate_classes(spark):
     assert got == near_classes(rows)
 
 
+def edited(seed, text, share):
+    """The words of a text, about that share of them replaced by words of its own."""
+    rnd = random.Random(seed)
+    return " ".join(f"{w}{seed}" if rnd.random() < share else w for w in text.split())
+
+
+def test_large_groups_make_few_pairs(spark, monkeypatch):
+    """Members that hardly anything links are compared in tasks, whatever their number."""
+    base, rows = prose(71, 150), []
+    for i in range(240):
+        rows.append((i, edited(i, base, (0.005, 0.02, 0.04, 0.06)[i % 4])))
+    formed, verified = [], near_duplicates.verified
+
+    def counted(pairs, *rest):
+        formed.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near_duplicates, "verified", counted)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 50, raising=False)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.classes(frame(spark, rows)).collect()}
+    assert got == near_classes(rows)
+    assert 1 < len(set(got.values())) < len(rows)
+    assert sum(formed) <= 16 * len(rows)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = [(r["doc_id"], r["class_id"]) for r in near_duplicates.classes(
         frame(spark, ODD_ROWS)).collect()]
