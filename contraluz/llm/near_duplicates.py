@@ -307,23 +307,30 @@ def verified_groups(members: DataFrame, docs: DataFrame, nodes: DataFrame,
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, label): the least node of each node's component, for linked nodes.
 
-    Each node takes the least label around it and then its label's label, until
-    nothing changes; the state of a round is a table in the shared folder.
+    Each node points to the least node around it, pointers double until they end
+    at nodes that are the least around them, and links between these ends go on
+    to the next round.  So rounds read fewer links each; their state is a table in
+    the shared folder.
     """
     if labels is not None:
         links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
     edges = stored(links.where("a <> b").union(links.where("a <> b").select("b", "a")).distinct())
-    found = stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    found = None
     while True:
-        around = edges.join(found.toDF("b", "m"), "b").groupBy("a").agg(F.min("m").alias("m"))
-        lower = found.join(around.withColumnRenamed("a", "node"), "node").select(
-            "node", F.col("label").alias("old"), F.least("label", "m").alias("near"))
-        jumped = lower.join(found.toDF("near", "far"), "near").select(
-            "node", "old", F.least("near", "far").alias("label"))
-        table = stored(jumped)
-        found = table.select("node", "label")
-        if not table.where("old <> label").head(1):
+        ends = stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(
+            F.col("a").alias("node"), F.least("a", "m").alias("label")))
+        while True:
+            jumped = stored(ends.join(ends.toDF("label", "far"), "label").select(
+                "node", F.col("label").alias("old"), F.col("far").alias("label")))
+            ends = jumped.select("node", "label")
+            if not jumped.where("old <> label").head(1):
+                break
+        found = ends if found is None else stored(found.join(
+            ends.toDF("label", "end"), "label", "left").select(
+                "node", F.coalesce("end", "label").alias("label")))
+        edges = stored(edges.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").where(
+            "x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        if not edges.head(1):
             return found
 
 

@@ -88,7 +88,38 @@ def test_large_groups_make_few_pairs(spark, monkeypatch):
     got = {r["doc_id"]: r["class_id"] for r in near_duplicates.classes(frame(spark, rows)).collect()}
     assert got == near_classes(rows)
     assert 1 < len(set(got.values())) < len(rows)
-    assert sum(formed) <= 16 * len(rows)
+    assert sum(formed) <= 6 * len(rows), formed
+
+
+def test_components_read_links_once_more_only_between_ends(spark, monkeypatch):
+    """A long chain, a star and a loose net; later rounds hold few of their links."""
+    rnd = random.Random(5)
+    links = [(i, i + 1) for i in range(100)] + [(900, i) for i in range(200, 900)] + [
+        (rnd.randint(1000, 1300), rnd.randint(1000, 1300)) for _ in range(400)] + [(7, 7)]
+    near, sizes, keep = {}, [], near_duplicates.stored
+
+    def counted(df):
+        out = keep(df)
+        if out.columns == ["a", "b"]:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_duplicates, "stored", counted)
+    got = {r["node"]: r["label"] for r in near_duplicates.components(
+        frame(spark, links, "a long, b long")).collect()}
+    for a, b in links:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    del near[7]
+    near[7] = {6, 8}
+    want = {}
+    for n in sorted(near):
+        todo = [] if n in want else [n]
+        while todo:
+            if want.setdefault(m := todo.pop(), n) == n:
+                todo += [x for x in near[m] if x not in want]
+    assert got == want
+    assert sum(sizes) < 2 * sizes[0]
 
 
 def test_near_duplicates_of_odd_rows(spark):
