@@ -6,10 +6,11 @@ totals are stored once and the contracts behind them are scanned once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contraluz.functions import columns as C
+from contraluz.operators import matching as M
 from contraluz.session import stored
 
 OFFICE = ["institucion", "nombre_uc"]
@@ -33,7 +34,10 @@ def _joined_list(order: list[Column], text: Column) -> Column:
 
 def tender_wins(contracts: DataFrame, keys: list[str] = OFFICE) -> DataFrame:
     """Public-tender wins per office and (supplier, key)."""
-    rows = contracts.where(C.tender("tipo_procedimiento") & _known(keys))
+    return _wins(contracts.where(C.tender("tipo_procedimiento") & _known(keys)), keys)
+
+
+def _wins(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys, "proveedor", "rfc_norm").agg(
         F.count("*").alias("n"),
         C.money_sum("importe", C.mxn_ok()).alias("monto"),
@@ -53,6 +57,12 @@ def _rotating_offices(wins: DataFrame, keys: list[str], min_contracts: int,
         F.sum("n").alias("contratos"), F.count("*").alias("n_proveedores"),
         F.sum(n * F.ln(n)).alias("_nlogn"), F.max("anios").alias("anios_activos"),
         F.sum("monto").alias("_paid"))
+    return _even(offices, min_contracts, max_suppliers, min_evenness)
+
+
+def _even(offices: DataFrame, min_contracts: int, max_suppliers: int,
+          min_evenness: float) -> DataFrame:
+    """Rows whose office passes, by its `contratos`, `n_proveedores` and `_nlogn`."""
     small = offices.where((F.col("contratos") >= min_contracts)
                           & F.col("n_proveedores").between(2, max_suppliers))
     total = F.col("contratos").cast("double")
@@ -62,11 +72,30 @@ def _rotating_offices(wins: DataFrame, keys: list[str], min_contracts: int,
         F.col("_evenness") >= min_evenness - 1e-12)
 
 
+def rotating_wins(contracts: DataFrame, min_contracts: int = 12, max_suppliers: int = 5,
+                  min_evenness: float = 0.75, keys: list[str] = OFFICE) -> DataFrame:
+    """The `tender_wins` of the offices that rotate; what reads wins finds the same in them.
+
+    Tenders are dealt by their office in narrow columns, so wins, offices and the test of
+    an office move nothing more.
+    """
+    rows = contracts.where(C.tender("tipo_procedimiento") & _known(keys)).select(
+        *keys, "proveedor", "rfc_norm", "importe", "moneda_efectiva", "file_year",
+        "fecha_efectiva").repartition(*keys)
+    wins, office, n = _wins(rows, keys), Window.partitionBy(*keys), F.col("n").cast("double")
+    marked = wins.withColumns({
+        "contratos": F.sum("n").over(office), "n_proveedores": F.count("*").over(office),
+        "_nlogn": F.sum(n * F.ln(n)).over(office)})
+    # what reads the wins tests again; a last digit of a sum in another order decides nothing
+    return _even(marked, min_contracts, max_suppliers, min_evenness - 1e-9).select(
+        *wins.columns)
+
+
 def rotation_candidates(contracts: DataFrame, min_contracts: int = 12,
                         max_suppliers: int = 5, min_evenness: float = 0.75,
                         keys: list[str] = OFFICE,
                         wins: DataFrame | None = None) -> DataFrame:
-    """`wins` are the contracts' `tender_wins`, where they are stored already."""
+    """`wins` are the contracts' `tender_wins` or `rotating_wins`, where they are stored."""
     wins = stored(tender_wins(contracts, keys)) if wins is None else wins
     offices = _rotating_offices(wins, keys, min_contracts, max_suppliers,
                                 min_evenness)
@@ -121,17 +150,16 @@ def widest_incorporation_run(firms: DataFrame, keys: list[str],
             .drop("_from"))
 
 
-def _dated_firms(contracts: DataFrame, keys: list[str]) -> GroupedData:
-    """Contracts of dated legal persons by buyer and key."""
-    rows = contracts.where(F.col("es_persona_moral") & _known(keys)
+def _dated(contracts: DataFrame, keys: list[str]) -> DataFrame:
+    """Contracts of dated legal persons of known buyers."""
+    return contracts.where(F.col("es_persona_moral") & _known(keys)
                            & F.col("fecha_constitucion_rfc").isNotNull())
-    return rows.groupBy(*keys, "rfc_norm")
 
 
 def ring_firms(contracts: DataFrame, keys: list[str],
                counted: Column) -> DataFrame:
     """Dated legal persons per buyer, with their volume."""
-    return _dated_firms(contracts, keys).agg(
+    return _dated(contracts, keys).groupBy(*keys, "rfc_norm").agg(
         F.min("proveedor").alias("proveedor"),
         F.min("fecha_constitucion_rfc").alias("constituida"),
         F.min("fecha_efectiva").alias("primer_contrato"),
@@ -145,10 +173,12 @@ def ring_dates(contracts: DataFrame, window_days: int = 30, min_companies: int =
 
     As `ring_members`, without what a reader of rings wants: dates alone are aggregated
     by hash, names and sums would be sorted and moved for every firm of every buyer.  The
-    run that starts at each firm is counted among the buyer's firms, one row each, so they
-    move once and nothing is stored.
+    run that starts at each firm is counted among the buyer's firms, one row each.  Key and
+    dates of a contract are dealt by its buyer, so they move once and nothing is stored.
     """
-    firms = _dated_firms(contracts, keys).agg(
+    rows = _dated(contracts, keys).select(
+        *keys, "rfc_norm", "fecha_constitucion_rfc", "fecha_efectiva").repartition(*keys)
+    firms = rows.groupBy(*keys, "rfc_norm").agg(
         F.min("fecha_constitucion_rfc").alias("constituida"),
         F.min("fecha_efectiva").alias("primer_contrato"))
     day = F.unix_date("constituida")
@@ -201,8 +231,8 @@ def same_day_splits(contracts: DataFrame, min_contracts: int = 3,
         C.direct_award("tipo_procedimiento") & C.mxn_ok()
         & F.col("fecha_efectiva").isNotNull() & F.col("importe").isNotNull()
         & F.col(keys[-1]).isNotNull())
-    groups = rows.groupBy(*keys, "proveedor", "rfc_norm",
-                          F.col("fecha_efectiva").alias("dia")).agg(
+    day = [*keys, "proveedor", "rfc_norm", F.col("fecha_efectiva").alias("dia")]
+    groups = M.repeated(rows, day, min_contracts).groupBy(*day).agg(
         F.count("*").alias("contratos"), C.money_sum("importe").alias("_total"),
         F.max("importe").alias("_largest"))
     kept = groups.where((F.col("contratos") >= min_contracts)

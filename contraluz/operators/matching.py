@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contraluz.functions import columns as C
+from contraluz.session import few, stored
 
 
 def latest_per_key(df: DataFrame, keys: list[Column | str],
@@ -24,6 +25,22 @@ def latest_per_key(df: DataFrame, keys: list[Column | str],
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def repeated(df: DataFrame, keys: list[Column | str], least: int) -> DataFrame:
+    """The rows whose key comes `least` times or more, and few others.
+
+    One number for a row is counted, the hash of its key; rows themselves stay in place
+    while the numbers that are frequent enough are few.  Keys of one hash count together,
+    so no row is lost and the caller counts the keys that are left.
+    """
+    if least <= 1:
+        return df
+    number = F.xxhash64(*keys).alias("_number")
+    often = few(stored(df.select(number).groupBy("_number").agg(F.count("*").alias("_n"))
+                       .where(F.col("_n") >= least).select("_number")))
+    return df.withColumn("_number", F.xxhash64(*keys)).join(
+        often, "_number", "left_semi").drop("_number")
+
+
 def fraud_hits(contracts: DataFrame, efos: DataFrame) -> DataFrame:
     """Contracts of listed suppliers by taxpayer key, with the time test."""
     listed = efos.select("rfc_norm", F.col("nombre").alias("nombre_69b"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from contraluz.functions import columns as C
 from contraluz.functions import fixed_values as V
 from contraluz.operators.matching import latest_per_key
-from contraluz.session import stored
+from contraluz.session import few, stored
 
 EVIDENCE_SCHEMA = {
     "case_id": "string", "pattern": "string", "scope": "string",
@@ -227,8 +227,12 @@ def _id_number(uuid: str) -> Column:
 
 
 def cases(rows: DataFrame, complaints: DataFrame) -> DataFrame:
-    """Evidence folded to one row per case, with the already-filed test."""
-    known = filed_ids(complaints).withColumn("_filed", F.lit(True))
+    """Evidence folded to one row per case, with the already-filed test.
+
+    Filed ids and pairs are looked up while they are few, so that neither evidence nor
+    cases move for the test.
+    """
+    known = few(stored(filed_ids(complaints))).withColumn("_filed", F.lit(True))
     marked = rows.join(known, "uuid", "left")
     filed = F.col("_filed")
     folded = marked.groupBy("case_id").agg(
@@ -257,7 +261,7 @@ def cases(rows: DataFrame, complaints: DataFrame) -> DataFrame:
         F.count_if(F.col("uuid").isNotNull() & filed.isNull()).alias("_open_ids"))
     first = known.withColumnsRenamed(
         {"uuid": "procedure_uuid", "_filed": "_first_filed"})
-    pairs = filed_pairs(complaints).withColumn("_pair", F.lit(True))
+    pairs = few(stored(filed_pairs(complaints))).withColumn("_pair", F.lit(True))
     buyer = folded.withColumn(
         "_buyer", F.coalesce(C.name_norm("institucion"), F.lit("")))
     judged = (buyer.join(first, "procedure_uuid", "left")
@@ -330,11 +334,12 @@ def scored(case_rows: DataFrame, coverage: DataFrame, today: dt.date,
            coverage_scale: float = 100.0) -> DataFrame:
     """Tier, corroboration, score 0..100 and legal route of gated cases."""
     gated_rows = gated(case_rows, today)
-    repeats = gated_rows.where(F.col("rfc") != "").groupBy("rfc").agg(
-        (F.count("*") - 1).alias("corrobora"))
+    # one narrow row for a key: looked up while they are few, so that cases stay in place
+    repeats = few(stored(case_rows.where(F.col("rfc") != "").groupBy("rfc").agg(
+        (F.count("*") - 1).alias("corrobora"))))
     rows = (gated_rows.join(repeats, "rfc", "left")
             .withColumn("_state", C.name_norm("estado_geo"))
-            .join(coverage_quality(coverage, coverage_scale), "_state", "left"))
+            .join(few(stored(coverage_quality(coverage, coverage_scale))), "_state", "left"))
     tiers = F.create_map(*[F.lit(x) for t in V.PATTERN_TIERS.items() for x in t])
     tier = F.coalesce(F.try_element_at(tiers, F.col("pattern")), F.lit("T3"))
     held = F.size("_held") > 0
@@ -407,26 +412,30 @@ def empty_snapshot(found: DataFrame) -> DataFrame:
     return rows.withColumns({n: F.lit(None).cast(k) for n, k in HUMAN_COLUMNS.items()})
 
 
-def merge(snapshot: DataFrame, found: DataFrame, now: str) -> DataFrame:
+def merge(snapshot: DataFrame, found: DataFrame, now: str,
+          keys: tuple[str, ...] = ("case_id",)) -> DataFrame:
     """Next snapshot: engine columns refreshed, human columns never touched.
 
     Adds `is_new` and `changed` for the emission step, and `refreshed` where a value
-    outside the content hash is other than it stood.
+    outside the content hash is other than it stood.  Columns stay apart, so those that
+    nobody reads do not move.  `keys` may name what both sides are dealt by beside the id.
     """
-    fresh = found.select("case_id", F.struct(*ENGINE_COLUMNS).alias("f"))
-    old = snapshot.select("case_id", F.struct(*ENGINE_COLUMNS).alias("o"),
-                          *HUMAN_COLUMNS)
-    joined = old.join(fresh, "case_id", "full_outer")
-    is_new, seen = F.col("o").isNull(), F.col("f").isNotNull()
-    changed = ~is_new & seen & ~F.col("o.content_hash").eqNullSafe(
-        F.col("f.content_hash"))
+    fresh = found.select(*keys, F.lit(True).alias("_seen"),
+                         *[F.col(c).alias(f"_f_{c}") for c in ENGINE_COLUMNS])
+    old = snapshot.select(*keys, F.lit(True).alias("_stood"), *HUMAN_COLUMNS,
+                          *[F.col(c).alias(f"_o_{c}") for c in ENGINE_COLUMNS])
+    joined = old.join(fresh, list(keys), "full_outer")
+    is_new, seen = F.col("_stood").isNull(), F.col("_seen").isNotNull()
+    changed = ~is_new & seen & ~F.col("_o_content_hash").eqNullSafe(
+        F.col("_f_content_hash"))
     other = F.lit(False)
     for name in REFRESHED:
-        other = other | ~F.col(f"o.{name}").eqNullSafe(F.col(f"f.{name}"))
-    engine = F.coalesce("f", "o")
+        other = other | ~F.col(f"_o_{name}").eqNullSafe(F.col(f"_f_{name}"))
+    engine = {c: F.when(seen, F.col(f"_f_{c}")).otherwise(F.col(f"_o_{c}"))
+              for c in ENGINE_COLUMNS}
     stamp = F.lit(now)
     return joined.select(
-        "case_id", *[engine[c].alias(c) for c in ENGINE_COLUMNS],
+        *keys, *[value.alias(c) for c, value in engine.items()],
         F.when(is_new, "nuevo").otherwise(F.col("estado")).alias("estado"),
         "nota", "folio",
         F.when(is_new, stamp).otherwise(F.col("first_seen")).alias("first_seen"),
@@ -475,17 +484,19 @@ def rejected_decisions(decisions: DataFrame, table: DataFrame,
 
 
 def apply_decisions(table: DataFrame, decisions: DataFrame,
-                    key: str = "case_id") -> DataFrame:
+                    key: str | list[str] = "case_id", decided_only: bool = False) -> DataFrame:
     """State of the latest valid decision per case; note and folio of the latest
     one that gives them, else as they stand.  Decisions of one time are ordered
-    by their values, so the result does not depend on the order of rows."""
+    by their values, so the result does not depend on the order of rows.  On demand
+    only the cases with a valid decision are returned."""
+    keys = [key] if isinstance(key, str) else key
     def latest(name: str) -> Column:
         order = F.when(F.col(name).isNotNull(), F.struct("decided_at", name))
         return F.max(order)[name].alias(f"_{name}")
-    valid = decisions.where(valid_decision()).groupBy(key).agg(
+    valid = decisions.where(valid_decision()).groupBy(*keys).agg(
         *[latest(name) for name in ("estado", "nota", "folio")],
         F.max("decided_at").alias("_decided_at"))
-    joined = table.join(valid, key, "left")
+    joined = table.join(valid, keys, "inner" if decided_only else "left")
     names = [c for c in ("estado", "nota", "folio", "decided_at") if c in table.columns]
     return joined.withColumns({c: F.coalesce(f"_{c}", c) for c in names}).select(
         *table.columns)

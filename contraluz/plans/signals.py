@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contraluz.functions import columns as C
 from contraluz.functions import fixed_values as V
 from contraluz.operators import ages, collusion, concentration, modifications
+from contraluz.session import few, stored
 
 DEFAULTS: dict[str, dict] = {
     "direct": {}, "young": {}, "splits": {}, "rings": {}, "rotation": {},
@@ -81,11 +82,12 @@ def supplier_ensemble(contracts: DataFrame, flags: DataFrame, efos: DataFrame,
                       sfp: DataFrame) -> DataFrame:
     """One row per flagged key: how many signals, which, and its context.
 
-    The context is aggregated only for flagged keys (semi join first).
+    The context is aggregated only for flagged keys (semi join first), which contracts
+    look up while they are few.
     """
-    per_key = flags.groupBy("rfc_norm").agg(
+    per_key = few(stored(flags.groupBy("rfc_norm").agg(
         F.collect_set("senal").alias("_codes"),
-        F.min("flag_date").alias("primera_marca"))
+        F.min("flag_date").alias("primera_marca"))))
     context = (contracts.join(per_key.select("rfc_norm"), "rfc_norm", "left_semi")
                .groupBy("rfc_norm").agg(
                    F.min("proveedor").alias("proveedor"),

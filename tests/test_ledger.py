@@ -387,3 +387,26 @@ def test_a_bucket_of_the_log_is_few_files(spark, tmp_path):
     store = case_store.CaseStore(spark, str(tmp_path / "cases"), rows, buckets=4)
     store._write_log(rows.withColumn("event", F.lit("nuevo")), 1, "t0")
     assert len(list((tmp_path / "cases" / "log").rglob("*.parquet"))) == 4
+
+
+def test_filed_ids_and_repeated_keys_move_no_case(spark):
+    """Evidence moves once, to be folded; cases do not move to be judged and scored."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(50).select(*(
+            F.concat(F.lit("c"), F.col("id") % 7).alias(name) if name == "case_id"
+            else F.lit(1).cast(kind).alias(name) if name in ("importe", "n")
+            else F.concat(F.lit("u"), F.col("id")).alias(name) if name == "uuid"
+            else F.lit("R").alias(name) if name == "rfc"
+            else F.lit(None).cast(kind).alias(name)
+            for name, kind in ledger.EVIDENCE_SCHEMA.items()))
+        folded = ledger.cases(rows, ledger.no_complaints(spark))
+        scored = ledger.scored(folded, spark.createDataFrame(
+            [("E", 50.0)], "estado_comprador string, pct_rfc_valido double"), dt.date(2026, 1, 1))
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("hashpartitioning(case_id") == 1
+        assert {(r["case_id"], r["n_contratos"], r["corrobora"]) for r in scored.collect()} == {
+            (f"c{i}", 8 if i == 0 else 7, 6) for i in range(7)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -320,3 +320,28 @@ def test_names_of_kept_pairs_alone_are_tested(spark):
     found = ledger.from_state_concentration(state_layer.concentration(state, min_share=0.02))
     assert [(r["sujeto"], r["n"]) for r in found.collect()] == [("ACME SA", 40)]
     assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_frequent_keys_are_found_by_one_number(spark):
+    from contraluz.operators import matching
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), ("b", 2), (None, 3), (None, 3)],
+                                 "k string, v int")
+    found = matching.repeated(rows, ["k", "v"], 2)
+    assert sorted(map(tuple, found.collect()), key=repr) == [("a", 1), ("a", 1), (None, 3), (None, 3)]
+    assert matching.repeated(rows, ["k"], 1).count() == 6
+    assert matching.repeated(rows, ["k"], 4).isEmpty()
+
+
+def test_wins_of_rotating_offices_are_enough(spark):
+    """Candidates and members are the same, and tenders move once."""
+    table = contracts(spark, _tenders("XYZ", 8, "UC9") + _tenders("AB", 3, "UC1")
+                      + _tenders("ABCDEFG", 4, "UC2"))
+    wins = collusion.rotating_wins(table)
+    assert wins.select("nombre_uc").distinct().count() < collusion.tender_wins(
+        table).select("nombre_uc").distinct().count()
+    for found in (collusion.rotation_candidates, collusion.rotation_members):
+        assert sorted(map(tuple, found(table, wins=wins).collect())) == sorted(
+            map(tuple, found(table).collect())) != []
+    for rows in (wins, collusion.ring_dates(table)):
+        assert rows._jdf.queryExecution().executedPlan().toString().count(
+            "Exchange hashpartitioning") == 1

@@ -368,3 +368,28 @@ def test_numbered_reports_fold_before_texts_are_made(spark, tmp_path):
     assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(l_orderkey" in plan  # lines move, not texts
+
+
+def test_lines_tell_which_reports_stay(spark):
+    """As by `dedupe`, for repeated lines, equal keys of two suppliers and unnumbered lines;
+    the state layer is read off the lines and no line moves for it."""
+    folder = "/root/testdata/sf0.001"
+    lines = stored(driver_tables.sold(spark, folder))
+    again = lines.where("l_orderkey % 3 = 0")
+    files = lines.where("l_linenumber = 4").withColumn("l_linenumber", F.lit(12))
+    hashed = lines.where("l_linenumber = 2").withColumn("l_linenumber", F.lit(8))
+    others = lines.where("l_linenumber IN (5, 7)").withColumn(
+        "l_suppkey", (F.col("l_suppkey") + 1) % 10)
+    rows = stored(lines.unionByName(again).unionByName(files).unionByName(hashed).unionByName(
+        hashed.where("l_orderkey % 2 = 0")).unionByName(others))
+    told = stored(driver_tables.with_reports(spark, folder, rows))
+    assert told.count() == rows.count()
+    found = driver_tables.states(spark, folder, told)
+    reports = driver_tables._as_reports(driver_tables._report_rows(
+        spark, folder, driver_tables.sales(spark, folder, rows)))
+    expected = states.with_key_traits(state_layer.dedupe(reports))
+    assert found.columns == expected.columns and found.count() == expected.count()
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    numbered = found.where("num_contrato IS NOT NULL OR expediente IS NOT NULL")
+    assert numbered._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    assert "hashpartitioning(l_orderkey" not in found._jdf.queryExecution().executedPlan().toString()
