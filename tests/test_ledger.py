@@ -410,3 +410,48 @@ def test_filed_ids_and_repeated_keys_move_no_case(spark):
             (f"c{i}", 8 if i == 0 else 7, 6) for i in range(7)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _bare_cases(spark, n):
+    kinds = {"score": "int", "monto": "double", "n_contratos": "long", "auto_ok": "boolean",
+             "already_filed": "boolean", "cuarentena": "string"}
+    return spark.range(n).select(
+        F.concat(F.lit("case"), "id").alias("case_id"), *(
+            (F.lit(False) if kinds.get(c) == "boolean" else F.lit("1")).cast(
+                kinds.get(c, "string")).alias(c) for c in ledger.ENGINE_COLUMNS))
+
+
+def test_a_merge_moves_only_columns_that_are_read(spark):
+    found = _bare_cases(spark, 5)
+    merged = ledger.merge(ledger.snapshot_of(ledger.merge(
+        ledger.empty_snapshot(found), found, "t0")), found, "t1")
+    plan = ledger.emissions(merged)._jdf.queryExecution().optimizedPlan().toString()
+    assert "institucion" not in plan and "procedure_uuid" not in plan
+
+
+def test_cases_move_once_for_each_write_of_the_store(spark, tmp_path):
+    """A lone run or base is read as it stands; rows dealt by bucket are written as they lie."""
+    from contraluz.plans import case_store
+    found = _bare_cases(spark, 400)
+    store = case_store.CaseStore(spark, str(tmp_path / "s"), found, buckets=4)
+    store.scan(found, "t0")
+    assert "Window" not in store.snapshot()._jdf.queryExecution().optimizedPlan().toString()
+    assert store.snapshot().count() == 400
+    store.decide(found.where("case_id < 'case2'").select(
+        "case_id", F.lit("verificando").alias("estado"), F.lit(None).cast("string").alias("nota"),
+        F.lit(None).cast("string").alias("folio"), F.lit("d").alias("decided_at")), "t1")
+    decided = found.where("case_id < 'case2'").count()
+    assert store.snapshot().where("estado = 'verificando'").count() == decided
+    assert len(list((tmp_path / "s" / "log").rglob("*.parquet"))) == 8
+    assert len(store.compact()) == 4
+    assert len(list((tmp_path / "s" / "base").rglob("*.parquet"))) == 4
+    assert "Window" not in store.snapshot()._jdf.queryExecution().optimizedPlan().toString()
+    assert store.snapshot().count() == 400
+    # a compaction that stopped before its record: base and log are compared again
+    (tmp_path / "s" / "compactions").rename(tmp_path / "s" / "unfinished")
+    assert store.snapshot().count() == 400
+    assert store.snapshot().where("estado = 'verificando'").count() == decided
+    store.scan(found, "t2")
+    assert [(r["scanned"], r["nuevos"], r["cambiados"])
+            for r in store.runs().orderBy("run").collect()] == [
+        (400, 400, 0), (None, None, None), (400, 0, 0)]
