@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from contraluz.sources import other
 from contraluz.sources import procedures as P
+from contraluz.session import stored
 from contraluz.streaming import monitor, rules, seen
 from tests.helpers import D, efos, sfp
 
@@ -391,3 +392,33 @@ def test_the_monitor_runs_no_python_for_a_procedure(spark, tmp_path):
     query.awaitTermination()
     assert not query.lastProgress["stateOperators"]
     assert spark.read.parquet(str(tmp_path / "out" / "changes")).count() == 1
+
+
+def test_rules_of_alerts_are_told_where_they_are_made(spark):
+    """As by `alert_rules`, and nothing but one count for each event moves after the rules."""
+    rows = [(u, e, "0/1", code, w, f"d{n}", None) for n, (u, e, code, w) in enumerate(
+        [("a", 1, "DIRECTA", 2), ("a", 1, "DIRECTA", 2), ("a", 1, "ANTICIPO", 1), ("a", 2, "EMERGENCIA", 2),
+         ("b", 1, "EFOS_69B", 6), ("c", 1, "MONTO_ALTO", 1), (None, 1, "SFP_SANCION", 8)])]
+    fired = spark.createDataFrame(rows, "uuid string, event_id long, place string, code string, "
+                                  f"weight int, detail string, evidence {rules._EVIDENCE_TYPE}")
+    listed = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 1), ("c", 1), (None, 1)], "uuid string, event_id long")
+    assessed = rules.assess(listed, fired)
+    assert {(r["uuid"], r["event_id"]): (r["score"], r["n_flags"], [tuple(c) for c in r["codes"] or ()])
+            for r in assessed.collect()} == {
+        ("a", 1): (5, 3, [("ANTICIPO", 1), ("DIRECTA", 2)]), ("a", 2): (2, 1, [("EMERGENCIA", 1)]),
+        ("b", 1): (6, 1, [("EFOS_69B", 1)]), ("c", 1): (1, 1, [("MONTO_ALTO", 1)]), (None, 1): (0, 0, [])}
+    over = assessed.where("score >= 5")
+    expected = rules.alert_rules(over, fired)
+    found = rules.rules_over(stored(rules.with_total(fired)), 5)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) != []
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        awards = spark.createDataFrame([], AWARD)
+        matched = rules.match_awards(awards, efos(spark), sfp(spark), spark.createDataFrame([], GAZETTE))
+        assert "SortMergeJoin" not in matched._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
