@@ -228,6 +228,15 @@ def _id_number(uuid: str) -> Column:
     return F.conv(F.substring(F.md5(uuid), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
+def _has_link() -> Column:
+    return F.coalesce("url", F.lit("")) != ""
+
+
+def without_links(rows: DataFrame) -> DataFrame:
+    """Evidence with whether it has a link in place of the link, as `cases` reads it."""
+    return rows.withColumn("_cited", _has_link()).drop("url")
+
+
 def cases(rows: DataFrame, complaints: DataFrame) -> DataFrame:
     """Evidence folded to one row per case, with the already-filed test.
 
@@ -237,11 +246,14 @@ def cases(rows: DataFrame, complaints: DataFrame) -> DataFrame:
     known = few(stored(filed_ids(complaints))).withColumn("_filed", F.lit(True))
     marked = rows.join(known, "uuid", "left")
     filed = F.col("_filed")
-    folded = marked.groupBy("case_id").agg(
+    cited = "_cited" if "_cited" in rows.columns else _has_link()
+    # ids move as bytes; the least of them is the least of bytes and of other texts
+    uuid = C.packed("uuid")
+    folded = marked.groupBy(C.packed("case_id").alias("_case")).agg(
         *[F.min(c).alias(c) for c in (
             "scope", "pattern", "ambito", "estado_geo", "rfc", "sujeto",
             "institucion")],
-        F.min("uuid").alias("procedure_uuid"),
+        F.min(uuid["raw"]).alias("_raw"), F.min(uuid["text"]).alias("_text"),
         F.min("source_file").alias("source_file"),
         C.money_sum("importe").cast("double").alias("monto"),
         F.sum("n").alias("n_contratos"), F.max("fecha").alias("fecha"),
@@ -256,11 +268,14 @@ def cases(rows: DataFrame, complaints: DataFrame) -> DataFrame:
         F.max("tope_legal_pct").alias("tope_legal_pct"),
         F.max("n_senales").alias("n_senales"),
         F.min("detalle").alias("detalle"),
-        F.bool_or(F.coalesce("url", F.lit("")) != "").alias("_cited"),
+        F.bool_or(cited).alias("_cited"),
         F.coalesce(F.sum(_id_number("uuid")), F.lit(0).cast("decimal(38,0)"))
         .alias("_ids"),
         F.count("uuid").alias("_with_id"),
-        F.count_if(F.col("uuid").isNotNull() & filed.isNull()).alias("_open_ids"))
+        F.count_if(F.col("uuid").isNotNull() & filed.isNull()).alias("_open_ids")).withColumns({
+            "case_id": C.unpacked("_case"),
+            "procedure_uuid": F.least(F.lower(F.hex("_raw")), F.col("_text"))}).drop(
+                "_case", "_raw", "_text")
     first = known.withColumnsRenamed(
         {"uuid": "procedure_uuid", "_filed": "_first_filed"})
     pairs = few(stored(filed_pairs(complaints))).withColumn("_pair", F.lit(True))
